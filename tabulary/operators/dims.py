@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, is_present
-from .keys import with_dense_key
+from .keys import known_max_key, known_rows, remember_rows, with_dense_key
 
 _FIRST = "__first"
 
@@ -48,6 +48,11 @@ def backfill_dimension(dim: DataFrame, values: DataFrame, key: str, name: str,
     new = (values.filter(is_present(name)).distinct()
            .join(dim.select(name), name, "left_anti")
            .withColumn(slug, F.lit(None).cast("string")))
-    top = dim.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
+    top = known_max_key(dim)      # known when dim came from with_dense_key
+    if top is None:
+        top = dim.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
     added = with_dense_key(new, key, [name], start=int(top))
-    return dim.unionByName(added)
+    out = dim.unionByName(added)
+    if known_rows(dim) is not None:
+        remember_rows(out, known_rows(dim) + known_rows(added), known_max_key(added))
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import checked_broadcast, with_dense_key
+from .keys import checked_broadcast, known_rows, with_dense_key
 
 
 def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
@@ -17,7 +17,8 @@ def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
     small; larger ones fall back to a shuffle join.  NULL names never match.
     """
     lookup = dim.select(F.col(dim_name).alias("__name"), F.col(dim_key).alias(out or dim_key))
-    joined = facts.join(checked_broadcast(lookup), facts[fact_col] == F.col("__name"), how)
+    joined = facts.join(checked_broadcast(lookup, rows=known_rows(dim)),
+                        facts[fact_col] == F.col("__name"), how)
     return joined.drop("__name", fact_col)
 
 

@@ -51,7 +51,26 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
     start_col = start if isinstance(start, Column) else F.lit(start)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
     keyed = start_col.cast("long") + base + position + F.lit(1)
-    return ranged.select(keyed.alias(key), *[c for c in ranged.columns])
+    out = ranged.select(keyed.alias(key), *[c for c in ranged.columns])
+    total = sum(counts.values())
+    return remember_rows(out, total, start + total if isinstance(start, int) else None)
+
+
+def remember_rows(df: DataFrame, n: int, max_key: int | None = None) -> DataFrame:
+    """Attach an exact row count (and the largest key, when known) learned
+    as a by-product of an action, so later steps need no extra job."""
+    df.__dict__["_known_rows"] = int(n)
+    if max_key is not None:
+        df.__dict__["_known_max_key"] = int(max_key)
+    return df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return df.__dict__.get("_known_rows")
+
+
+def known_max_key(df: DataFrame) -> int | None:
+    return df.__dict__.get("_known_max_key")
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
@@ -59,7 +78,11 @@ def row_count_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven small;
-    otherwise leave the join strategy to Catalyst/AQE (sort-merge)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      rows: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only if its row count is proven small (an
+    exact count already known, or a bounded count); otherwise leave the join
+    strategy to Catalyst/AQE (sort-merge)."""
+    rows = rows if rows is not None else known_rows(df)
+    small = rows <= max_rows if rows is not None else row_count_at_most(df, max_rows)
+    return F.broadcast(df) if small else df
