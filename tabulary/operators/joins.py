@@ -17,9 +17,21 @@ def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
     small; larger ones fall back to a shuffle join.  NULL names never match.
     """
     lookup = dim.select(F.col(dim_name).alias("__name"), F.col(dim_key).alias(out or dim_key))
-    joined = facts.join(checked_broadcast(lookup, rows=known_rows(dim)),
-                        facts[fact_col] == F.col("__name"), how)
-    return joined.drop("__name", fact_col)
+    side = checked_broadcast(lookup, rows=known_rows(dim))
+    if side is not lookup or how != "left":
+        # Broadcast (no shuffle), or an inner join, which drops NULL keys
+        # before its shuffle anyway.
+        joined = facts.join(side, facts[fact_col] == F.col("__name"), how)
+        return joined.drop("__name", fact_col)
+    # Shuffled left join: rows whose name is NULL can never match, yet would
+    # all hash to one reducer.  Give them a deterministic, never-matching key
+    # spread by a hash of the row, and prefix real names so the two cannot
+    # collide.
+    spread = F.concat(F.lit("\u0001"), F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string"))
+    keyed = facts.withColumn("__jk", F.when(F.col(fact_col).isNull(), spread)
+                             .otherwise(F.concat(F.lit("\u0002"), F.col(fact_col))))
+    lookup = lookup.withColumn("__jk", F.concat(F.lit("\u0002"), F.col("__name")))
+    return keyed.join(lookup, "__jk", "left").drop("__jk", "__name", fact_col)
 
 
 def build_junction(pairs: DataFrame, left_dim: DataFrame, left_col: str, left_name: str,
@@ -40,11 +52,17 @@ def broken_fk(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFram
             .join(parent.select(F.col(pk).alias(fk)), fk, "left_anti"))
 
 
+def child_keys(child: DataFrame, fk: str, as_name: str) -> DataFrame:
+    """Distinct non-NULL child keys.  The distinct combines map-side, so a key
+    held by a third of the children is one row per task before the shuffle."""
+    return child.select(F.col(fk).alias(as_name)).filter(F.col(as_name).isNotNull()).distinct()
+
+
 def unlinked(parent: DataFrame, pk: str, child: DataFrame, fk: str) -> DataFrame:
     """Parent rows no child points to (C4, Q38)."""
-    return parent.join(child.select(F.col(fk).alias(pk)), pk, "left_anti")
+    return parent.join(child_keys(child, fk, pk), pk, "left_anti")
 
 
 def linked(parent: DataFrame, pk: str, child: DataFrame, fk: str) -> DataFrame:
     """Parent rows at least one child points to (left semi, C10)."""
-    return parent.join(child.select(F.col(fk).alias(pk)), pk, "left_semi")
+    return parent.join(child_keys(child, fk, pk), pk, "left_semi")

@@ -9,7 +9,9 @@ key without a single-partition window:
 3. count rows per partition -- the only collect, bounded by the number of
    partitions, not by the data;
 4. key = start + rows in earlier partitions + position in the partition,
-   from ``monotonically_increasing_id`` over the checkpointed rows.
+   from ``monotonically_increasing_id`` over the checkpointed rows.  The
+   offsets are an array indexed by partition id (O(1) per row), or a
+   broadcast join on the partition id when there are very many partitions.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from ..session import ensure_checkpoint_dir
 
 # Dimensions are broadcast only below this many rows (checked by count).
 BROADCAST_MAX_ROWS = 2_000_000
+# Partition offsets are inlined as an array literal up to this many partitions.
+OFFSETS_INLINE_MAX = 1024
 
 
 def _order_cols(order: list[str | Column]) -> list[Column]:
@@ -41,17 +45,24 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
     pid = F.spark_partition_id()
     counts = dict(ranged.groupBy(pid.alias("pid")).count().collect())
-    pids = sorted(counts)
-    offsets = [0] + list(accumulate(counts[p] for p in pids))[:-1]
-    if pids:
-        offset_of = F.create_map(*[F.lit(x) for p, o in zip(pids, offsets) for x in (p, o)])
-        base = F.element_at(offset_of, pid).cast("long")
-    else:
-        base = F.lit(0).cast("long")
-    start_col = start if isinstance(start, Column) else F.lit(start)
+    width = max(counts, default=-1) + 1             # empty partitions count 0
+    offsets = [0] + list(accumulate(counts.get(p, 0) for p in range(width)))[:-1]
+    start_col = (start if isinstance(start, Column) else F.lit(start)).cast("long")
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    keyed = start_col.cast("long") + base + position + F.lit(1)
-    out = ranged.select(keyed.alias(key), *[c for c in ranged.columns])
+    if width <= OFFSETS_INLINE_MAX:
+        # O(1) array lookup by partition id; the literal is tiny.
+        base = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
+                if width else F.lit(0).cast("long"))
+        out = ranged.select((start_col + base + position + F.lit(1)).alias(key), *ranged.columns)
+    else:
+        # Many partitions: ship offsets once per executor as a broadcast
+        # (bounded by the partition count), joined on the partition id.
+        spark_ = ranged.sparkSession
+        table_ = spark_.createDataFrame(list(enumerate(offsets)), "__pid int, __base long")
+        tagged = ranged.select(pid.alias("__pid"), position.alias("__pos"), *ranged.columns)
+        out = (tagged.join(F.broadcast(table_), "__pid")
+               .select((start_col + F.col("__base") + F.col("__pos") + F.lit(1)).alias(key),
+                       *ranged.columns))
     total = sum(counts.values())
     return remember_rows(out, total, start + total if isinstance(start, int) else None)
 

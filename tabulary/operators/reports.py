@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import child_keys
+
 
 def group_counts(parent: DataFrame, pk: str, label: str, child: DataFrame, fk: str,
                  out: str) -> DataFrame:
@@ -56,8 +58,8 @@ def oversized_groups(child: DataFrame, fk: str, limit: int) -> DataFrame:
 def in_neither(parent: DataFrame, pk: str, first: DataFrame, second: DataFrame,
                fk: str) -> DataFrame:
     """Parents referenced by neither child table (C5: two anti joins)."""
-    return (parent.join(first.select(F.col(fk).alias(pk)), pk, "left_anti")
-            .join(second.select(F.col(fk).alias(pk)), pk, "left_anti"))
+    return (parent.join(child_keys(first, fk, pk), pk, "left_anti")
+            .join(child_keys(second, fk, pk), pk, "left_anti"))
 
 
 def joined_preview(parent: DataFrame, child: DataFrame, key: str, cols: list[str],

@@ -54,3 +54,14 @@ def test_junction_distinct_pairs_and_unknown_sides(spark):
     out = build_junction(pairs, g, "g", "name", "generic_id", ind, "i", "name", "indication_id", "pid")
     got = sorted(tuple(r) for r in out.collect())
     assert got == [(1, 1, 1), (2, 1, 2), (3, 2, 2)]
+
+
+def test_shuffled_left_lookup_spreads_null_keys(spark, monkeypatch):
+    import tabulary.operators.joins as J
+    monkeypatch.setattr(J, "checked_broadcast", lambda df, **kw: df)
+    dim = _dim(spark, [("Acme", "acme"), ("Globex", "globex")])
+    facts = spark.createDataFrame([(i, None if i % 3 else ("Acme" if i % 2 else "Globex"))
+                                   for i in range(60)], "fid int, maker string")
+    got = dict((r.fid, r.id) for r in resolve_fk(facts, dim, "maker", "name", "id", "left").collect())
+    assert len(got) == 60
+    assert all(got[i] == (None if i % 3 else (1 if i % 2 else 2)) for i in range(60))

@@ -45,3 +45,11 @@ def test_dense_key_matches_sorted_rank(spark, data):
     got = sorted((r.id, r.s, r.n) for r in out.collect())
     want = sorted(data, key=lambda t: (t[0] is not None, t[0] or "", t[1]))
     assert got == [(i + 1, s, n) for i, (s, n) in enumerate(want)]
+
+
+def test_dense_key_with_offsets_joined(spark, monkeypatch):
+    import tabulary.operators.keys as K
+    monkeypatch.setattr(K, "OFFSETS_INLINE_MAX", 2)
+    df = spark.createDataFrame([(i,) for i in range(300)], "v int")
+    out = K.with_dense_key(df, "id", ["v"], num_partitions=9)
+    assert sorted((r.id, r.v) for r in out.collect()) == [(i + 1, i) for i in range(300)]
