@@ -27,6 +27,7 @@ def pack_blocks(c: Column, compat: bool = False) -> Column:
     return F.slice(blocks, 1, 3) if compat else blocks
 
 
-def block_strings(c: Column) -> Column:
-    """The raw block strings, split at '),(' boundaries (I23 preview)."""
-    return F.split(c, BLOCK_BOUNDARY)
+def block_strings(c: Column, limit: int = 3) -> Column:
+    """The raw block strings, split at '),(' boundaries; the last of
+    ``limit`` keeps the rest of the string (I23 preview)."""
+    return F.split(c, BLOCK_BOUNDARY, limit)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import classify_container, fix_typos
 from ..functions.containers import clean_steps, container_format, segments, unit_price
 from ..functions.packs import block_strings, pack_blocks
+from ..functions.text import TAKA
 from .keys import with_dense_key
 
 
@@ -51,12 +52,25 @@ def parse_pack_sizes(df: DataFrame, parent_key: str = "brand_id", text: str = "p
 
 def preview_pack_blocks(df: DataFrame, parent_key: str = "brand_id",
                         text: str = "package_size") -> DataFrame:
-    """The first three block strings per parent."""
-    blocks = block_strings(F.col(text))
-    return (df.filter(F.col(text).isNotNull())
+    """Block strings of every priced pack text: blocks 1 and 2, and block 3
+    holding the rest (I23)."""
+    blocks = block_strings(F.col(text), 3)
+    return (df.filter(F.col(text).contains(TAKA))
             .select(parent_key, *[F.get(blocks, i).alias(f"block_{i + 1}") for i in range(3)]))
 
 
+def preview_first_block(df: DataFrame, parent_key: str = "brand_id", text: str = "package_size",
+                        k: int = 20) -> DataFrame:
+    """Size and price read from single-block pack texts, first ``k`` parents
+    in key order (I23's top-20 previews)."""
+    first = F.get(pack_blocks(F.col(text)), 0)
+    single = F.col(text).contains(TAKA) & ~F.col(text).contains("),(")
+    return (df.filter(single)
+            .select(parent_key, first["pack_size"].alias("pack_size_preview"),
+                    first["pack_price"].alias("pack_price_preview"))
+            .orderBy(parent_key).limit(k))
+
+
 def parse_containers(df: DataFrame, parent_key: str = "brand_id",
                      text: str = "package_container", price: str = "unit_price",
                      key: str = "package_container_id", compat: bool = False) -> DataFrame:

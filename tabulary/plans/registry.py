@@ -20,7 +20,7 @@ from ..functions.containers import (ORPHAN_PRICE_THEN_PACK, PACK_OPEN, PRICE_FRA
                                     UNIT_PRICE_PREFIX, pattern_after_clean,
                                     pattern_before_insert, taka_count)
 from ..functions.text import TAKA, has_non_ascii, is_null_or_blank
-from ..operators.children import preview_pack_blocks
+from ..operators.children import preview_first_block, preview_pack_blocks
 from ..operators.joins import linked, unlinked
 from ..operators.quality import count_checks, duplicate_count, fk_check, row_counts
 from ..operators.reports import (group_counts, group_size_histogram, in_neither, joined_preview,
@@ -122,14 +122,34 @@ def _block(i: int) -> str:
 
 
 @query("pack_blocks_preview", f"""
-SELECT brand_id,
-       CASE WHEN nb = 0 THEN '(10''s pack' ELSE {_block(1)} END AS block_1,
-       {_block(2)} AS block_2, {_block(3)} AS block_3
-FROM medicine_raw WHERE nb > 0 OR p_size % 3 = 0""")
+SELECT brand_id, {_block(1)} AS block_1, {_block(2)} AS block_2,
+       CASE WHEN nb = 4 THEN {_block(3)} || ',' || {_block(4)} ELSE {_block(3)} END AS block_3
+FROM medicine_raw WHERE nb > 0""")
 def pack_blocks_preview(spark, sf):
     return preview_pack_blocks(_t(spark, sf, "medicine_raw"))
 
 
+@query("pack_first_block_preview", """
+SELECT brand_id, 10 AS pack_size_preview, CAST(u * 3 AS DECIMAL(10,2)) AS pack_price_preview
+FROM medicine_raw WHERE nb = 1 ORDER BY brand_id LIMIT 20""")
+def pack_first_block_preview(spark, sf):
+    return preview_first_block(_t(spark, sf, "medicine_raw"))
+
+
+@query("profile_medicine_encoding", """
+SELECT count(*) AS total_medicine_rows,
+       CAST(count(*) FILTER (WHERE package_container IS NULL) AS BIGINT) AS null_container,
+       CAST(count(*) FILTER (WHERE regexp_matches(package_container, '[^ -~]')) AS BIGINT)
+         AS encoding_in_container
+FROM medicine_raw""")
+def profile_medicine_encoding(spark, sf):
+    c = F.col("package_container")
+    return _t(spark, sf, "medicine_raw").agg(
+        F.count(F.lit(1)).alias("total_medicine_rows"),
+        F.count_if(c.isNull()).alias("null_container"),
+        F.count_if(has_non_ascii(c)).alias("encoding_in_container"))
+
+
 @query("containers", "SELECT * FROM medicine_package_container")
 def containers(spark, sf):
     return _t(spark, sf, "medicine_package_container")
@@ -519,9 +539,22 @@ def in_neither_child(spark, sf):
                       t["medicine_package_container"], "brand_id").select("brand_id", "brand_name")
 
 
-@query("sample_medicine", "SELECT * FROM medicine ORDER BY brand_id LIMIT 5")
-def sample_medicine(spark, sf):
-    return _t(spark, sf, "medicine").orderBy("brand_id").limit(5)
+_TABLE_KEYS = {"drug_class": "drug_class_id", "dosage_form": "dosage_form_id",
+               "manufacturer": "manufacturer_id", "indication": "indication_id",
+               "generic": "generic_id", "medicine": "brand_id",
+               "medicine_package_size": "package_size_id",
+               "medicine_package_container": "package_container_id",
+               "generic_indication": "generic_indication_id"}
+
+
+def _sample(name, key):
+    def run(spark, sf):
+        return _t(spark, sf, name).orderBy(key).limit(5)
+    return run
+
+
+for _name, _key in _TABLE_KEYS.items():      # first five rows of each table (Q43)
+    query(f"sample_{_name}", f"SELECT * FROM {_name} ORDER BY {_key} LIMIT 5")(_sample(_name, _key))
 
 
 @query("sample_packs_joined", """

@@ -42,5 +42,6 @@ def test_preview_blocks(medicines):
     got = {r.brand_id: (r.block_1, r.block_2, r.block_3)
            for r in preview_pack_blocks(medicines).collect()}
     assert got[3] == ("(100's pack: ৳ 100.00)", "(150's pack: ৳ 150.00)", "(200's pack: ৳ 200.00)")
-    assert got[5][2] == "(30's pack: ৳ 3.00)"
-    assert 7 not in got
+    assert got[5][2] == "(30's pack: ৳ 3.00),(40's pack: ৳ 4.00)"
+    assert got[4] == ("(60's pack: ৳ 1,480.00),", None, None)
+    assert 6 not in got and 7 not in got
