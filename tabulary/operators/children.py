@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import classify_container, fix_typos
-from ..functions.containers import clean_steps, container_format, segments, unit_price
+from ..functions.containers import (clean_steps, container_format, segments, taka_count,
+                                    unit_price)
 from ..functions.packs import block_strings, pack_blocks
 from ..functions.text import TAKA
 from .keys import with_dense_key
@@ -92,3 +93,24 @@ def parse_containers(df: DataFrame, parent_key: str = "brand_id",
                         F.col("s.unit_price").alias("unit_price"))
     typed = typed.withColumn("container_type", classify_container(F.col("container_size")))
     return with_dense_key(typed, key, [parent_key, "pos"]).drop("pos")
+
+
+def parse_rejects(raw: DataFrame, containers: DataFrame, packs: DataFrame,
+                  parent_key: str = "brand_id") -> DataFrame:
+    """Parents whose packed text did not fully parse: the number of price
+    signs left in the cleaned container text differs from the priced
+    container rows, or the price signs in the pack text differ from the
+    pack rows.  ``(parent_key, container_signs, priced_containers,
+    pack_signs, pack_rows)``; empty when nothing was lost."""
+    signs = raw.select(parent_key,
+                       F.coalesce(taka_count(F.col("package_container")), F.lit(0)).alias("container_signs"),
+                       F.coalesce(taka_count(F.col("package_size")), F.lit(0)).alias("pack_signs"))
+    priced = (containers.filter(F.col("container_size").isNotNull() & F.col("unit_price").isNotNull())
+              .groupBy(parent_key).agg(F.count(F.lit(1)).alias("priced_containers")))
+    pack_rows = packs.groupBy(parent_key).agg(F.count(F.lit(1)).alias("pack_rows"))
+    joined = (signs.join(priced, parent_key, "left").join(pack_rows, parent_key, "left")
+              .select(parent_key, "container_signs",
+                      F.coalesce("priced_containers", F.lit(0)).alias("priced_containers"),
+                      "pack_signs", F.coalesce("pack_rows", F.lit(0)).alias("pack_rows")))
+    return joined.filter((F.col("container_signs") != F.col("priced_containers"))
+                         | (F.col("pack_signs") != F.col("pack_rows")))

@@ -9,19 +9,23 @@ from .keys import checked_broadcast, known_rows, with_dense_key
 
 
 def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
-               dim_key: str, how: str = "left", out: str | None = None) -> DataFrame:
+               dim_key: str, how: str = "left", out: str | None = None,
+               collation: str | None = None) -> DataFrame:
     """Replace the natural key ``fact_col`` by the surrogate ``dim_key``.
 
     ``how='left'`` keeps misses with a NULL key (C2); ``how='inner'`` drops
     them (C1).  The dimension is broadcast only when its size is checked
     small; larger ones fall back to a shuffle join.  NULL names never match.
     """
-    lookup = dim.select(F.col(dim_name).alias("__name"), F.col(dim_key).alias(out or dim_key))
+    def coll(c):
+        return F.collate(c, collation) if collation else c
+
+    lookup = dim.select(coll(F.col(dim_name)).alias("__name"), F.col(dim_key).alias(out or dim_key))
     side = checked_broadcast(lookup, rows=known_rows(dim))
     if side is not lookup or how != "left":
         # Broadcast (no shuffle), or an inner join, which drops NULL keys
         # before its shuffle anyway.
-        joined = facts.join(side, facts[fact_col] == F.col("__name"), how)
+        joined = facts.join(side, coll(facts[fact_col]) == F.col("__name"), how)
         return joined.drop("__name", fact_col)
     # Shuffled left join: rows whose name is NULL can never match, yet would
     # all hash to one reducer.  Give them a deterministic, never-matching key
@@ -29,19 +33,19 @@ def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
     # collide.
     spread = F.concat(F.lit("\u0001"), F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string"))
     keyed = facts.withColumn("__jk", F.when(F.col(fact_col).isNull(), spread)
-                             .otherwise(F.concat(F.lit("\u0002"), F.col(fact_col))))
-    lookup = lookup.withColumn("__jk", F.concat(F.lit("\u0002"), F.col("__name")))
+                             .otherwise(coll(F.concat(F.lit("\u0002"), F.col(fact_col)))))
+    lookup = lookup.withColumn("__jk", coll(F.concat(F.lit("\u0002"), F.col("__name"))))
     return keyed.join(lookup, "__jk", "left").drop("__jk", "__name", fact_col)
 
 
 def build_junction(pairs: DataFrame, left_dim: DataFrame, left_col: str, left_name: str,
                    left_key: str, right_dim: DataFrame, right_col: str, right_name: str,
-                   right_key: str, key: str) -> DataFrame:
+                   right_key: str, key: str, collation: str | None = None) -> DataFrame:
     """Distinct (left_key, right_key) pairs; rows whose name misses either
     dimension are dropped (I8 = C3 + B17), numbered by the pair."""
     names = pairs.select(left_col, right_col).distinct()
-    ids = resolve_fk(names, left_dim, left_col, left_name, left_key, "inner")
-    ids = resolve_fk(ids, right_dim, right_col, right_name, right_key, "inner")
+    ids = resolve_fk(names, left_dim, left_col, left_name, left_key, "inner", collation=collation)
+    ids = resolve_fk(ids, right_dim, right_col, right_name, right_key, "inner", collation=collation)
     unique = ids.select(left_key, right_key).distinct()
     return with_dense_key(unique, key, [left_key, right_key])
 

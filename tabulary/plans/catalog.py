@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.classify import typo_left
 from ..functions.text import (TAKA, clean_text, has_non_ascii, is_null_or_blank, is_present,
                               restore_commas, strip_mojibake)
-from ..operators.children import parse_containers, parse_pack_sizes, prepare_medicine
-from ..operators.dims import backfill_dimension, dedupe_by_key, load_dimension
+from ..operators.children import (parse_containers, parse_pack_sizes, parse_rejects,
+                                  prepare_medicine)
+from ..operators.dims import backfill_dimension, collated, dedupe_by_key, load_dimension
 from ..operators.joins import build_junction, resolve_fk
 from ..operators.keys import with_dense_key
 from ..operators.quality import count_checks, duplicate_count, fk_check, with_expectations
@@ -31,45 +32,48 @@ _MEDICINE_TEXT = ("Brand_Name", "Type", "Slug", "Dosage_Form", "Generic", "Stren
                   "Manufacturer", "Package_Container", "Package_Size")
 
 
-def build_dimensions(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_dimensions(sources: dict[str, DataFrame],
+                     collation: str | None = None) -> dict[str, DataFrame]:
+    def dim(src, name, key, out):
+        return load_dimension(sources[src], name, "Slug", key, out, collation=collation)
     return {
-        "drug_class": load_dimension(sources["drug_class"], "Drug_Class_Name", "Slug",
-                                     "drug_class_id", "drug_class_name"),
-        "dosage_form": load_dimension(sources["dosage_form"], "Dosage_Form_Name", "Slug",
-                                      "dosage_form_id", "dosage_form_name"),
-        "manufacturer": load_dimension(sources["manufacturer"], "Manufacturer_Name", "Slug",
-                                       "manufacturer_id", "manufacturer_name"),
-        "indication": load_dimension(sources["indication"], "Indication_Name", "Slug",
-                                     "indication_id", "indication_name"),
+        "drug_class": dim("drug_class", "Drug_Class_Name", "drug_class_id", "drug_class_name"),
+        "dosage_form": dim("dosage_form", "Dosage_Form_Name", "dosage_form_id", "dosage_form_name"),
+        "manufacturer": dim("manufacturer", "Manufacturer_Name", "manufacturer_id",
+                            "manufacturer_name"),
+        "indication": dim("indication", "Indication_Name", "indication_id", "indication_name"),
     }
 
 
-def build_generic(generic_src: DataFrame, drug_class: DataFrame) -> tuple[DataFrame, DataFrame]:
+def build_generic(generic_src: DataFrame, drug_class: DataFrame,
+                  collation: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Backfill classes seen only in the generic file, then one row per
     generic name with its class resolved by an inner lookup."""
-    gen = generic_src.select(clean_text("Generic_Name").alias("generic_name"),
+    gen = generic_src.select(collated(clean_text("Generic_Name"), collation).alias("generic_name"),
                              clean_text("Slug").alias("slug"),
                              clean_text("Drug_Class").alias("drug_class"))
     classes = gen.select(F.col("drug_class").alias("drug_class_name"))
-    drug_class = backfill_dimension(drug_class, classes, "drug_class_id", "drug_class_name")
+    drug_class = backfill_dimension(drug_class, classes, "drug_class_id", "drug_class_name",
+                                    collation=collation)
     first = dedupe_by_key(gen.filter(is_present("generic_name")), ["generic_name"],
                           ["slug", "drug_class"])
     resolved = resolve_fk(first, drug_class, "drug_class", "drug_class_name", "drug_class_id",
-                          "inner")
+                          "inner", collation=collation)
     return with_dense_key(resolved, "generic_id", ["generic_name"]), drug_class
 
 
 def build_medicine_raw(medicine_src: DataFrame, dims: dict[str, DataFrame],
-                       compat: bool = False) -> DataFrame:
+                       compat: bool = False, collation: str | None = None) -> DataFrame:
     """Medicines with three left lookups (misses kept, key NULL), distinct
     rows, dense key; then unit price and cleaned container text, which only
     the child tables read."""
     cleaned = medicine_src.select(*[restore_commas(c).alias(c.lower()) for c in _MEDICINE_TEXT])
     m = resolve_fk(cleaned, dims["dosage_form"], "dosage_form", "dosage_form_name",
-                   "dosage_form_id")
-    m = resolve_fk(m, dims["generic"], "generic", "generic_name", "generic_id")
+                   "dosage_form_id", collation=collation)
+    m = resolve_fk(m, dims["generic"], "generic", "generic_name", "generic_id",
+                   collation=collation)
     m = resolve_fk(m, dims["manufacturer"], "manufacturer", "manufacturer_name",
-                   "manufacturer_id")
+                   "manufacturer_id", collation=collation)
     cols = [c for c in MEDICINE_COLUMNS if c != "brand_id"] + ["package_container", "package_size"]
     distinct = m.select(*cols).distinct()
     keyed = with_dense_key(distinct, "brand_id", ["brand_name", "slug"] +
@@ -77,19 +81,25 @@ def build_medicine_raw(medicine_src: DataFrame, dims: dict[str, DataFrame],
     return prepare_medicine(keyed, compat=compat)
 
 
-def build_catalog(sources: dict[str, DataFrame], compat: bool = False) -> dict[str, DataFrame]:
+def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
+                  collation: str | None = None) -> dict[str, DataFrame]:
     """The nine catalog tables (plus ``medicine_raw``, the hand-off between the
-    medicine load and its child tables)."""
-    dims = build_dimensions(sources)
-    generic, drug_class = build_generic(sources["generic"], dims["drug_class"])
+    medicine load and its child tables).
+
+    ``compat`` reproduces the fixed-arity readings of the modelled loads;
+    ``collation`` (e.g. ``UTF8_LCASE_RTRIM``) makes name keys compare the way
+    a case-insensitive database default would.  Default: exact comparison.
+    """
+    dims = build_dimensions(sources, collation)
+    generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation)
     dims = {**dims, "drug_class": drug_class, "generic": generic}
-    raw = build_medicine_raw(sources["medicine"], dims, compat)
+    raw = build_medicine_raw(sources["medicine"], dims, compat, collation)
     junction_src = sources["generic_indication"].select(
         clean_text("Generic_Name").alias("generic_name"),
         strip_mojibake("Indication").alias("indication_name"))
     junction = build_junction(junction_src, generic, "generic_name", "generic_name", "generic_id",
                               dims["indication"], "indication_name", "indication_name",
-                              "indication_id", "generic_indication_id")
+                              "indication_id", "generic_indication_id", collation=collation)
     return {
         **dims,
         "medicine": raw.select(*MEDICINE_COLUMNS),
@@ -152,6 +162,11 @@ def quality_checks(t: dict[str, DataFrame]) -> DataFrame:
         fk_check(t["generic_indication"], "indication_id", t["indication"], "indication_id",
                  "fk generic_indication.indication_id"),
     ]
+    if "medicine_raw" in t:
+        rejects = parse_rejects(t["medicine_raw"], cont, pack)
+        parts.append(rejects.agg(F.count(F.lit(1)).alias("issue_count"))
+                     .select(F.lit("packed text not fully parsed").alias("check_name"),
+                             "issue_count"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

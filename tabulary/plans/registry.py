@@ -20,7 +20,7 @@ from ..functions.containers import (ORPHAN_PRICE_THEN_PACK, PACK_OPEN, PRICE_FRA
                                     UNIT_PRICE_PREFIX, pattern_after_clean,
                                     pattern_before_insert, taka_count)
 from ..functions.text import TAKA, has_non_ascii, is_null_or_blank
-from ..operators.children import preview_first_block, preview_pack_blocks
+from ..operators.children import parse_rejects, preview_first_block, preview_pack_blocks
 from ..operators.joins import linked, unlinked
 from ..operators.quality import count_checks, duplicate_count, fk_check, row_counts
 from ..operators.reports import (group_counts, group_size_histogram, in_neither, joined_preview,
@@ -759,3 +759,23 @@ SELECT min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price,
 WHERE l_extendedprice IS NOT NULL""", catalog_sql=False)
 def raw_value_range(spark, sf):
     return value_range(table(spark, sf, "lineitem"), "l_extendedprice", "price")
+
+
+@query("parse_rejects", f"""
+SELECT r.brand_id, r.container_signs, coalesce(c.n, 0) AS priced_containers,
+       r.pack_signs, coalesce(s.n, 0) AS pack_rows
+FROM (SELECT brand_id,
+             coalesce(length(package_container) - length(replace(package_container, '৳', '')), 0)
+               AS container_signs,
+             CAST(nb AS BIGINT) AS pack_signs
+      FROM medicine_raw) r
+LEFT JOIN (SELECT brand_id, count(*) AS n FROM medicine_package_container
+           WHERE container_size IS NOT NULL AND unit_price IS NOT NULL GROUP BY 1) c
+  ON c.brand_id = r.brand_id
+LEFT JOIN (SELECT brand_id, count(*) AS n FROM medicine_package_size GROUP BY 1) s
+  ON s.brand_id = r.brand_id
+WHERE r.container_signs <> coalesce(c.n, 0) OR r.pack_signs <> coalesce(s.n, 0)""")
+def parse_rejects_q(spark, sf):
+    t = catalog(spark, sf)
+    return parse_rejects(t["medicine_raw"], t["medicine_package_container"],
+                         t["medicine_package_size"])

@@ -65,3 +65,22 @@ def test_shuffled_left_lookup_spreads_null_keys(spark, monkeypatch):
     got = dict((r.fid, r.id) for r in resolve_fk(facts, dim, "maker", "name", "id", "left").collect())
     assert len(got) == 60
     assert all(got[i] == (None if i % 3 else (1 if i % 2 else 2)) for i in range(60))
+
+
+def test_case_insensitive_collation_option(spark, monkeypatch):
+    import tabulary.operators.joins as J
+    rows = [("Acme", "b"), ("ACME ", "a"), ("Globex", "g")]
+    for shuffled in (False, True):
+        if shuffled:
+            monkeypatch.setattr(J, "checked_broadcast", lambda df, **kw: df)
+        dim = load_dimension(spark.createDataFrame(rows, "Name string, Slug string"), "Name", "Slug",
+                             "id", "name", collation="UTF8_LCASE_RTRIM")
+        got = sorted((r.id, r.name, r.slug) for r in dim.collect())
+        assert got == [(1, "ACME", "a"), (2, "Globex", "g")]   # trimmed, smallest slug wins
+        facts = spark.createDataFrame([(1, "acme"), (2, "GLOBEX  "), (3, "Initech"), (4, None)],
+                                      "fid int, maker string")
+        out = resolve_fk(facts, dim, "maker", "name", "id", "left", collation="UTF8_LCASE_RTRIM")
+        assert sorted((r.fid, r.id) for r in out.collect()) == [(1, 1), (2, 2), (3, None), (4, None)]
+    values = spark.createDataFrame([("acme",), ("Zeta",), ("ZETA",)], "name string")
+    grown = backfill_dimension(dim, values, "id", "name", collation="UTF8_LCASE_RTRIM")
+    assert sorted((r.id, r.name) for r in grown.collect()) == [(1, "ACME"), (2, "Globex"), (3, "ZETA")]
