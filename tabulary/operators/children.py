@@ -103,8 +103,10 @@ def parse_rejects(raw: DataFrame, containers: DataFrame, packs: DataFrame,
     pack rows.  ``(parent_key, container_signs, priced_containers,
     pack_signs, pack_rows)``; empty when nothing was lost."""
     signs = raw.select(parent_key,
-                       F.coalesce(taka_count(F.col("package_container")), F.lit(0)).alias("container_signs"),
-                       F.coalesce(taka_count(F.col("package_size")), F.lit(0)).alias("pack_signs"))
+                       F.coalesce(taka_count(F.col("package_container")), F.lit(0)).cast("long")
+                       .alias("container_signs"),
+                       F.coalesce(taka_count(F.col("package_size")), F.lit(0)).cast("long")
+                       .alias("pack_signs"))
     priced = (containers.filter(F.col("container_size").isNotNull() & F.col("unit_price").isNotNull())
               .groupBy(parent_key).agg(F.count(F.lit(1)).alias("priced_containers")))
     pack_rows = packs.groupBy(parent_key).agg(F.count(F.lit(1)).alias("pack_rows"))
