@@ -57,8 +57,12 @@ def _dirty(c: Column, k: Column) -> Column:
             .otherwise(F.concat(F.lit(NBSP + " "), c)))
 
 
-def _pick(values: tuple[str, ...], idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+def _pick(values: Column, idx: Column) -> Column:
+    return F.element_at(values, (idx + 1).cast("int"))
+
+
+def _strings(values) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def _num(c: Column) -> Column:
@@ -74,8 +78,8 @@ def _container_text(p: DataFrame) -> Column:
     size, key = F.col("p_size"), F.col("p_partkey")
     fmt = key % N_FORMATS
     word = F.expr(f"p_partkey div {N_FORMATS}") % len(CONTAINER_WORDS)
-    raw_words = tuple(w for w, _ in CONTAINER_WORDS)
-    raw_units = tuple(u for u, _ in UNITS)
+    raw_words = _strings(w for w, _ in CONTAINER_WORDS)
+    raw_units = _strings(u for u, _ in UNITS)
 
     def seg(j: int) -> Column:
         return F.concat(_num(size + 5 * j), F.lit(" "),
@@ -132,13 +136,24 @@ def _pack_text(p: DataFrame) -> Column:
             .otherwise(F.lit(None).cast("string")))
 
 
-def medicine_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tables(spark: SparkSession, sf_dir: str):
+    """One reader per table (each read lists files and reads a footer)."""
+    cache: dict[str, DataFrame] = {}
+
+    def get(name: str) -> DataFrame:
+        if name not in cache:
+            cache[name] = table(spark, sf_dir, name)
+        return cache[name]
+    return get
+
+
+def medicine_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
     """One medicine per part; its manufacturer is the part's lowest supplier
     key in ``lineitem`` (pre-aggregated per part before the join)."""
-    part = table(spark, sf_dir, "part")
-    first = (table(spark, sf_dir, "lineitem").groupBy("l_partkey")
-             .agg(F.min("l_suppkey").alias("first_supp")))
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    t = t or _tables(spark, sf_dir)
+    part = t("part")
+    first = t("lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("first_supp"))
+    supplier = t("supplier").select("s_suppkey", "s_name")
     p = (part.join(first, part.p_partkey == first.l_partkey, "left")
          .join(checked_broadcast(supplier), F.col("first_supp") == F.col("s_suppkey"), "left"))
     key, size = F.col("p_partkey"), F.col("p_size")
@@ -158,10 +173,11 @@ def medicine_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def drug_class_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drug_class_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
     """Class file: one line per part of size <= 40 (so classes used only by
     larger parts' generics must be backfilled)."""
-    p = table(spark, sf_dir, "part").filter(F.col("p_size") <= 40)
+    t = t or _tables(spark, sf_dir)
+    p = t("part").filter(F.col("p_size") <= 40)
     key = F.col("p_partkey")
     return p.select(key.cast("int").alias("Drug_Class_ID"),
                     _dirty(F.col("p_type"), key % 4).alias("Drug_Class_Name"),
@@ -169,8 +185,8 @@ def drug_class_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("Generics_Count"))
 
 
-def dosage_form_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+def dosage_form_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
+    p = (t or _tables(spark, sf_dir))("part")
     key = F.col("p_partkey")
     slug = F.concat(F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))), F.lit("-"),
                     _num(F.col("p_size")))
@@ -179,10 +195,10 @@ def dosage_form_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     slug.alias("Slug"), F.lit(None).cast("int").alias("Brand_Names_Count"))
 
 
-def manufacturer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def manufacturer_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
     """Suppliers with a negative balance are missing from the file, so some
     medicines cannot resolve their manufacturer."""
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
+    s = (t or _tables(spark, sf_dir))("supplier").filter(F.col("s_acctbal") >= 0)
     key = F.col("s_suppkey")
     return s.select(key.cast("int").alias("Manufacturer_ID"),
                     _dirty(F.col("s_name"), key % 4).alias("Manufacturer_Name"),
@@ -191,18 +207,18 @@ def manufacturer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("string").alias("Brand_Names_Count"))
 
 
-def indication_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
+def indication_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
+    n = (t or _tables(spark, sf_dir))("nation")
     key = F.col("n_nationkey")
     return n.select(key.alias("Indication_ID"),
                     _dirty(F.col("n_name"), key % 4).alias("Indication_Name"),
                     F.lower("n_name").alias("Slug"), F.lit(None).cast("int").alias("Generics_Count"))
 
 
-def generic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def generic_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
     """Generic file: one line per part.  Parts larger than 45 carry a
     second-line class (' II') that the class file lacks."""
-    p = table(spark, sf_dir, "part")
+    p = (t or _tables(spark, sf_dir))("part")
     key, size = F.col("p_partkey"), F.col("p_size")
     cls = F.concat(F.col("p_type"), F.when(size > 45, F.lit(" II")).otherwise(F.lit("")))
     return p.select(_num(key).alias("Generic_ID"),
@@ -212,14 +228,15 @@ def generic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("string").alias("Indication"))
 
 
-def generic_indication_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def generic_indication_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
     """Generic file with its indication column: one line per distinct
     (part, supplier) sold; the indication is the supplier's nation.  Line
     items are reduced to distinct pairs (map-side) before any join."""
-    pairs = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    t = t or _tables(spark, sf_dir)
+    pairs = t("lineitem").select("l_partkey", "l_suppkey").distinct()
+    part = t("part").select("p_partkey", "p_name")
+    supplier = t("supplier").select("s_suppkey", "s_nationkey")
+    nation = t("nation").select("n_nationkey", "n_name")
     j = (pairs.join(part, pairs.l_partkey == part.p_partkey)
          .join(checked_broadcast(supplier), F.col("l_suppkey") == F.col("s_suppkey"))
          .join(checked_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")))
@@ -229,12 +246,13 @@ def generic_indication_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def analogue_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    t = _tables(spark, sf_dir)
     return {
-        "drug_class": drug_class_source(spark, sf_dir),
-        "dosage_form": dosage_form_source(spark, sf_dir),
-        "manufacturer": manufacturer_source(spark, sf_dir),
-        "indication": indication_source(spark, sf_dir),
-        "generic": generic_source(spark, sf_dir),
-        "generic_indication": generic_indication_source(spark, sf_dir),
-        "medicine": medicine_source(spark, sf_dir),
+        "drug_class": drug_class_source(spark, sf_dir, t),
+        "dosage_form": dosage_form_source(spark, sf_dir, t),
+        "manufacturer": manufacturer_source(spark, sf_dir, t),
+        "indication": indication_source(spark, sf_dir, t),
+        "generic": generic_source(spark, sf_dir, t),
+        "generic_indication": generic_indication_source(spark, sf_dir, t),
+        "medicine": medicine_source(spark, sf_dir, t),
     }

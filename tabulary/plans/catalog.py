@@ -32,10 +32,19 @@ _MEDICINE_TEXT = ("Brand_Name", "Type", "Slug", "Dosage_Form", "Generic", "Stren
                   "Manufacturer", "Package_Container", "Package_Size")
 
 
-def build_dimensions(sources: dict[str, DataFrame],
-                     collation: str | None = None) -> dict[str, DataFrame]:
+def name_cleaner(compat: bool = False):
+    """How dimension-side names are cleaned.  By default the same way as the
+    medicine side (';' read back as ','), so lookups see one convention;
+    compat keeps ';' in dimensions as the modelled loads do, which makes
+    such names miss."""
+    return clean_text if compat else restore_commas
+
+
+def build_dimensions(sources: dict[str, DataFrame], collation: str | None = None,
+                     compat: bool = False) -> dict[str, DataFrame]:
     def dim(src, name, key, out):
-        return load_dimension(sources[src], name, "Slug", key, out, collation=collation)
+        return load_dimension(sources[src], name, "Slug", key, out,
+                              cleaner=name_cleaner(compat), collation=collation)
     return {
         "drug_class": dim("drug_class", "Drug_Class_Name", "drug_class_id", "drug_class_name"),
         "dosage_form": dim("dosage_form", "Dosage_Form_Name", "dosage_form_id", "dosage_form_name"),
@@ -46,12 +55,13 @@ def build_dimensions(sources: dict[str, DataFrame],
 
 
 def build_generic(generic_src: DataFrame, drug_class: DataFrame,
-                  collation: str | None = None) -> tuple[DataFrame, DataFrame]:
+                  collation: str | None = None, compat: bool = False) -> tuple[DataFrame, DataFrame]:
     """Backfill classes seen only in the generic file, then one row per
     generic name with its class resolved by an inner lookup."""
-    gen = generic_src.select(collated(clean_text("Generic_Name"), collation).alias("generic_name"),
+    clean = name_cleaner(compat)
+    gen = generic_src.select(collated(clean("Generic_Name"), collation).alias("generic_name"),
                              clean_text("Slug").alias("slug"),
-                             clean_text("Drug_Class").alias("drug_class"))
+                             clean("Drug_Class").alias("drug_class"))
     classes = gen.select(F.col("drug_class").alias("drug_class_name"))
     drug_class = backfill_dimension(drug_class, classes, "drug_class_id", "drug_class_name",
                                     collation=collation)
@@ -90,13 +100,14 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
     ``collation`` (e.g. ``UTF8_LCASE_RTRIM``) makes name keys compare the way
     a case-insensitive database default would.  Default: exact comparison.
     """
-    dims = build_dimensions(sources, collation)
-    generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation)
+    dims = build_dimensions(sources, collation, compat)
+    generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation, compat)
     dims = {**dims, "drug_class": drug_class, "generic": generic}
     raw = build_medicine_raw(sources["medicine"], dims, compat, collation)
+    clean = name_cleaner(compat)
     junction_src = sources["generic_indication"].select(
-        clean_text("Generic_Name").alias("generic_name"),
-        strip_mojibake("Indication").alias("indication_name"))
+        clean("Generic_Name").alias("generic_name"),
+        clean(strip_mojibake("Indication")).alias("indication_name"))
     junction = build_junction(junction_src, generic, "generic_name", "generic_name", "generic_id",
                               dims["indication"], "indication_name", "indication_name",
                               "indication_id", "generic_indication_id", collation=collation)

@@ -62,10 +62,18 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType,
     return df
 
 
+# Source file names.
+FILE_NAMES = {"drug_class": "Drug_Class.csv", "dosage_form": "Dosage_Form.csv",
+              "manufacturer": "Manufacturer.csv", "indication": "Indication.csv",
+              "generic": "Generic.csv", "medicine": "Medicine.csv"}
+
+
 def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The six staging sources from ``folder/<Name>.csv``."""
-    names = {"drug_class": "Drug_Class.csv", "dosage_form": "Dosage_Form.csv",
-             "manufacturer": "Manufacturer.csv", "indication": "Indication.csv",
-             "generic": "Generic.csv", "medicine": "Medicine.csv"}
-    return {k: read_source(spark, f"{folder.rstrip('/')}/{f}", SCHEMAS[k], k in QUOTED)
-            for k, f in names.items()}
+    """The staging sources from ``folder/<Name>.csv``.  The generic file is
+    read once and serves both the generic load and the generic-indication
+    junction (its ``Indication`` column)."""
+    out = {k: read_source(spark, f"{folder.rstrip('/')}/{f}", SCHEMAS[k], k in QUOTED)
+           for k, f in FILE_NAMES.items()}
+    out["generic_indication"] = out["generic"].select(
+        "Generic_Name", "Indication").filter("Indication IS NOT NULL")
+    return out
