@@ -52,6 +52,30 @@ def fk_check(child: DataFrame, fk: str, parent: DataFrame, pk: str, check_name:
             .select(F.lit(check_name).alias("check_name"), "issue_count"))
 
 
+def fk_checks(child: DataFrame, specs: list[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """Several foreign keys of one child table, ``specs`` = [(check_name, fk,
+    parent, pk)].  Parents whose size is proven small are checked together in
+    one scan of the child against broadcast key sets (no shuffle); the others
+    go through :func:`fk_check`."""
+    from .keys import BROADCAST_MAX_ROWS, known_rows, row_count_at_most
+
+    small, parts = [], []
+    for name, fk, parent, pk in specs:
+        n = known_rows(parent)
+        fits = n <= BROADCAST_MAX_ROWS if n is not None else row_count_at_most(parent, BROADCAST_MAX_ROWS)
+        (small.append if fits else parts.append)((name, fk, parent, pk))
+    parts = [fk_check(child, fk, parent, pk, name) for name, fk, parent, pk in parts]
+    if small:
+        flagged = child.select(*{fk for _, fk, _, _ in small})
+        conds = {}
+        for i, (name, fk, parent, pk) in enumerate(small):
+            keys = parent.select(F.col(pk).alias(f"__pk{i}")).distinct()
+            flagged = flagged.join(F.broadcast(keys), F.col(fk) == F.col(f"__pk{i}"), "left")
+            conds[name] = F.col(fk).isNotNull() & F.col(f"__pk{i}").isNull()
+        parts.append(count_checks(flagged, conds))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def with_expectations(checks: DataFrame, expected: dict[str, int] | None = None) -> DataFrame:
     """Add ``expected`` (default 0) and ``passed`` columns."""
     expected = expected or {}

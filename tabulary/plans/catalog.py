@@ -21,7 +21,7 @@ from ..operators.children import (parse_containers, parse_pack_sizes, parse_reje
 from ..operators.dims import backfill_dimension, collated, dedupe_by_key, load_dimension
 from ..operators.joins import build_junction, resolve_fk
 from ..operators.keys import with_dense_key
-from ..operators.quality import count_checks, duplicate_count, fk_check, with_expectations
+from ..operators.quality import count_checks, duplicate_count, fk_checks, with_expectations
 
 TABLE_NAMES = ("drug_class", "dosage_form", "manufacturer", "indication", "generic",
                "medicine", "medicine_package_size", "medicine_package_container",
@@ -121,60 +121,86 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
     }
 
 
-def quality_checks(t: dict[str, DataFrame]) -> DataFrame:
-    """All integrity checks of the validation script as one DataFrame
-    ``(check_name, issue_count)``; checks on one table share one scan."""
-    med, pack, cont = t["medicine"], t["medicine_package_size"], t["medicine_package_container"]
-    parts = [
-        duplicate_count(t["drug_class"], ["drug_class_name"], "duplicate drug_class_name"),
-        duplicate_count(t["dosage_form"], ["dosage_form_name"], "duplicate dosage_form_name"),
-        duplicate_count(t["manufacturer"], ["manufacturer_name"], "duplicate manufacturer_name"),
-        duplicate_count(t["indication"], ["indication_name"], "duplicate indication_name"),
-        duplicate_count(t["generic"], ["generic_name"], "duplicate generic_name"),
-        duplicate_count(med, ["brand_name", "strength", "dosage_form_id", "manufacturer_id"],
-                        "duplicate medicine"),
-        duplicate_count(pack, ["brand_id", "pack_size", "pack_price"], "duplicate pack"),
-        duplicate_count(cont, ["brand_id", "container_size", "unit_price"], "duplicate container"),
-        count_checks(t["drug_class"], {"null drug_class_name": is_null_or_blank("drug_class_name")}),
-        count_checks(t["dosage_form"], {"null dosage_form_name": is_null_or_blank("dosage_form_name")}),
-        count_checks(t["manufacturer"], {"null manufacturer_name": is_null_or_blank("manufacturer_name")}),
-        count_checks(t["indication"], {"null indication_name": is_null_or_blank("indication_name")}),
-        count_checks(t["generic"], {"null generic_name": is_null_or_blank("generic_name"),
-                                    "generic without class": F.col("drug_class_id").isNull()}),
-        count_checks(med, {
-            "medicine without dosage form": F.col("dosage_form_id").isNull(),
-            "medicine without generic": F.col("generic_id").isNull(),
-            "medicine without manufacturer": F.col("manufacturer_id").isNull(),
-            "null brand_name": is_null_or_blank("brand_name"),
-            "semicolon in brand_name": F.col("brand_name").contains(";"),
-            "semicolon in strength": F.col("strength").contains(";")}),
-        count_checks(pack, {"null pack_size": F.col("pack_size").isNull(),
-                            "null pack_price": F.col("pack_price").isNull()}),
-        count_checks(cont, {
-            "container without size and price": F.col("container_size").isNull()
-            & F.col("unit_price").isNull(),
-            "container without price": F.col("unit_price").isNull(),
-            "container without type": F.col("container_type").isNull(),
-            "semicolon in container_size": F.col("container_size").contains(";"),
-            "currency sign in container_size": F.col("container_size").contains(TAKA),
-            "non-ascii container_size": has_non_ascii("container_size"),
-            "typos left in container_size": typo_left(F.col("container_size"))}),
-        fk_check(t["generic"], "drug_class_id", t["drug_class"], "drug_class_id",
-                 "fk generic.drug_class_id"),
-        fk_check(med, "dosage_form_id", t["dosage_form"], "dosage_form_id",
-                 "fk medicine.dosage_form_id"),
-        fk_check(med, "generic_id", t["generic"], "generic_id", "fk medicine.generic_id"),
-        fk_check(med, "manufacturer_id", t["manufacturer"], "manufacturer_id",
-                 "fk medicine.manufacturer_id"),
-        fk_check(pack, "brand_id", med, "brand_id", "fk package_size.brand_id"),
-        fk_check(cont, "brand_id", med, "brand_id", "fk package_container.brand_id"),
-        fk_check(t["generic_indication"], "generic_id", t["generic"], "generic_id",
-                 "fk generic_indication.generic_id"),
-        fk_check(t["generic_indication"], "indication_id", t["indication"], "indication_id",
-                 "fk generic_indication.indication_id"),
-    ]
-    if "medicine_raw" in t:
-        rejects = parse_rejects(t["medicine_raw"], cont, pack)
+DUPLICATE_KEYS = (       # (check, table, key columns)
+    ("duplicate drug_class_name", "drug_class", ["drug_class_name"]),
+    ("duplicate dosage_form_name", "dosage_form", ["dosage_form_name"]),
+    ("duplicate manufacturer_name", "manufacturer", ["manufacturer_name"]),
+    ("duplicate indication_name", "indication", ["indication_name"]),
+    ("duplicate generic_name", "generic", ["generic_name"]),
+    ("duplicate medicine", "medicine", ["brand_name", "strength", "dosage_form_id", "manufacturer_id"]),
+    ("duplicate pack", "medicine_package_size", ["brand_id", "pack_size", "pack_price"]),
+    ("duplicate container", "medicine_package_container", ["brand_id", "container_size", "unit_price"]),
+)
+FOREIGN_KEYS = (         # (check, child, fk, parent, pk)
+    ("fk generic.drug_class_id", "generic", "drug_class_id", "drug_class", "drug_class_id"),
+    ("fk medicine.dosage_form_id", "medicine", "dosage_form_id", "dosage_form", "dosage_form_id"),
+    ("fk medicine.generic_id", "medicine", "generic_id", "generic", "generic_id"),
+    ("fk medicine.manufacturer_id", "medicine", "manufacturer_id", "manufacturer", "manufacturer_id"),
+    ("fk package_size.brand_id", "medicine_package_size", "brand_id", "medicine", "brand_id"),
+    ("fk package_container.brand_id", "medicine_package_container", "brand_id", "medicine", "brand_id"),
+    ("fk generic_indication.generic_id", "generic_indication", "generic_id", "generic", "generic_id"),
+    ("fk generic_indication.indication_id", "generic_indication", "indication_id", "indication",
+     "indication_id"),
+)
+
+
+def row_conditions():
+    """(group, check, table, condition) for every per-row count check."""
+    c = F.col
+    return (
+        ("nulls", "null drug_class_name", "drug_class", is_null_or_blank("drug_class_name")),
+        ("nulls", "null dosage_form_name", "dosage_form", is_null_or_blank("dosage_form_name")),
+        ("nulls", "null manufacturer_name", "manufacturer", is_null_or_blank("manufacturer_name")),
+        ("nulls", "null indication_name", "indication", is_null_or_blank("indication_name")),
+        ("nulls", "null generic_name", "generic", is_null_or_blank("generic_name")),
+        ("nulls", "generic without class", "generic", c("drug_class_id").isNull()),
+        ("nulls", "medicine without dosage form", "medicine", c("dosage_form_id").isNull()),
+        ("nulls", "medicine without generic", "medicine", c("generic_id").isNull()),
+        ("nulls", "medicine without manufacturer", "medicine", c("manufacturer_id").isNull()),
+        ("nulls", "null brand_name", "medicine", is_null_or_blank("brand_name")),
+        ("nulls", "null pack_size", "medicine_package_size", c("pack_size").isNull()),
+        ("nulls", "null pack_price", "medicine_package_size", c("pack_price").isNull()),
+        ("nulls", "container without size and price", "medicine_package_container",
+         c("container_size").isNull() & c("unit_price").isNull()),
+        ("nulls", "container without price", "medicine_package_container", c("unit_price").isNull()),
+        ("nulls", "container without type", "medicine_package_container",
+         c("container_type").isNull()),
+        ("chars", "semicolon in brand_name", "medicine", c("brand_name").contains(";")),
+        ("chars", "semicolon in strength", "medicine", c("strength").contains(";")),
+        ("chars", "semicolon in container_size", "medicine_package_container",
+         c("container_size").contains(";")),
+        ("chars", "currency sign in container_size", "medicine_package_container",
+         c("container_size").contains(TAKA)),
+        ("chars", "non-ascii container_size", "medicine_package_container",
+         has_non_ascii("container_size")),
+        ("chars", "typos left in container_size", "medicine_package_container",
+         typo_left(c("container_size"))),
+    )
+
+
+CHECK_GROUPS = ("duplicates", "nulls", "chars", "fk", "parse")
+
+
+def quality_checks(t: dict[str, DataFrame], groups=CHECK_GROUPS) -> DataFrame:
+    """Integrity checks of the validation script as ``(check_name,
+    issue_count)``.  Per-row checks of one table are merged into one
+    aggregate (one scan per table, whatever groups are asked for)."""
+    parts = []
+    if "duplicates" in groups:
+        parts += [duplicate_count(t[tbl], keys, name) for name, tbl, keys in DUPLICATE_KEYS]
+    per_table: dict[str, dict] = {}
+    for group, name, tbl, cond in row_conditions():
+        if group in groups:
+            per_table.setdefault(tbl, {})[name] = cond
+    parts += [count_checks(t[tbl], conds) for tbl, conds in per_table.items()]
+    if "fk" in groups:
+        by_child: dict[str, list] = {}
+        for name, c, fk, p, pk in FOREIGN_KEYS:
+            by_child.setdefault(c, []).append((name, fk, t[p], pk))
+        parts += [fk_checks(t[c], specs) for c, specs in by_child.items()]
+    if "parse" in groups and "medicine_raw" in t:
+        rejects = parse_rejects(t["medicine_raw"], t["medicine_package_container"],
+                                t["medicine_package_size"])
         parts.append(rejects.agg(F.count(F.lit(1)).alias("issue_count"))
                      .select(F.lit("packed text not fully parsed").alias("check_name"),
                              "issue_count"))

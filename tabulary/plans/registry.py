@@ -22,7 +22,7 @@ from ..functions.containers import (ORPHAN_PRICE_THEN_PACK, PACK_OPEN, PRICE_FRA
 from ..functions.text import TAKA, has_non_ascii, is_null_or_blank
 from ..operators.children import parse_rejects, preview_first_block, preview_pack_blocks
 from ..operators.joins import linked, unlinked
-from ..operators.quality import count_checks, duplicate_count, fk_check, row_counts
+from ..operators.quality import count_checks, duplicate_count, fk_check, fk_checks, row_counts
 from ..operators.reports import (group_counts, group_size_histogram, in_neither, joined_preview,
                                  oversized_groups, top_k, value_frequency, value_range)
 from ..sources.tables import table
@@ -329,17 +329,11 @@ _DUPS = [("duplicate drug_class_name", "drug_class", "drug_class_name"),
 
 @query("duplicate_groups", " UNION ALL ".join(_dup_sql(*d) for d in _DUPS))
 def duplicate_groups_q(spark, sf):
-    t = catalog(spark, sf)
-    parts = [duplicate_count(t[tbl], [k.strip() for k in keys.split(",")], name)
-             for name, tbl, keys in _DUPS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality_checks(catalog(spark, sf), ("duplicates",))
 
 
-def _checks_of(spark, sf, names: tuple[str, ...]) -> DataFrame:
-    return quality_checks(catalog(spark, sf)).filter(F.col("check_name").isin(*names))
+def _checks_of(spark, sf, group: str) -> DataFrame:
+    return quality_checks(catalog(spark, sf), (group,))
 
 
 def _cnt(name: str, table_: str, cond: str) -> str:
@@ -370,7 +364,7 @@ _NULLS = [
 
 @query("null_or_blank", " UNION ALL ".join(_cnt(*c) for c in _NULLS))
 def null_or_blank(spark, sf):
-    return _checks_of(spark, sf, tuple(n for n, _, _ in _NULLS))
+    return _checks_of(spark, sf, "nulls")
 
 
 _CHARS = [
@@ -389,7 +383,7 @@ _CHARS = [
 
 @query("leftover_chars", " UNION ALL ".join(_cnt(*c) for c in _CHARS))
 def leftover_chars(spark, sf):
-    return _checks_of(spark, sf, tuple(n for n, _, _ in _CHARS))
+    return _checks_of(spark, sf, "chars")
 
 
 def _fk_sql(name, child, fk, parent, pk):
@@ -415,12 +409,7 @@ _FKS = [("fk generic.drug_class_id", "generic", "drug_class_id", "drug_class", "
 
 @query("broken_fk", " UNION ALL ".join(_fk_sql(*f) for f in _FKS))
 def broken_fk_q(spark, sf):
-    t = catalog(spark, sf)
-    parts = [fk_check(t[c], fk, t[p], pk, n) for n, c, fk, p, pk in _FKS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return quality_checks(catalog(spark, sf), ("fk",))
 
 
 # ------------------------------------------------------------------ reports
@@ -662,8 +651,10 @@ _RAW_FKS = [("fk orders.o_custkey", "orders", "o_custkey", "customer", "c_custke
 
 @query("raw_broken_fk", " UNION ALL ".join(_fk_sql(*f) for f in _RAW_FKS), catalog_sql=False)
 def raw_broken_fk(spark, sf):
-    parts = [fk_check(table(spark, sf, c), fk, table(spark, sf, p), pk, n)
-             for n, c, fk, p, pk in _RAW_FKS]
+    by_child: dict[str, list] = {}
+    for n, c, fk, p, pk in _RAW_FKS:
+        by_child.setdefault(c, []).append((n, fk, table(spark, sf, p), pk))
+    parts = [fk_checks(table(spark, sf, c), specs) for c, specs in by_child.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

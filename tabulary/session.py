@@ -45,7 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     machine-local one there.  Only a local-mode session (tests, bench) gets a
     fresh temporary folder when nothing is configured.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current

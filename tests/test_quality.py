@@ -32,3 +32,16 @@ def test_reports(spark):
     assert [r.pk for r in in_neither(parent, "pk", child, child, "fk").collect()] == [3]
     r = value_range(spark.createDataFrame([(1.0,), (2.0,), (None,)], "x double"), "x", "x").first()
     assert (r.min_x, r.max_x, r.avg_x) == (1.0, 2.0, 1.5)
+
+
+def test_fk_checks_one_scan_and_fallback(spark, monkeypatch):
+    import tabulary.operators.keys as K
+    from tabulary.operators.quality import fk_checks
+    p1 = spark.createDataFrame([(1,), (2,)], "pk long")
+    p2 = spark.createDataFrame([(10,), (20,), (20,)], "pk long")
+    child = spark.createDataFrame([(1, 10), (3, 20), (None, 30), (3, None), (2, 30)], "a long, b long")
+    specs = [("a broken", "a", p1, "pk"), ("b broken", "b", p2, "pk")]
+    want = {"a broken": 2, "b broken": 2}
+    assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
+    monkeypatch.setattr(K, "BROADCAST_MAX_ROWS", 1)       # force the shuffled path
+    assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
