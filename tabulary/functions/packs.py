@@ -27,6 +27,20 @@ def pack_blocks(c: Column, compat: bool = False) -> Column:
     return F.slice(blocks, 1, 3) if compat else blocks
 
 
+def pack_block_strings(c: Column, compat: bool = False) -> Column:
+    """Array<string> of the pack blocks in ``c``; compat keeps three."""
+    blocks = F.regexp_extract_all(c, F.lit(PACK_BLOCK), 0)
+    return F.slice(blocks, 1, 3) if compat else blocks
+
+
+def block_size(block: Column) -> Column:
+    return F.regexp_extract(block, PACK_BLOCK, 1).try_cast("int")
+
+
+def block_price(block: Column) -> Column:
+    return to_decimal_price(F.regexp_extract(block, PACK_BLOCK, 2))
+
+
 def block_strings(c: Column, limit: int = 3) -> Column:
     """The raw block strings, split at '),(' boundaries; the last of
     ``limit`` keeps the rest of the string (I23 preview)."""

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import classify_container, fix_typos
-from ..functions.containers import (clean_steps, container_format, segments, taka_count,
-                                    unit_price)
-from ..functions.packs import block_strings, pack_blocks
+from ..functions.containers import (clean_steps, container_format, segment_price, segment_size,
+                                    segment_strings, segments, taka_count, unit_price)
+from ..functions.packs import block_price, block_size, block_strings, pack_block_strings
 from ..functions.text import TAKA
 from .keys import with_dense_key
 
@@ -44,10 +44,13 @@ def prepare_medicine(df: DataFrame, text: str = "package_container",
 
 def parse_pack_sizes(df: DataFrame, parent_key: str = "brand_id", text: str = "package_size",
                      key: str = "package_size_id", compat: bool = False) -> DataFrame:
-    """One row per pack block: (key, parent_key, pack_size, pack_price)."""
-    rows = (df.select(parent_key, F.posexplode(pack_blocks(F.col(text), compat)).alias("pos", "b"))
-            .select(parent_key, "pos", F.col("b.pack_size").alias("pack_size"),
-                    F.col("b.pack_price").alias("pack_price")))
+    """One row per pack block: (key, parent_key, pack_size, pack_price).
+    Blocks are exploded as strings and parsed with plain regex expressions,
+    which stay inside whole-stage codegen."""
+    blocks = pack_block_strings(F.col(text), compat)
+    rows = (df.select(parent_key, F.posexplode(blocks).alias("pos", "b"))
+            .select(parent_key, "pos", block_size(F.col("b")).alias("pack_size"),
+                    block_price(F.col("b")).alias("pack_price")))
     return with_dense_key(rows, key, [parent_key, "pos"]).drop("pos")
 
 
@@ -64,11 +67,10 @@ def preview_first_block(df: DataFrame, parent_key: str = "brand_id", text: str =
                         k: int = 20) -> DataFrame:
     """Size and price read from single-block pack texts, first ``k`` parents
     in key order (I23's top-20 previews)."""
-    first = F.get(pack_blocks(F.col(text)), 0)
     single = F.col(text).contains(TAKA) & ~F.col(text).contains("),(")
     return (df.filter(single)
-            .select(parent_key, first["pack_size"].alias("pack_size_preview"),
-                    first["pack_price"].alias("pack_price_preview"))
+            .select(parent_key, block_size(F.col(text)).alias("pack_size_preview"),
+                    block_price(F.col(text)).alias("pack_price_preview"))
             .orderBy(parent_key).limit(k))
 
 
@@ -81,16 +83,31 @@ def parse_containers(df: DataFrame, parent_key: str = "brand_id",
     one row with a NULL container (format B, I30).  Priced, unpriced and
     mixed segments all come out of the same array.
     """
-    size_t = "struct<container_size:string,unit_price:decimal(10,2)>"
-    unit_only = F.array(F.struct(F.lit(None).cast("string").alias("container_size"),
-                                 F.col(price).alias("unit_price")))
-    items = (F.when(F.col(text).isNotNull(), segments(F.col(text), compat))
-             .when(F.col(price).isNotNull(), unit_only)
-             .otherwise(F.array().cast(f"array<{size_t}>")))
-    rows = df.select(parent_key, F.posexplode(items).alias("pos", "s"))
-    fixed = fix_typos(F.col("s.container_size"))
-    typed = rows.select(parent_key, "pos", fixed.alias("container_size"),
-                        F.col("s.unit_price").alias("unit_price"))
+    if compat:
+        size_t = "struct<container_size:string,unit_price:decimal(10,2)>"
+        unit_only = F.array(F.struct(F.lit(None).cast("string").alias("container_size"),
+                                     F.col(price).alias("unit_price")))
+        items = (F.when(F.col(text).isNotNull(), segments(F.col(text), compat))
+                 .when(F.col(price).isNotNull(), unit_only)
+                 .otherwise(F.array().cast(f"array<{size_t}>")))
+        rows = df.select(parent_key, F.posexplode(items).alias("pos", "s"))
+        size, unit = F.col("s.container_size"), F.col("s.unit_price")
+    else:
+        # Segment strings are exploded and parsed by plain regex expressions
+        # (codegen-friendly); a NULL element stands for the unit-price row.
+        items = (F.when(F.col(text).isNotNull(), segment_strings(F.col(text)))
+                 .when(F.col(price).isNotNull(), F.array(F.lit(None).cast("string"))))
+        rows = (df.select(parent_key, F.col(price).alias("__unit"),
+                          F.posexplode(items).alias("pos", "seg")))
+        seg = F.col("seg")
+        rows = rows.select(parent_key, "pos",
+                           F.when(seg.isNotNull(), segment_size(seg)).alias("container_size"),
+                           F.when(seg.isNull(), F.col("__unit")).otherwise(segment_price(seg))
+                           .alias("unit_price"))
+        rows = rows.filter(F.col("container_size").isNull() | (F.col("container_size") != ""))
+        size, unit = F.col("container_size"), F.col("unit_price")
+    fixed = fix_typos(size)
+    typed = rows.select(parent_key, "pos", fixed.alias("container_size"), unit.alias("unit_price"))
     typed = typed.withColumn("container_type", classify_container(F.col("container_size")))
     return with_dense_key(typed, key, [parent_key, "pos"]).drop("pos")
 
