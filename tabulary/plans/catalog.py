@@ -10,6 +10,8 @@ rerun on the same input writes the same output.
 
 from __future__ import annotations
 
+from concurrent.futures import Executor, ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,18 +42,26 @@ def name_cleaner(compat: bool = False):
     return clean_text if compat else restore_commas
 
 
+_DIMENSIONS = {          # table: (source name column, key, output name column)
+    "drug_class": ("Drug_Class_Name", "drug_class_id", "drug_class_name"),
+    "dosage_form": ("Dosage_Form_Name", "dosage_form_id", "dosage_form_name"),
+    "manufacturer": ("Manufacturer_Name", "manufacturer_id", "manufacturer_name"),
+    "indication": ("Indication_Name", "indication_id", "indication_name"),
+}
+
+
 def build_dimensions(sources: dict[str, DataFrame], collation: str | None = None,
-                     compat: bool = False) -> dict[str, DataFrame]:
-    def dim(src, name, key, out):
-        return load_dimension(sources[src], name, "Slug", key, out,
+                     compat: bool = False, pool: Executor | None = None) -> dict[str, DataFrame]:
+    """The four independent dimensions; with ``pool`` their jobs run
+    concurrently."""
+    def dim(table_):
+        name, key, out = _DIMENSIONS[table_]
+        return load_dimension(sources[table_], name, "Slug", key, out,
                               cleaner=name_cleaner(compat), collation=collation)
-    return {
-        "drug_class": dim("drug_class", "Drug_Class_Name", "drug_class_id", "drug_class_name"),
-        "dosage_form": dim("dosage_form", "Dosage_Form_Name", "dosage_form_id", "dosage_form_name"),
-        "manufacturer": dim("manufacturer", "Manufacturer_Name", "manufacturer_id",
-                            "manufacturer_name"),
-        "indication": dim("indication", "Indication_Name", "indication_id", "indication_name"),
-    }
+    if pool is None:
+        return {t: dim(t) for t in _DIMENSIONS}
+    futures = {t: pool.submit(dim, t) for t in _DIMENSIONS}
+    return {t: f.result() for t, f in futures.items()}
 
 
 def build_generic(generic_src: DataFrame, drug_class: DataFrame,
@@ -100,25 +110,34 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
     ``collation`` (e.g. ``UTF8_LCASE_RTRIM``) makes name keys compare the way
     a case-insensitive database default would.  Default: exact comparison.
     """
-    dims = build_dimensions(sources, collation, compat)
-    generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation, compat)
-    dims = {**dims, "drug_class": drug_class, "generic": generic}
-    raw = build_medicine_raw(sources["medicine"], dims, compat, collation)
     clean = name_cleaner(compat)
     junction_src = sources["generic_indication"].select(
         clean("Generic_Name").alias("generic_name"),
         clean(strip_mojibake("Indication")).alias("indication_name"))
-    junction = build_junction(junction_src, generic, "generic_name", "generic_name", "generic_id",
-                              dims["indication"], "indication_name", "indication_name",
-                              "indication_id", "generic_indication_id", collation=collation)
-    return {
-        **dims,
-        "medicine": raw.select(*MEDICINE_COLUMNS),
-        "medicine_package_size": parse_pack_sizes(raw, compat=compat),
-        "medicine_package_container": parse_containers(raw, compat=compat),
-        "generic_indication": junction,
-        "medicine_raw": raw,
-    }
+    # Independent stages are submitted from a few threads so their Spark jobs
+    # overlap (four dimensions; then medicines and the junction; then the two
+    # child tables).  Each stage is deterministic, so the order of completion
+    # does not matter.
+    with ThreadPoolExecutor(max_workers=4, thread_name_prefix="tabulary") as pool:
+        dims = build_dimensions(sources, collation, compat, pool)
+        generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation,
+                                            compat)
+        dims = {**dims, "drug_class": drug_class, "generic": generic}
+        junction = pool.submit(build_junction, junction_src, generic, "generic_name",
+                               "generic_name", "generic_id", dims["indication"], "indication_name",
+                               "indication_name", "indication_id", "generic_indication_id",
+                               collation)
+        raw = build_medicine_raw(sources["medicine"], dims, compat, collation)
+        packs = pool.submit(parse_pack_sizes, raw, compat=compat)
+        containers = pool.submit(parse_containers, raw, compat=compat)
+        return {
+            **dims,
+            "medicine": raw.select(*MEDICINE_COLUMNS),
+            "medicine_package_size": packs.result(),
+            "medicine_package_container": containers.result(),
+            "generic_indication": junction.result(),
+            "medicine_raw": raw,
+        }
 
 
 DUPLICATE_KEYS = (       # (check, table, key columns)
