@@ -64,3 +64,13 @@ def test_broken_fk_is_reported(spark):
     report = {r.check_name: r for r in validate(t).collect()}
     assert report["fk package_size.brand_id"].issue_count > 0 or report["fk package_container.brand_id"].issue_count > 0
     assert not (report["fk package_size.brand_id"].passed and report["fk package_container.brand_id"].passed)
+
+
+def test_expectations_turn_informational_checks_into_gates(spark):
+    from tabulary.plans.catalog import PUBLISHED_RESULTS
+    t = build_catalog(analogue_sources(spark, SMOKE_DIR))
+    report = {r.check_name: r for r in validate(t, PUBLISHED_RESULTS).collect()}
+    # the driver tables are not the author's files: the published counts do not hold
+    assert not report["container without price"].passed
+    assert report["container without price"].expected == 39
+    assert report["fk medicine.generic_id"].passed
