@@ -208,9 +208,14 @@ def manufacturer_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
 
 
 def indication_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
-    n = (t or _tables(spark, sf_dir))("nation")
-    key = F.col("n_nationkey")
-    return n.select(key.alias("Indication_ID"),
+    """Indication file: one line per supplier naming its nation (so the file
+    grows with the supplier table and repeats names)."""
+    t = t or _tables(spark, sf_dir)
+    nation = t("nation").select("n_nationkey", "n_name")
+    s = t("supplier").select("s_suppkey", "s_nationkey")
+    j = s.join(checked_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    key = F.col("s_suppkey")
+    return j.select(key.cast("int").alias("Indication_ID"),
                     _dirty(F.col("n_name"), key % 4).alias("Indication_Name"),
                     F.lower("n_name").alias("Slug"), F.lit(None).cast("int").alias("Generics_Count"))
 

@@ -75,7 +75,7 @@ manufacturer AS (
 indication AS (
   SELECT CAST(row_number() OVER (ORDER BY n_name) AS BIGINT) AS indication_id,
          n_name AS indication_name, lower(n_name) AS slug
-  FROM nation),
+  FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)),
 drug_class_base AS (
   SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS drug_class_id,
          name AS drug_class_name, slug
