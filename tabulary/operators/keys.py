@@ -3,7 +3,8 @@
 ``with_dense_key`` numbers rows 1..n (plus ``start``) in the order of a total
 key without a single-partition window:
 
-1. range-partition and sort by the order key (one shuffle, sampled bounds);
+1. range-partition and sort by the order key (one shuffle, sampled bounds;
+   AQE sizes the partitions unless a count is given);
 2. reliable ``checkpoint()`` so the partition layout is fixed and survives
    executor loss (never a local checkpoint);
 3. count rows per partition -- the only collect, bounded by the number of
@@ -40,9 +41,12 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
     other columns."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _order_cols(order)
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    # Without an explicit count the range exchange is sized by AQE, which only
+    # merges adjacent ranges, so partition order still follows the key.
+    exchange = (df.repartitionByRange(num_partitions, *cols) if num_partitions
+                else df.repartitionByRange(*cols))
+    ranged = exchange.sortWithinPartitions(*cols).checkpoint(eager=True)
     pid = F.spark_partition_id()
     counts = dict(ranged.groupBy(pid.alias("pid")).count().collect())
     width = max(counts, default=-1) + 1             # empty partitions count 0
