@@ -21,7 +21,9 @@ from ..functions.containers import (ORPHAN_PRICE_THEN_PACK, PACK_OPEN, PRICE_FRA
                                     pattern_before_insert, taka_count)
 from ..functions.text import TAKA, has_non_ascii, is_null_or_blank
 from ..operators.children import parse_rejects, preview_first_block, preview_pack_blocks
+from ..operators.dims import dedupe_by_key
 from ..operators.joins import linked, unlinked
+from ..operators.keys import with_dense_key
 from ..operators.quality import count_checks, duplicate_count, fk_check, fk_checks, row_counts
 from ..operators.reports import (group_counts, group_size_histogram, in_neither, joined_preview,
                                  oversized_groups, top_k, value_frequency, value_range)
@@ -770,3 +772,20 @@ def parse_rejects_q(spark, sf):
     t = catalog(spark, sf)
     return parse_rejects(t["medicine_raw"], t["medicine_package_container"],
                          t["medicine_package_size"])
+
+
+@query("raw_first_line_per_order", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) = 1""",
+       catalog_sql=False)
+def raw_first_line_per_order(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return dedupe_by_key(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity"])
+
+
+@query("raw_dense_key_orders", """
+SELECT CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS order_seq,
+       o_orderkey FROM orders""", catalog_sql=False)
+def raw_dense_key_orders(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return with_dense_key(o, "order_seq", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
