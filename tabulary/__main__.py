@@ -2,7 +2,8 @@
 tables as Parquet, and write / print the validation report.
 
     python -m tabulary build SOURCES_DIR OUT_DIR [--compat] [--collation UTF8_LCASE_RTRIM]
-    python -m tabulary validate OUT_DIR
+                             [--expect zero|published]
+    python -m tabulary validate OUT_DIR [--expect zero|published]
 
 Run it with ``spark-submit`` on a cluster (set ``spark.checkpoint.dir`` to a
 shared folder); without a master it starts a local session.
@@ -17,7 +18,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators.quality import CheckFailed, assert_checks
-from .plans.catalog import TABLE_NAMES, build_catalog, validate
+from .plans.catalog import PUBLISHED_RESULTS, TABLE_NAMES, build_catalog, validate
 from .session import ensure_checkpoint_dir, local_session
 from .sources.csv import read_sources
 from .sources.sinks import write_table
@@ -45,6 +46,9 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--collation", default=None, help="collation for name keys")
     v = sub.add_parser("validate", help="check a written catalog")
     v.add_argument("out")
+    for p in (b, v):
+        p.add_argument("--expect", choices=["zero", "published"], default="zero",
+                       help="'published': gate on the counts published for the original files")
     args = ap.parse_args(argv)
 
     spark = _session()
@@ -55,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"rows": counts}))
     else:
         tables = {n: spark.read.parquet(f"{out}/{n}") for n in TABLE_NAMES}
-    report = validate(tables)
+    report = validate(tables, PUBLISHED_RESULTS if args.expect == "published" else None)
     report.write.mode("overwrite").parquet(f"{out}/_checks")
     for r in spark.read.parquet(f"{out}/_checks").orderBy("check_name").collect():
         print(f"{'ok ' if r.passed else 'BAD'} {r.check_name}: {r.issue_count}")

@@ -82,3 +82,8 @@ def test_command_line(spark, capsys):
     assert "ok  fk medicine.manufacturer_id: 0" in capsys.readouterr().out
     assert main(["validate", out]) == 0
     assert spark.read.parquet(f"{out}/medicine").count() == 3
+
+
+def test_command_line_published_expectations_fail_on_other_data(spark):
+    out = tempfile.mkdtemp(prefix="tabulary-cli-")
+    assert main(["build", _sources(), out, "--compat", "--expect", "published"]) == 1
