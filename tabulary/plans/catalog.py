@@ -10,7 +10,9 @@ rerun on the same input writes the same output.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import Executor, ThreadPoolExecutor
+from threading import RLock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,10 +112,6 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
     ``collation`` (e.g. ``UTF8_LCASE_RTRIM``) makes name keys compare the way
     a case-insensitive database default would.  Default: exact comparison.
     """
-    clean = name_cleaner(compat)
-    junction_src = sources["generic_indication"].select(
-        clean("Generic_Name").alias("generic_name"),
-        clean(strip_mojibake("Indication")).alias("indication_name"))
     # Independent stages are submitted from a few threads so their Spark jobs
     # overlap (four dimensions; then medicines and the junction; then the two
     # child tables).  Each stage is deterministic, so the order of completion
@@ -123,10 +121,7 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
         generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation,
                                             compat)
         dims = {**dims, "drug_class": drug_class, "generic": generic}
-        junction = pool.submit(build_junction, junction_src, generic, "generic_name",
-                               "generic_name", "generic_id", dims["indication"], "indication_name",
-                               "indication_name", "indication_id", "generic_indication_id",
-                               collation)
+        junction = pool.submit(_junction, sources, generic, dims["indication"], compat, collation)
         raw = build_medicine_raw(sources["medicine"], dims, compat, collation)
         packs = pool.submit(parse_pack_sizes, raw, compat=compat)
         containers = pool.submit(parse_containers, raw, compat=compat)
@@ -140,6 +135,67 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
         }
 
 
+class LazyCatalog(Mapping):
+    """The catalog as a mapping that builds each table on first access,
+    together with what it depends on, and then keeps it.  Same tables and
+    keys as :func:`build_catalog`; useful when a caller needs only a few."""
+
+    _NAMES = TABLE_NAMES + ("medicine_raw",)
+
+    def __init__(self, sources: dict[str, DataFrame], compat: bool = False,
+                 collation: str | None = None, built: dict[str, DataFrame] | None = None):
+        self._src, self._compat, self._coll = sources, compat, collation
+        self._built: dict[str, DataFrame] = dict(built or {})
+        self._lock = RLock()
+
+    def __iter__(self):
+        return iter(self._NAMES)
+
+    def __len__(self):
+        return len(self._NAMES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._NAMES:
+            raise KeyError(name)
+        with self._lock:
+            if name not in self._built:
+                self._build(name)
+            return self._built[name]
+
+    def _build(self, name: str) -> None:
+        b, src, compat, coll = self._built, self._src, self._compat, self._coll
+        if name in _DIMENSIONS and name != "drug_class":
+            col, key, out = _DIMENSIONS[name]
+            b[name] = load_dimension(src[name], col, "Slug", key, out,
+                                     cleaner=name_cleaner(compat), collation=coll)
+        elif name in ("drug_class", "generic"):
+            col, key, out = _DIMENSIONS["drug_class"]
+            base = load_dimension(src["drug_class"], col, "Slug", key, out,
+                                  cleaner=name_cleaner(compat), collation=coll)
+            b["generic"], b["drug_class"] = build_generic(src["generic"], base, coll, compat)
+        elif name == "medicine_raw":
+            dims = {k: self[k] for k in ("dosage_form", "generic", "manufacturer")}
+            b[name] = build_medicine_raw(src["medicine"], dims, compat, coll)
+        elif name == "medicine":
+            b[name] = self["medicine_raw"].select(*MEDICINE_COLUMNS)
+        elif name == "medicine_package_size":
+            b[name] = parse_pack_sizes(self["medicine_raw"], compat=compat)
+        elif name == "medicine_package_container":
+            b[name] = parse_containers(self["medicine_raw"], compat=compat)
+        elif name == "generic_indication":
+            b[name] = _junction(src, self["generic"], self["indication"], compat, coll)
+
+
+def _junction(sources, generic, indication, compat, collation):
+    clean = name_cleaner(compat)
+    junction_src = sources["generic_indication"].select(
+        clean("Generic_Name").alias("generic_name"),
+        clean(strip_mojibake("Indication")).alias("indication_name"))
+    return build_junction(junction_src, generic, "generic_name", "generic_name", "generic_id",
+                          indication, "indication_name", "indication_name", "indication_id",
+                          "generic_indication_id", collation)
+
+
 DUPLICATE_KEYS = (       # (check, table, key columns)
     ("duplicate drug_class_name", "drug_class", ["drug_class_name"]),
     ("duplicate dosage_form_name", "dosage_form", ["dosage_form_name"]),

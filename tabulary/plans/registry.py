@@ -29,23 +29,39 @@ from ..operators.reports import (group_counts, group_size_histogram, in_neither,
                                  oversized_groups, top_k, value_frequency, value_range)
 from ..sources.tables import table
 from .analogues import analogue_sources
-from .catalog import TABLE_NAMES, build_catalog, quality_checks
+from .catalog import TABLE_NAMES, LazyCatalog, quality_checks
 from .oracle import money, with_catalog
 
 _lock = threading.Lock()
-_catalogs: dict[tuple[str, str, bool], dict[str, DataFrame]] = {}
+_catalogs: dict[tuple[str, str, bool], LazyCatalog] = {}
 
 
-def catalog(spark: SparkSession, sf_dir: str, compat: bool = False) -> dict[str, DataFrame]:
-    """The catalog built from the analogue sources of ``sf_dir`` (memoised
-    per application, since dense keys checkpoint their input)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), compat)
+def catalog(spark: SparkSession, sf_dir: str, compat: bool = False) -> LazyCatalog:
+    """The catalog over the analogue sources of ``sf_dir``: tables are built
+    on first use (with their dependencies) and kept per application, since
+    dense keys checkpoint their input."""
+    key = (_app_id(spark), sf_dir.rstrip("/"), compat)
     with _lock:
         if key not in _catalogs:
-            _catalogs[key] = build_catalog(analogue_sources(spark, sf_dir), compat)
+            _catalogs[key] = LazyCatalog(analogue_sources(spark, sf_dir), compat)
         return _catalogs[key]
 
 
+def prime(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame],
+          compat: bool = False) -> None:
+    """Register tables already built by ``build_catalog`` for ``sf_dir``."""
+    key = (_app_id(spark), sf_dir.rstrip("/"), compat)
+    with _lock:
+        _catalogs[key] = LazyCatalog(analogue_sources(spark, sf_dir), compat, built=tables)
+
+
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect session
+        return spark.conf.get("spark.app.id", "") or str(id(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
