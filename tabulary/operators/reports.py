@@ -64,6 +64,17 @@ def in_neither(parent: DataFrame, pk: str, first: DataFrame, second: DataFrame,
 
 def joined_preview(parent: DataFrame, child: DataFrame, key: str, cols: list[str],
                    order: list[str], k: int) -> DataFrame:
-    """First ``k`` parent-child rows in key order (C7 + F3)."""
-    return (parent.join(child, key, "inner").select(*cols)
-            .orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(k))
+    """First ``k`` parent-child rows in key order (C7 + F3).
+
+    When the order is on child columns, the top ``k`` is taken from the child
+    rows that have a parent (a semi join: only keys are shuffled), and only
+    those ``k`` rows are joined to the parent, broadcast.  Otherwise the full
+    join is ordered.
+    """
+    ordering = [F.col(c).asc_nulls_first() for c in order]
+    if all(c in child.columns for c in order):
+        top = (child.join(parent.select(key), key, "left_semi")
+               .orderBy(*ordering).limit(k))
+        return (F.broadcast(top).join(parent, key, "inner").select(*cols)
+                .orderBy(*ordering))
+    return parent.join(child, key, "inner").select(*cols).orderBy(*ordering).limit(k)
