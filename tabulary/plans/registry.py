@@ -16,15 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.classify import typo_left
-from ..functions.containers import (ORPHAN_PRICE_THEN_PACK, PACK_OPEN, PRICE_FRAGMENT,
-                                    UNIT_PRICE_PREFIX, pattern_after_clean,
-                                    pattern_before_insert, taka_count)
+from ..functions.containers import (PACK_OPEN, PRICE_FRAGMENT, pattern_after_clean,
+                                    pattern_before_insert)
 from ..functions.text import TAKA, has_non_ascii, is_null_or_blank
 from ..operators.children import parse_rejects, preview_first_block, preview_pack_blocks
 from ..operators.dims import dedupe_by_key
 from ..operators.joins import linked, unlinked
 from ..operators.keys import with_dense_key
-from ..operators.quality import count_checks, duplicate_count, fk_check, fk_checks, row_counts
+from ..operators.quality import count_checks, duplicate_count, fk_checks, row_counts
 from ..operators.reports import (group_counts, group_size_histogram, in_neither, joined_preview,
                                  oversized_groups, top_k, value_frequency, value_range)
 from ..sources.tables import table
@@ -213,7 +212,6 @@ def container_type_frequency(spark, sf):
 
 # ------------------------------------------------------------------ profiles
 
-_SQL_B = "package_container LIKE 'Unit Price: ৳%'"
 
 
 @query("profile_price", f"""

@@ -1,6 +1,5 @@
 """Dimension, lookup and junction cases (FIXTURES.md section 5)."""
 
-from pyspark.sql import functions as F
 
 from tabulary.functions.text import NBSP
 from tabulary.operators.dims import backfill_dimension, dedupe_by_key, load_dimension

@@ -2,7 +2,6 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tabulary.operators.keys import checked_broadcast, known_rows, with_dense_key
 
