@@ -15,10 +15,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tabulary.plans.analogues import analogue_sources  # noqa: E402
-from tabulary.plans.catalog import TABLE_NAMES, build_catalog, validate  # noqa: E402
+from tabulary.plans.catalog import build_catalog, validate, write_catalog  # noqa: E402
 from tabulary.plans.registry import QUERIES, prime  # noqa: E402
 from tabulary.session import local_session  # noqa: E402
-from tabulary.sources.sinks import write_table  # noqa: E402
 
 
 def main() -> None:
@@ -31,7 +30,7 @@ def main() -> None:
 
     t0 = time.perf_counter()
     tables = build_catalog(analogue_sources(spark, sf_dir))
-    rows = {n: write_table(tables[n], f"{out_dir}/{n}", n) for n in TABLE_NAMES}
+    rows = write_catalog(tables, out_dir)
     times["build_catalog"] = time.perf_counter() - t0
     prime(spark, sf_dir, tables)          # the queries below reuse these tables
 

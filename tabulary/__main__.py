@@ -18,10 +18,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators.quality import CheckFailed, assert_checks
-from .plans.catalog import PUBLISHED_RESULTS, TABLE_NAMES, build_catalog, validate
+from .plans.catalog import PUBLISHED_RESULTS, TABLE_NAMES, build_catalog, validate, write_catalog
 from .session import ensure_checkpoint_dir, local_session
 from .sources.csv import read_sources
-from .sources.sinks import write_table
 
 
 def _session() -> SparkSession:
@@ -55,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     out = args.out.rstrip("/")
     if args.cmd == "build":
         tables = build_catalog(read_sources(spark, args.sources), args.compat, args.collation)
-        counts = {n: write_table(tables[n], f"{out}/{n}", n) for n in TABLE_NAMES}
+        counts = write_catalog(tables, out)
         print(json.dumps({"rows": counts}))
     else:
         tables = {n: spark.read.parquet(f"{out}/{n}") for n in TABLE_NAMES}

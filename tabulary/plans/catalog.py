@@ -25,6 +25,7 @@ from ..operators.children import (parse_containers, parse_pack_sizes, parse_reje
 from ..operators.dims import backfill_dimension, collated, dedupe_by_key, load_dimension
 from ..operators.joins import build_junction, resolve_fk
 from ..operators.keys import with_dense_key
+from ..sources.sinks import write_table
 from ..operators.quality import count_checks, duplicate_count, fk_checks, with_expectations
 
 TABLE_NAMES = ("drug_class", "dosage_form", "manufacturer", "indication", "generic",
@@ -135,6 +136,16 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
         }
 
 
+def write_catalog(tables, out_dir: str, names=TABLE_NAMES) -> dict[str, int]:
+    """Write the catalog tables as Parquet under ``out_dir/<table>`` (full
+    refresh) and return their row counts, observed during the writes.  The
+    writes are independent and run concurrently."""
+    out_dir = out_dir.rstrip("/")
+    with ThreadPoolExecutor(max_workers=4, thread_name_prefix="tabulary-write") as pool:
+        futures = {n: pool.submit(write_table, tables[n], f"{out_dir}/{n}", n) for n in names}
+        return {n: f.result() for n, f in futures.items()}
+
+
 class LazyCatalog(Mapping):
     """The catalog as a mapping that builds each table on first access,
     together with what it depends on, and then keeps it.  Same tables and
