@@ -27,10 +27,6 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # The test tables are a few MB: aim AQE at ~1 MB partitions so the
-        # small tables still spread over the local cores (keep the 64 MB
-        # default, or larger, on a cluster).
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.ansi.enabled", "true")
