@@ -160,6 +160,22 @@ medicine_package_container AS (
          brand_id, container_size, CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
          {_classify('container_size')} AS container_type
   FROM container_rows),
+container_rows_compat AS (
+  -- fixed-arity reading: a price stops at the next comma ('21,600.00' -> 21),
+  -- the first description runs from the string start (commas included)
+  SELECT r.brand_id, r.pos, r.container_size, r.unit_price
+  FROM container_rows r JOIN mc ON mc.brand_id = r.brand_id
+  WHERE NOT (mc.fmt IN (0, 3) AND r.pos = 0) AND mc.fmt <> 14
+  UNION ALL
+  SELECT brand_id, 0, s0, CASE WHEN big >= 1000 THEN CAST(floor(big / 1000) AS DECIMAL(10,2))
+                               ELSE big END FROM mc WHERE fmt IN (0, 3)
+  UNION ALL
+  SELECT brand_id, 0, s0 || ',' || s1, u FROM mc WHERE fmt = 14),
+medicine_package_container_compat AS (
+  SELECT CAST(row_number() OVER (ORDER BY brand_id, pos) AS BIGINT) AS package_container_id,
+         brand_id, container_size, CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
+         {_classify('container_size')} AS container_type
+  FROM container_rows_compat),
 pack_rows AS (
   SELECT brand_id, i - 1 AS pos, CAST(10 * i AS INTEGER) AS pack_size,
          CAST(u * 3 * i AS DECIMAL(10,2)) AS pack_price
@@ -168,6 +184,10 @@ medicine_package_size AS (
   SELECT CAST(row_number() OVER (ORDER BY brand_id, pos) AS BIGINT) AS package_size_id,
          brand_id, pack_size, pack_price
   FROM pack_rows),
+medicine_package_size_compat AS (
+  SELECT CAST(row_number() OVER (ORDER BY brand_id, pos) AS BIGINT) AS package_size_id,
+         brand_id, pack_size, pack_price
+  FROM pack_rows WHERE pos < 3),
 generic_indication AS (
   SELECT CAST(row_number() OVER (ORDER BY generic_id, indication_id) AS BIGINT)
            AS generic_indication_id, generic_id, indication_id

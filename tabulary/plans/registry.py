@@ -803,3 +803,15 @@ SELECT CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS o
 def raw_dense_key_orders(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return with_dense_key(o, "order_seq", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+# ------------------------------------ compat mode: the modelled fixed arity
+
+@query("containers_compat", "SELECT * FROM medicine_package_container_compat")
+def containers_compat(spark, sf):
+    return catalog(spark, sf, compat=True)["medicine_package_container"]
+
+
+@query("pack_sizes_compat", "SELECT * FROM medicine_package_size_compat")
+def pack_sizes_compat(spark, sf):
+    return catalog(spark, sf, compat=True)["medicine_package_size"]
