@@ -216,6 +216,17 @@ DUPLICATE_KEYS = (       # (check, table, key columns)
     ("duplicate medicine", "medicine", ["brand_name", "strength", "dosage_form_id", "manufacturer_id"]),
     ("duplicate pack", "medicine_package_size", ["brand_id", "pack_size", "pack_price"]),
     ("duplicate container", "medicine_package_container", ["brand_id", "container_size", "unit_price"]),
+    ("duplicate generic_indication pair", "generic_indication", ["generic_id", "indication_id"]),
+    # primary keys (enforced by the database in the modelled loads)
+    ("duplicate drug_class_id", "drug_class", ["drug_class_id"]),
+    ("duplicate dosage_form_id", "dosage_form", ["dosage_form_id"]),
+    ("duplicate manufacturer_id", "manufacturer", ["manufacturer_id"]),
+    ("duplicate indication_id", "indication", ["indication_id"]),
+    ("duplicate generic_id", "generic", ["generic_id"]),
+    ("duplicate brand_id", "medicine", ["brand_id"]),
+    ("duplicate package_size_id", "medicine_package_size", ["package_size_id"]),
+    ("duplicate package_container_id", "medicine_package_container", ["package_container_id"]),
+    ("duplicate generic_indication_id", "generic_indication", ["generic_indication_id"]),
 )
 FOREIGN_KEYS = (         # (check, child, fk, parent, pk)
     ("fk generic.drug_class_id", "generic", "drug_class_id", "drug_class", "drug_class_id"),

@@ -340,7 +340,15 @@ _DUPS = [("duplicate drug_class_name", "drug_class", "drug_class_name"),
          ("duplicate medicine", "medicine", "brand_name, strength, dosage_form_id, manufacturer_id"),
          ("duplicate pack", "medicine_package_size", "brand_id, pack_size, pack_price"),
          ("duplicate container", "medicine_package_container",
-          "brand_id, container_size, unit_price")]
+          "brand_id, container_size, unit_price"),
+         ("duplicate generic_indication pair", "generic_indication", "generic_id, indication_id")] + [
+    (f"duplicate {key}", tbl, key) for tbl, key in (
+        ("drug_class", "drug_class_id"), ("dosage_form", "dosage_form_id"),
+        ("manufacturer", "manufacturer_id"), ("indication", "indication_id"),
+        ("generic", "generic_id"), ("medicine", "brand_id"),
+        ("medicine_package_size", "package_size_id"),
+        ("medicine_package_container", "package_container_id"),
+        ("generic_indication", "generic_indication_id"))]
 
 
 @query("duplicate_groups", " UNION ALL ".join(_dup_sql(*d) for d in _DUPS))
