@@ -29,7 +29,6 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.ansi.enabled", "true")
         .getOrCreate()
     )
