@@ -74,3 +74,14 @@ def test_expectations_turn_informational_checks_into_gates(spark):
     assert not report["container without price"].passed
     assert report["container without price"].expected == 39
     assert report["fk medicine.generic_id"].passed
+
+
+def test_lazy_catalog_builds_only_what_is_asked(spark):
+    from tabulary.plans.catalog import LazyCatalog
+    lazy = LazyCatalog(analogue_sources(spark, SMOKE_DIR))
+    lazy["dosage_form"]
+    assert set(lazy._built) == {"dosage_form"}
+    lazy["medicine_package_size"]
+    assert {"medicine_raw", "generic", "drug_class", "manufacturer"} <= set(lazy._built)
+    assert "generic_indication" not in lazy._built and "indication" not in lazy._built
+    assert lazy["medicine_package_size"] is lazy["medicine_package_size"]
