@@ -16,3 +16,16 @@ streaming/  nothing: every load in the modelled ETL is a whole-file batch
 """
 
 __version__ = "0.1.0"
+
+from .operators.dims import backfill_dimension, dedupe_by_key, load_dimension  # noqa: E402
+from .operators.joins import build_junction, resolve_fk  # noqa: E402
+from .operators.keys import with_dense_key  # noqa: E402
+from .operators.quality import assert_checks  # noqa: E402
+from .plans.catalog import (PUBLISHED_RESULTS, LazyCatalog, build_catalog,  # noqa: E402
+                            quality_checks, validate, write_catalog)
+from .sources.csv import read_source, read_sources  # noqa: E402
+
+__all__ = ["PUBLISHED_RESULTS", "LazyCatalog", "assert_checks", "backfill_dimension",
+           "build_catalog", "build_junction", "dedupe_by_key", "load_dimension",
+           "quality_checks", "read_source", "read_sources", "resolve_fk", "validate",
+           "with_dense_key", "write_catalog"]
