@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, is_present
-from .keys import known_max_key, known_rows, remember_rows, with_dense_key
+from .keys import known_bytes, known_max_key, known_rows, remember_rows, with_dense_key
 
 _FIRST = "__first"
 
@@ -72,5 +72,7 @@ def backfill_dimension(dim: DataFrame, values: DataFrame, key: str, name: str,
     added = with_dense_key(new, key, [name], start=int(top))
     out = dim.unionByName(added)
     if known_rows(dim) is not None:
-        remember_rows(out, known_rows(dim) + known_rows(added), known_max_key(added))
+        nbytes = (known_bytes(dim) + known_bytes(added)
+                  if known_bytes(dim) is not None and known_bytes(added) is not None else None)
+        remember_rows(out, known_rows(dim) + known_rows(added), known_max_key(added), nbytes)
     return out

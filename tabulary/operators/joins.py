@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import checked_broadcast, known_rows, with_dense_key
+from .keys import checked_broadcast, known_bytes, known_rows, with_dense_key
 
 
 def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
@@ -21,7 +21,9 @@ def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
         return F.collate(c, collation) if collation else c
 
     lookup = dim.select(coll(F.col(dim_name)).alias("__name"), F.col(dim_key).alias(out or dim_key))
-    side = checked_broadcast(lookup, rows=known_rows(dim))
+    # The lookup is a projection of the dimension, so the dimension's exact
+    # size (when known) bounds it.
+    side = checked_broadcast(lookup, rows=known_rows(dim), nbytes=known_bytes(dim))
     if side is not lookup or how != "left":
         # Broadcast (no shuffle), or an inner join, which drops NULL keys
         # before its shuffle anyway.

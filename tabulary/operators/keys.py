@@ -17,6 +17,7 @@ key without a single-partition window:
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# Dimensions are broadcast only below this many rows (checked by count).
+# A side is broadcast only when both bounds are proven (counted, not estimated).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 # Partition offsets are inlined as an array literal up to this many partitions.
 OFFSETS_INLINE_MAX = 1024
 
@@ -48,7 +50,10 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
                 else df.repartitionByRange(*cols))
     ranged = exchange.sortWithinPartitions(*cols).checkpoint(eager=True)
     pid = F.spark_partition_id()
-    counts = dict(ranged.groupBy(pid.alias("pid")).count().collect())
+    stats = (ranged.groupBy(pid.alias("pid"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(ranged)).alias("b")).collect())
+    counts = {r["pid"]: r["n"] for r in stats}
+    total_bytes = sum(r["b"] or 0 for r in stats)
     width = max(counts, default=-1) + 1             # empty partitions count 0
     offsets = [0] + list(accumulate(counts.get(p, 0) for p in range(width)))[:-1]
     start_col = (start if isinstance(start, Column) else F.lit(start)).cast("long")
@@ -68,15 +73,35 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
                .select((start_col + F.col("__base") + F.col("__pos") + F.lit(1)).alias(key),
                        *ranged.columns))
     total = sum(counts.values())
-    return remember_rows(out, total, start + total if isinstance(start, int) else None)
-
-
-def remember_rows(df: DataFrame, n: int, max_key: int | None = None) -> DataFrame:
-    """Attach an exact row count (and the largest key, when known) learned
-    as a by-product of an action, so later steps need no extra job."""
+    return remember_rows(out, total, start + total if isinstance(start, int) else None,
+                         total_bytes + 8 * total)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row in bytes: string and binary lengths, 8 per other field
+    (complex fields counted by their JSON text)."""
+    parts = []
+    for f in df.schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if t in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif t in ("array", "map", "struct"):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("long")
+
+
+def remember_rows(df: DataFrame, n: int, max_key: int | None = None,
+                  nbytes: int | None = None) -> DataFrame:
+    """Attach an exact row count (and the largest key and byte size, when
+    known) learned as a by-product of an action, so later steps need no
+    extra job."""
     df.__dict__["_known_rows"] = int(n)
     if max_key is not None:
         df.__dict__["_known_max_key"] = int(max_key)
+    if nbytes is not None:
+        df.__dict__["_known_bytes"] = int(nbytes)
     return df
 
 
@@ -84,6 +109,10 @@ def known_rows(df: DataFrame) -> int | None:
     return df.__dict__.get("_known_rows")
 
 
+def known_bytes(df: DataFrame) -> int | None:
+    return df.__dict__.get("_known_bytes")
+
+
 def known_max_key(df: DataFrame) -> int | None:
     return df.__dict__.get("_known_max_key")
 
@@ -93,11 +122,24 @@ def row_count_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven small (an
-    exact count already known, or a bounded count); otherwise leave the join
-    strategy to Catalyst/AQE (sort-merge)."""
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES, rows: int | None = None,
+                   nbytes: int | None = None) -> bool:
+    """Proven small: at most ``max_rows`` rows and ``max_bytes`` bytes.  Uses
+    exact figures already known (from the dense-key step); otherwise counts
+    rows and bytes over at most ``max_rows + 1`` rows in one bounded job."""
     rows = rows if rows is not None else known_rows(df)
-    small = rows <= max_rows if rows is not None else row_count_at_most(df, max_rows)
-    return F.broadcast(df) if small else df
+    nbytes = nbytes if nbytes is not None else known_bytes(df)
+    if rows is None or nbytes is None:
+        r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                       F.sum(row_bytes(df)).alias("b")).first()
+        rows, nbytes = r["n"], (r["b"] or 0) + 8 * r["n"]
+    return rows <= max_rows and nbytes <= max_bytes
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      rows: int | None = None, nbytes: int | None = None,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if its size is proven small (rows and
+    bytes); otherwise leave the join strategy to Catalyst/AQE (sort-merge)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes, rows, nbytes) else df

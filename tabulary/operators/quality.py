@@ -57,12 +57,12 @@ def fk_checks(child: DataFrame, specs: list[tuple[str, str, DataFrame, str]]) ->
     parent, pk)].  Parents whose size is proven small are checked together in
     one scan of the child against broadcast key sets (no shuffle); the others
     go through :func:`fk_check`."""
-    from .keys import BROADCAST_MAX_ROWS, known_rows, row_count_at_most
+    from .keys import fits_broadcast, known_bytes, known_rows
 
     small, parts = [], []
     for name, fk, parent, pk in specs:
-        n = known_rows(parent)
-        fits = n <= BROADCAST_MAX_ROWS if n is not None else row_count_at_most(parent, BROADCAST_MAX_ROWS)
+        keys = parent.select(pk)           # what would be broadcast
+        fits = fits_broadcast(keys, rows=known_rows(parent), nbytes=known_bytes(parent))
         (small.append if fits else parts.append)((name, fk, parent, pk))
     parts = [fk_check(child, fk, parent, pk, name) for name, fk, parent, pk in parts]
     if small:

@@ -52,3 +52,13 @@ def test_dense_key_with_offsets_joined(spark, monkeypatch):
     df = spark.createDataFrame([(i,) for i in range(300)], "v int")
     out = K.with_dense_key(df, "id", ["v"], num_partitions=9)
     assert sorted((r.id, r.v) for r in out.collect()) == [(i + 1, i) for i in range(300)]
+
+
+def test_broadcast_bound_is_in_rows_and_bytes(spark):
+    from tabulary.operators.keys import fits_broadcast, known_bytes
+    wide = spark.createDataFrame([("x" * 1000,)] * 50, "s string")
+    assert fits_broadcast(wide, max_rows=100, max_bytes=100_000)
+    assert not fits_broadcast(wide, max_rows=100, max_bytes=10_000)   # 50 kB of text
+    assert not fits_broadcast(wide, max_rows=10, max_bytes=10**9)
+    keyed = with_dense_key(wide, "id", ["s"])
+    assert known_bytes(keyed) == 50 * (1000 + 8)

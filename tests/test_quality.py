@@ -43,5 +43,5 @@ def test_fk_checks_one_scan_and_fallback(spark, monkeypatch):
     specs = [("a broken", "a", p1, "pk"), ("b broken", "b", p2, "pk")]
     want = {"a broken": 2, "b broken": 2}
     assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
-    monkeypatch.setattr(K, "BROADCAST_MAX_ROWS", 1)       # force the shuffled path
+    monkeypatch.setattr(K.fits_broadcast, "__defaults__", (1, K.BROADCAST_MAX_BYTES, None, None))
     assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
