@@ -1,7 +1,8 @@
 """Child tables parsed from packed text (survey I9-I30, G2, A7, A8).
 
-All parsing is narrow: one projection builds an array of structs per parent
-row and one ``posexplode`` emits the child rows -- a single scan of the
+All parsing is narrow: one ``posexplode`` of the regex matches of each
+parent's text emits the child rows, which plain regex expressions then parse
+(compat mode builds an array of structs instead) -- a single scan of the
 parent instead of one scan per segment position, and no shuffle except the
 range shuffle of the dense key.
 """
