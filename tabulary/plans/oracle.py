@@ -67,20 +67,21 @@ dosage_form AS (
          name AS dosage_form_name, slug
   FROM (SELECT p_brand AS name,
                min(lower(replace(p_brand, '#', '-')) || '-' || CAST(p_size AS VARCHAR)) AS slug
-        FROM part GROUP BY p_brand)),
+        FROM part WHERE p_brand IS NOT NULL AND p_brand <> '' GROUP BY p_brand)),
 manufacturer AS (
   SELECT CAST(row_number() OVER (ORDER BY s_name) AS BIGINT) AS manufacturer_id,
          s_name AS manufacturer_name, lower(replace(s_name, '#', '-')) AS slug
-  FROM supplier WHERE s_acctbal >= 0),
+  FROM supplier WHERE s_acctbal >= 0 AND s_name IS NOT NULL AND s_name <> ''),
 indication AS (
   SELECT CAST(row_number() OVER (ORDER BY n_name) AS BIGINT) AS indication_id,
          n_name AS indication_name, lower(n_name) AS slug
-  FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)),
+  FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)
+    AND n_name IS NOT NULL AND n_name <> ''),
 drug_class_base AS (
   SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS drug_class_id,
          name AS drug_class_name, slug
   FROM (SELECT p_type AS name, min(lower(p_type) || '-' || CAST(p_size AS VARCHAR)) AS slug
-        FROM part WHERE p_size <= 40 GROUP BY p_type)),
+        FROM part WHERE p_size <= 40 AND p_type IS NOT NULL AND p_type <> '' GROUP BY p_type)),
 generic_src AS (
   SELECT p_name AS name, replace(p_name, ' ', '-') || '-' || CAST(p_size AS VARCHAR) AS slug,
          p_type || CASE WHEN p_size > 45 THEN ' II' ELSE '' END AS cls
@@ -95,7 +96,7 @@ drug_class AS (
 generic AS (
   SELECT CAST(row_number() OVER (ORDER BY g.name) AS BIGINT) AS generic_id,
          g.name AS generic_name, g.slug, d.drug_class_id
-  FROM (SELECT name, slug, cls FROM generic_src
+  FROM (SELECT name, slug, cls FROM generic_src WHERE name IS NOT NULL AND name <> ''
         QUALIFY row_number() OVER (PARTITION BY name ORDER BY slug, cls) = 1) g
   JOIN drug_class d ON d.drug_class_name = g.cls),
 first_supp AS (SELECT l_partkey, min(l_suppkey) AS supp FROM lineitem GROUP BY l_partkey),
