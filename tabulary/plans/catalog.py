@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import Executor, ThreadPoolExecutor
-from threading import RLock
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -149,15 +149,23 @@ def write_catalog(tables, out_dir: str, names=TABLE_NAMES) -> dict[str, int]:
 class LazyCatalog(Mapping):
     """The catalog as a mapping that builds each table on first access,
     together with what it depends on, and then keeps it.  Same tables and
-    keys as :func:`build_catalog`; useful when a caller needs only a few."""
+    keys as :func:`build_catalog`; useful when a caller needs only a few.
+
+    Each table has its own lock (``drug_class`` and ``generic`` share one, as
+    they are built together); independent dependencies are built
+    concurrently.  Dependencies form a DAG, so a thread holding one table's
+    lock only ever waits for other tables' locks.
+    """
 
     _NAMES = TABLE_NAMES + ("medicine_raw",)
+    _GROUP = {"drug_class": "generic"}
 
     def __init__(self, sources: dict[str, DataFrame], compat: bool = False,
                  collation: str | None = None, built: dict[str, DataFrame] | None = None):
         self._src, self._compat, self._coll = sources, compat, collation
         self._built: dict[str, DataFrame] = dict(built or {})
-        self._lock = RLock()
+        self._guard = Lock()
+        self._locks: dict[str, Lock] = {}
 
     def __iter__(self):
         return iter(self._NAMES)
@@ -168,10 +176,18 @@ class LazyCatalog(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._NAMES:
             raise KeyError(name)
-        with self._lock:
+        group = self._GROUP.get(name, name)
+        with self._guard:
+            lock = self._locks.setdefault(group, Lock())
+        with lock:
             if name not in self._built:
                 self._build(name)
-            return self._built[name]
+        return self._built[name]
+
+    def _all(self, *names: str) -> list[DataFrame]:
+        """Several tables, the missing ones built concurrently."""
+        with ThreadPoolExecutor(max_workers=len(names), thread_name_prefix="tabulary-lazy") as pool:
+            return list(pool.map(self.__getitem__, names))
 
     def _build(self, name: str) -> None:
         b, src, compat, coll = self._built, self._src, self._compat, self._coll
@@ -183,10 +199,12 @@ class LazyCatalog(Mapping):
             col, key, out = _DIMENSIONS["drug_class"]
             base = load_dimension(src["drug_class"], col, "Slug", key, out,
                                   cleaner=name_cleaner(compat), collation=coll)
-            b["generic"], b["drug_class"] = build_generic(src["generic"], base, coll, compat)
+            generic, drug_class = build_generic(src["generic"], base, coll, compat)
+            b["drug_class"], b["generic"] = drug_class, generic
         elif name == "medicine_raw":
-            dims = {k: self[k] for k in ("dosage_form", "generic", "manufacturer")}
-            b[name] = build_medicine_raw(src["medicine"], dims, compat, coll)
+            deps = ("dosage_form", "generic", "manufacturer")
+            b[name] = build_medicine_raw(src["medicine"], dict(zip(deps, self._all(*deps))),
+                                         compat, coll)
         elif name == "medicine":
             b[name] = self["medicine_raw"].select(*MEDICINE_COLUMNS)
         elif name == "medicine_package_size":
@@ -194,7 +212,8 @@ class LazyCatalog(Mapping):
         elif name == "medicine_package_container":
             b[name] = parse_containers(self["medicine_raw"], compat=compat)
         elif name == "generic_indication":
-            b[name] = _junction(src, self["generic"], self["indication"], compat, coll)
+            generic, indication = self._all("generic", "indication")
+            b[name] = _junction(src, generic, indication, compat, coll)
 
 
 def _junction(sources, generic, indication, compat, collation):

@@ -85,3 +85,16 @@ def test_lazy_catalog_builds_only_what_is_asked(spark):
     assert {"medicine_raw", "generic", "drug_class", "manufacturer"} <= set(lazy._built)
     assert "generic_indication" not in lazy._built and "indication" not in lazy._built
     assert lazy["medicine_package_size"] is lazy["medicine_package_size"]
+
+
+def test_lazy_catalog_concurrent_access_builds_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tabulary.plans.catalog import LazyCatalog
+    lazy = LazyCatalog(analogue_sources(spark, SMOKE_DIR))
+    names = ["medicine_package_size", "medicine_package_container", "generic_indication",
+             "medicine", "drug_class", "generic"]
+    with ThreadPoolExecutor(6) as pool:
+        first = list(pool.map(lazy.__getitem__, names))
+    assert all(a is lazy[n] for a, n in zip(first, names))
+    assert lazy["generic_indication"].count() > 0 and lazy["medicine"].count() == 200
