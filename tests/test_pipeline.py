@@ -98,3 +98,15 @@ def test_lazy_catalog_concurrent_access_builds_once(spark):
         first = list(pool.map(lazy.__getitem__, names))
     assert all(a is lazy[n] for a, n in zip(first, names))
     assert lazy["generic_indication"].count() > 0 and lazy["medicine"].count() == 200
+
+
+def test_write_catalog_writes_every_table_with_its_count(spark):
+    import tempfile
+
+    from tabulary.plans.catalog import write_catalog
+    t = build_catalog(analogue_sources(spark, SMOKE_DIR))
+    out = tempfile.mkdtemp(prefix="tabulary-write-")
+    counts = write_catalog(t, out)
+    assert set(counts) == set(TABLE_NAMES)
+    for name, n in counts.items():
+        assert spark.read.parquet(f"{out}/{name}").count() == n == t[name].count()
