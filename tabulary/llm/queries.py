@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulary.llm import bpe, dac, transducer
+from tabulary.llm import bagminhash, bpe, dac, transducer
 from tabulary.llm.common import shared_path, table
 
 
@@ -28,10 +28,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {}
