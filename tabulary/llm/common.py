@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -34,7 +35,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()      # lets Spark drop the shuffle files of the step that ended
+    return spark.read.schema(schema).parquet(path)
 
 
 def clear_staged(spark: SparkSession) -> None:
