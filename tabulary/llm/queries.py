@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabulary.llm import bagminhash, bpe, dac, transducer
+from tabulary.llm import bagminhash, bpe, dac, line_dedup, mixing, transducer
 from tabulary.llm.common import shared_path, table
 
 
@@ -18,6 +19,24 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(spark, path)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "lines_before", "lines_exact", "lines_near",
+        F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+#: Part of the entropy of equal weights that the mixture is to have.
+MIX_ENTROPY = 0.995
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mixture as large as the corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, entropy=MIX_ENTROPY, budget="corpus").select(
+        "doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_block").alias("block"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -34,9 +53,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_source_mixing": op4_source_mixing,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_token_counts": op8_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": line_dedup.oracle(),
+    "op4_source_mixing": mixing.oracle(MIX_ENTROPY, "SELECT sum(t) FROM s"),
+}
