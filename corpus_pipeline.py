@@ -1,24 +1,61 @@
-"""The corpus pipeline; its stages come with the operators they call."""
+"""The corpus pipeline: documents in, token counts and digests of the mixture out.
+
+STAGES lists (name, function) pairs; a function takes (spark, docs, sf_dir) and returns a
+DataFrame with the columns of documents (the last one: its result), which is
+written as Parquet and read again as the next one's docs.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabulary.llm import bpe
+from tabulary.llm import bagminhash, bpe, langid, line_dedup, mixing
+from tabulary.llm.common import staged, table
+
+#: The most often a source's tokens are repeated in the mixture.
+REPEATS = 1.25
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose language can't be told: no text, or no letter in it."""
+    return langid.keep_known(docs, langid.learn(docs))
 
-import public_tokenizers
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop lines that stand earlier in the corpus, and documents of which nothing is left."""
+    lost = F.col("lines_exact") + F.col("lines_near") > 0
+    empty = F.trim(F.regexp_replace("text", "\n", "")) == ""
+    return line_dedup.dedup_lines(docs).where(~(lost & empty)).withColumn(
+        "n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the least doc_id of each class, once."""
+    first = bagminhash.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Raise small sources: each document at least once, and as often as the weights ask."""
+    return mixing.mix(docs, repeats=REPEATS).select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode and decode each row of the mixture."""
     return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("encoding", encoding)]
+STAGES = [("language ID", language), ("line dedup", lines), ("MinHash near-dedup", near_duplicates),
+          ("source mixing", mixture), ("byte-level BPE", encoding)]
+
+#: Language ID, signatures and merges can't be said in SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulary.llm import bagminhash, bpe, dac, line_dedup, mixing, transducer
+from tabulary.llm import bagminhash, bpe, dac, langid, line_dedup, mixing, transducer
 from tabulary.llm.common import shared_path, table
 
 
@@ -27,7 +27,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Part of the entropy of equal weights that the mixture is to have.
-MIX_ENTROPY = 0.995
+MIX_ENTROPY = 0.999
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs)).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(table(spark, sf_dir, "documents"),
                                    public_tokenizers.path("word_bpe_49k.json"))
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_language": op6_language,
     "op8_token_counts": op8_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
 }
