@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulary.llm import bagminhash, bpe, dac, langid, line_dedup, mixing, transducer
+from tabulary.llm import bagminhash, bpe, dac, hamming, langid, licences, line_dedup, mixing, quality, transducer
 from tabulary.llm.common import shared_path, table
 
 
+def op1_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every vec_id divisible by 20, among all others."""
+    codes = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long").alias("id"), hamming.sign_code(F.col("embedding")).alias("code"))
+    return hamming.nearest(codes, codes.where("id % 20 = 0")).select(
+        F.col("id").alias("vec_id"), F.col("rank").cast("long").alias("rank"),
+        F.col("neighbour").alias("neighbour_id"), F.col("distance").cast("long").alias("hamming"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,26 +57,39 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).drop("places")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(table(spark, sf_dir, "documents"),
                                    public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_code_search": op1_code_search,
     "op2_token_files": op2_token_files,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_language": op6_language,
+    "op7_licences": op7_licences,
     "op8_token_counts": op8_token_counts,
+    "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_code_search": hamming.oracle(),
     "op3_line_dedup": line_dedup.oracle(),
     "op4_source_mixing": mixing.oracle(MIX_ENTROPY, "SELECT sum(t) FROM s"),
 }
