@@ -135,6 +135,101 @@ class Ranks:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+class PieceTables:
+    """Prefix tables of many pieces at once, in numpy.
+
+    All pieces take one byte further together.  Substrings that end there are
+    looked up by a polynomial hash of their bytes, shortest first, until one
+    fits behind the last token of the prefix before it.  Answers of
+    :meth:`Ranks.fits` are kept in a table of 2**20 slots.
+    """
+
+    _SLOTS = 20
+
+    def __init__(self, ranks: Ranks):
+        self.ranks = ranks
+        rng = np.random.default_rng(1)
+        longest = max(map(len, ranks.rank))
+        base = int(rng.integers(1 << 62)) * 2 + 1
+        self._power = np.array([pow(base, k, 1 << 64) for k in range(longest)], np.uint64)
+        self._width = np.zeros(max(ranks.token) + 1, np.int64)
+        hashes, ids = [], []
+        with np.errstate(over="ignore"):
+            for data, i in ranks.rank.items():
+                self._width[i] = len(data)
+                raw = np.frombuffer(data, np.uint8)[::-1].astype(np.uint64) + np.uint64(1)
+                hashes.append((raw * self._power[:len(data)]).sum(dtype=np.uint64))
+                ids.append(i)
+        order = np.argsort(hashes)
+        self._hash, self._id = np.array(hashes, np.uint64)[order], np.array(ids, np.int64)[order]
+        self._longest = np.array(ranks.longest, np.int64)
+        self._keys = np.full(1 << self._SLOTS, -1, np.int64)
+        self._fit = np.zeros(1 << self._SLOTS, bool)
+
+    def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = (left + 1) << 32 | right
+        slot = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._SLOTS)).astype(np.int64)
+        out = self._fit[slot]
+        unknown = np.flatnonzero(self._keys[slot] != key)
+        if len(unknown):
+            new, where = np.unique(key[unknown], return_inverse=True)
+            known = np.array([self.ranks.fits((k >> 32) - 1, k & 0xFFFFFFFF) for k in new.tolist()], bool)
+            out[unknown] = known[where]
+            self._keys[slot[unknown]], self._fit[slot[unknown]] = key[unknown], out[unknown]
+        return out
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as little-endian unsigned 32-bit bytes."""
+        if not pieces:
+            return []
+        sizes = np.array(list(map(len, pieces)), np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        data = np.frombuffer(b"".join(pieces[k] for k in order), np.uint8)
+        first = np.cumsum(sizes) - sizes
+        last = np.full(len(data), -1, np.int64)          # of the prefix that ends at each byte
+        value = data.astype(np.uint64) + np.uint64(1)
+        limit = self._longest[data]
+        with np.errstate(over="ignore"):
+            for end in range(int(sizes[0])):
+                at = first[:np.searchsorted(-sizes, -end, "left")] + end
+                rolled, size = np.zeros(len(at), np.uint64), 0
+                while len(at):
+                    rolled = rolled + value[at - size] * self._power[size]
+                    size += 1
+                    spot = np.minimum(np.searchsorted(self._hash, rolled), len(self._hash) - 1)
+                    found = np.flatnonzero(self._hash[spot] == rolled)
+                    if len(found):
+                        token = self._id[spot[found]]
+                        left = last[at[found] - size] if end >= size else np.full(len(found), -1)
+                        good = (self._width[token] == size) & self._fits(left, token)
+                        last[at[found[good]]] = token[good]
+                        stay = np.ones(len(at), bool)
+                        stay[found[good]] = False
+                        at, rolled = at[stay], rolled[stay]
+                    if len(at) and (size > end or (limit[at] <= size).any()):
+                        raise ValueError("a byte at which no token ends")
+        walked, which = [], []                           # from the end, a token of each piece at a time
+        piece, at = np.arange(len(sizes)), first + sizes - 1
+        while len(piece):
+            token = last[at]
+            walked.append(token)
+            which.append(piece)
+            at = at - self._width[token]
+            on = at >= first[piece]
+            piece, at = piece[on], at[on]
+        ids, which = np.concatenate(walked[::-1]), np.concatenate(which[::-1])
+        by_piece = np.argsort(which, kind="stable")
+        raw = ids[by_piece].astype("<u4").tobytes()
+        ends = 4 * np.cumsum(np.bincount(which, minlength=len(sizes)))
+        out: list[bytes] = [b""] * len(pieces)
+        begin = 0
+        for k, stop in zip(order.tolist(), ends.tolist(), strict=True):
+            out[k] = raw[begin:stop]
+            begin = stop
+        return out
+
+
 class EncodedText:
     """A text, its pieces and their prefix tables, kept up to date under
     appends and edits.
@@ -196,26 +291,39 @@ class EncodedText:
 class Encoder:
     """Whole texts to ids, with the encodings of common pieces kept."""
 
+    _SHORT = 64          # bytes of a piece that is encoded with others and kept
+
     def __init__(self, ranks: Ranks, pattern: str, most: int = 600_000):
         self.ranks, self._find, self._most = ranks, regex.compile(pattern).findall, most
+        self._tables = PieceTables(ranks)
         self._pieces: dict[str, bytes] = {}
-        self._text = ChunkCache(self._chunk, lambda chunks: list(map(self._chunk, chunks)), most)
-
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self._piece, self._find(chunk)))
-
-    def _piece(self, piece: str) -> bytes:
-        known = self._pieces.get(piece)
-        if known is None:
-            known = np.array(self.ranks.encode_piece(piece.encode()), "<u4").tobytes()
-            if len(piece) <= 64:
-                if len(self._pieces) >= self._most:
-                    self._pieces.clear()
-                self._pieces[piece] = known
-        return known
+        self._text = ChunkCache(self._chunks, self._chunks)
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        split = list(map(self._find, chunks))
+        new = set().union(*split).difference(self._pieces)
+        if len(self._pieces) + len(new) > self._most:
+            self._pieces.clear()
+            new = set().union(*split)
+        rank = self.ranks.rank
+        todo = []
+        for piece in new:
+            data = piece.encode()
+            whole = rank.get(data)
+            if whole is not None:
+                self._pieces[piece] = whole.to_bytes(4, "little")
+            elif len(data) <= self._SHORT:
+                todo.append((piece, data))
+            else:
+                self._pieces[piece] = np.array(self.ranks.encode_piece(data), "<u4").tobytes()
+        self._pieces.update(zip((p for p, _ in todo), self._tables.encode([d for _, d in todo]), strict=True))
+        out = [b"".join(map(self._pieces.__getitem__, parts)) for parts in split]
+        for piece in [p for p in new if len(p) > self._SHORT]:
+            del self._pieces[piece]
+        return out
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self._text(text), "<u4")
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(x, "<u4") for x in self._text(texts)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -239,8 +347,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for texts, part in in_slices(batch):
                 counts, of_ids, of_bytes = [], [], []
-                for text in texts:
-                    ids = enc.encode(text).tolist()
+                for ids in map(np.ndarray.tolist, enc.encode(texts)):
                     counts.append(len(ids))
                     of_ids.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
                     of_bytes.append(hashlib.sha256(b"".join(map(token, ids))).hexdigest())

@@ -80,45 +80,40 @@ class ChunkCache:
     a run of white space over its border; a text with such a chunk is split
     at blanks between two visible characters only, which is always safe.
 
-    ``one`` encodes a chunk, ``many`` a list of chunks that begin with their
-    blank; at most ``most`` encodings are kept.
+    ``alone`` encodes chunks one by one, ``many`` chunks that all begin with
+    their blank, perhaps joined; at most ``most`` encodings are kept.
     """
 
-    def __init__(self, one: Callable[[str], bytes], many: Callable[[list[str]], list[bytes]],
-                 most: int = 600_000):
-        self._one, self._many, self._most = one, many, most
-        self._known: dict[str, bytes | None] = {}
-        self._leads: dict[str, bytes] = {}
-
-    def _lead(self, chunk: str) -> bytes:
-        known = self._leads.get(chunk)
-        if known is None:
-            known = self._one(chunk)
-            if len(chunk) <= 64:
-                if len(self._leads) >= self._most // 4:
-                    self._leads.clear()
-                self._leads[chunk] = known
-        return known
-
-    def __call__(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if first and (first[-1:].isspace() or first[:1].isspace()):
-            return self._apart(text)
-        known = self._known
-        try:
-            return self._lead(first) + b"".join(map(known.get, rest))
-        except TypeError:
-            if len(known) > self._most:
-                known.clear()
-            new = [w for w in dict.fromkeys(rest) if w not in known]
-            plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
-            known.update(dict.fromkeys(new))
-            known.update(zip(plain, self._many([" " + w for w in plain]), strict=True))
-        try:
-            return self._lead(first) + b"".join(map(known.get, rest))
-        except TypeError:
-            return self._apart(text)
+    def __init__(self, alone: Callable[[list[str]], list[bytes]],
+                 many: Callable[[list[str]], list[bytes]], most: int = 1_000_000):
+        self._alone, self._many, self._most = alone, many, most
+        self._known: dict[str, bytes | None] = {}        # by the chunk behind its blank
+        self._leads: dict[str, bytes | None] = {}        # first chunks of texts
+
+    def _learn(self, known: dict, seen: set[str], most: int, blank: str, encode: Callable) -> None:
+        """Add the encodings of new chunks; None where a chunk can't stand alone."""
+        new = seen.difference(known)
+        if len(known) + len(new) > most:
+            known.clear()
+            new = seen
+        plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
+        known.update(dict.fromkeys(new))
+        known.update(zip(plain, encode([blank + w for w in plain]), strict=True))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        rests = [t.split(" ") for t in texts]
+        firsts = [r.pop(0) for r in rests]
+        self._learn(self._leads, set(firsts), self._most // 4, "", self._alone)
+        self._leads[""] = b""
+        self._learn(self._known, set().union(*rests), self._most, " ", self._many)
+        lead, known, out = self._leads.__getitem__, self._known.__getitem__, []
+        for text, first, rest in zip(texts, firsts, rests, strict=True):
+            try:
+                out.append(lead(first) + b"".join(map(known, rest)))
+            except TypeError:
+                out.append(self._apart(text))
+        return out
 
     def _apart(self, text: str) -> bytes:
         first, *rest = _LONE_BLANK.split(text)
-        return self._lead(first) + b"".join(self._many([" " + w for w in rest]))
+        return self._alone([first])[0] + b"".join(self._many([" " + w for w in rest]))

@@ -103,24 +103,32 @@ def library_encoder(path: str) -> ChunkCache:
     without added special tokens; for tokenizers in which a blank leads a word."""
     lib = Tokenizer.from_file(path)
 
-    def one(chunk: str) -> bytes:
-        return np.array(lib.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+    names = lib.get_vocab(with_added_tokens=True)
+    added = {t.content: len(t.content.encode()) for t in lib.get_added_tokens_decoder().values()}
+    width = np.zeros(max(names.values()) + 1, np.int64)     # bytes of each token
+    for name, i in names.items():
+        width[i] = added.get(name, len(name))               # one character stands for one byte
+
+    def alone(chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def many(chunks: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for k in range(0, len(chunks), 4096):       # one call for many chunks, cut by the offsets
-            part = chunks[k:k + 4096]
-            e = lib.encode("".join(part), add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
-            begins = np.array([b for b, _ in e.offsets])
-            ends = np.cumsum([len(c) for c in part])
-            out += [x.tobytes() for x in np.split(ids, np.searchsorted(begins, ends[:-1]))]
+        for k in range(0, len(chunks), 256):       # one call for many chunks, cut by their bytes
+            part = chunks[k:k + 256]
+            ids = np.array(lib.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum([len(c.encode()) for c in part])
+            cuts = np.searchsorted(np.cumsum(width[ids]), ends)
+            raw, at = ids.tobytes(), 0
+            for cut in (4 * (cuts + 1)).tolist():
+                out.append(raw[at:cut])
+                at = cut
         return out
 
-    return ChunkCache(one, many)
+    return ChunkCache(alone, many)
 
 
-def write_token_files(docs: DataFrame, path: str, encoder: Callable[[], Callable[[str], bytes]],
+def write_token_files(docs: DataFrame, path: str, encoder: Callable[[], Callable[[list[str]], list[bytes]]],
                       end_id: int = 0, segment_tokens: int = 1 << 19) -> None:
     """Encode ``text`` of every row, append ``end_id`` to each document and
     write the ids to ``path`` in ascending doc_id order.
@@ -129,7 +137,7 @@ def write_token_files(docs: DataFrame, path: str, encoder: Callable[[], Callable
     rows with the same doc_id follow one another by text.  A segment ends with
     the document that takes it to ``segment_tokens`` ids, so a longer document
     makes one of its own.  ``encoder`` is called in the task and returns the
-    function from text to little-endian unsigned 32-bit ids.
+    function from texts to their little-endian unsigned 32-bit ids.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -149,9 +157,9 @@ def write_token_files(docs: DataFrame, path: str, encoder: Callable[[], Callable
 
         for batch in batches:
             for texts, part in in_slices(batch):
-                for name, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
+                for name, ids in zip(part.column("doc_id").to_pylist(), encode(texts), strict=True):
                     names.append(name)
-                    parts.append(encode(text) + end)
+                    parts.append(ids + end)
                     held += len(parts[-1]) // 4
                     if held >= segment_tokens:
                         yield flush()
@@ -192,7 +200,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(bounds[:-1] + row["start"], pa.int64()),
                      pa.array(row["counts"], pa.int64()), pa.array(crcs, pa.int64())], schema=schema)
 
-    return read_segments(spark, path).drop("ranks_", "shard", "segment", "n_tokens", "before") \
+    return read_segments(spark, path).select("start", "doc_ids", "counts", "chunks", "marks", "ranks") \
         .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -186,7 +186,7 @@ class Counter:
     """Token counts of a tokenizer file: added tokens are cut out first, then
     NFC, lower case and the file's pattern, then the transducer."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -219,29 +219,26 @@ class Counter:
             n += sum(map(self._word, self._find(low)))
         return n
 
-    def chunks(self, words: list[str]) -> int:
-        known = self._chunks
-        try:
-            return sum(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) >= self._most:
-                known.clear()
-            return sum(known[w] if w in known else self._learn(w) for w in words)
-
-    def _learn(self, word: str) -> int:
-        n = self.chunk(word)
-        if len(word) <= 64:
-            self._chunks[word] = n
-        return n
-
-    def map(self, text: str) -> tuple[str, int | None, str]:
-        """The map of a chunk of text: its head, the tokens of what stands
+    def chunks(self, texts: list[list[str]]) -> list[int]:
+        """Tokens of each list of parts between white space."""
+        known, seen = self._chunks, set()
+        for words in texts:
+            seen.update(words)
+        new = seen.difference(known)
+        if len(known) + len(new) > self._most:
+            known.clear()
+            new = seen
+        known.update((w, self.chunk(w)) for w in new)
+        return [sum(map(known.__getitem__, words)) for words in texts]
+
+    def maps(self, texts: list[str]) -> list[tuple[str, int | None, str]]:
+        """The map of each chunk of text: its head, the tokens of what stands
         between head and tail (None: the chunk has no white space and is all
         head), its tail."""
-        words = split(text)
-        if len(words) == 1:
-            return text, None, ""
-        return words[0], self.chunks([w for w in words[1:-1] if w]), words[-1]
+        parts = list(map(split, texts))
+        inside = self.chunks([p[1:-1] for p in parts])
+        return [(p[0], n, p[-1]) if len(p) > 1 else (p[0], None, "")
+                for p, n in zip(parts, inside, strict=True)]
 
     def compose(self, maps: Iterable[tuple[str, int | None, str]]) -> int:
         """Tokens of a text from its chunks' maps, in order."""
@@ -250,10 +247,16 @@ class Counter:
             open_parts.append(head)
             if inside is not None:
                 word = "".join(open_parts)
-                n += (self.chunks([word]) if word else 0) + inside
+                n += self._alone(word) + inside
                 open_parts = [tail]
         word = "".join(open_parts)
-        return n + (self.chunks([word]) if word else 0)
+        return n + self._alone(word)
+
+    def _alone(self, word: str) -> int:
+        if not word:
+            return 0
+        n = self._chunks.get(word)
+        return self.chunk(word) if n is None else n
 
 
 #: Python takes these for white space, the tokenizer's pattern doesn't.
@@ -303,7 +306,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, chunk_chars: int
         machine = counter(path)
         for batch in batches:
             for texts, part in in_slices(batch):
-                head, inside, tail = zip(*map(machine.map, texts), strict=True)
+                head, inside, tail = zip(*machine.maps(texts), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in ("doc_id", "n_bytes", "key", "k")]
                     + [pa.array(head, pa.string()), pa.array(inside, pa.int64()), pa.array(tail, pa.string())],
