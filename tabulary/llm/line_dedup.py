@@ -41,12 +41,15 @@ def _halves(words: Column, n: Column) -> Column:
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     """The lines with a word: doc_id, text_key and pos (together the place),
-    a 128-bit key of the words, and the keys of the halves of long lines."""
+    a 128-bit key of the words, and the keys of the halves of long lines.
+
+    What stands beside a generator is evaluated for each row it makes, so the
+    text's key is made before it and the words inside it.
+    """
     words, n = F.col("words"), F.size("words")
     return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
-                    F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-        .select("doc_id", "text_key", "pos", _words(F.col("line")).alias("words"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+        .select("doc_id", "text_key", F.posexplode(F.transform(F.split("text", "\n"), _words)).alias("pos", "words"))
         .where(n > 0)
         .select("doc_id", "text_key", "pos", F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"),
                 F.when(n >= min_words, _halves(words, n)).alias("halves")))
@@ -80,9 +83,10 @@ def _partners(words: DataFrame) -> DataFrame:
 
     runs = (
         words.repartition("h1", "h2")
-        .select("first", "h1", "h2", F.size("words").alias("n"),
-                *(all_of(k, s).alias(f"all_{k}{s}") for k, s in hashes), F.posexplode("words").alias("p", "w"))
-        .select("first", "h1", "h2", "n", "p", *(f"all_{k}{s}" for k, s in hashes),
+        .select("h1", "h2", F.size("words").alias("n"),
+                *(all_of(k, s).alias(f"all_{k}{s}") for k, s in hashes), "words")
+        .select("h1", "h2", "n", *(f"all_{k}{s}" for k, s in hashes), F.posexplode("words").alias("p", "w"))
+        .select("h1", "h2", "n", "p", *(f"all_{k}{s}" for k, s in hashes),
                 *(hashed(F.col("w"), place, k, s).alias(f"{k}{s}") for k, s in hashes))
         .select("*", *(F.bit_xor(f"{k}{s}").over(by_line).alias(f"upto_{k}{s}") for k, s in hashes)))
 
@@ -96,22 +100,24 @@ def _partners(words: DataFrame) -> DataFrame:
                       F.col("n").alias("length"))
     shorter = F.struct(without(1).alias("v1"), without(2).alias("v2"), place.alias("place"),
                        (F.col("n") - 1).alias("length"))
-    variants = runs.select("first", "h1", "h2", F.explode(
-        F.when(place == 0, F.array(itself, shorter)).otherwise(F.array(shorter))).alias("v")) \
-        .select("first", "h1", "h2", "v.*")
-
+    variants = staged(runs.select("h1", "h2", F.explode(
+        F.when(place == 0, F.array(itself, shorter)).otherwise(F.array(shorter))).alias("v"))
+        .select("h1", "h2", "v.*"), "variants")
+
+    # most variants are met by no other line: a plain count leaves them out before anything is sorted
+    common = variants.groupBy("v1").agg(F.count("*").alias("m")).where("m > 1").select("v1")
+    met = staged(variants.join(common, "v1", "left_semi")
+                 .join(words.select("h1", "h2", "first"), ["h1", "h2"]), "met")
     key = ["v1", "v2", "length"]
-    met = (
-        variants.groupBy(*key, "place").agg(F.min(F.struct("first", "h1", "h2")).alias("head"), F.count("*").alias("m"))
+    heads = (
+        met.groupBy(*key, "place").agg(F.min(F.struct("first", "h1", "h2")).alias("head"))
         .groupBy(*key).agg(
             F.min(F.when(F.col("place") < 0, F.col("head"))).alias("whole"),
             F.min(F.when(F.col("place") >= 0, F.col("head"))).alias("cut"),
-            F.map_from_entries(F.collect_list(F.struct("place", "head"))).alias("same"),
-            F.sum("m").alias("m"))
-        .where("m > 1"))
+            F.map_from_entries(F.collect_list(F.struct("place", "head"))).alias("same")))
     to = F.array(F.when(F.col("place") < 0, F.col("cut")).otherwise(F.col("whole")), F.col("same")[F.col("place")])
     return (
-        variants.join(met, key).select("first", "h1", "h2", F.explode(F.array_compact(to)).alias("to"))
+        met.join(heads, key).select("first", "h1", "h2", F.explode(F.array_compact(to)).alias("to"))
         .where("to.first < first")
         .select("h1", "h2", F.col("to.h1").alias("t1"), F.col("to.h2").alias("t2")).distinct())
 
@@ -132,7 +138,8 @@ def dropped_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
         .groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("at"))
     words = staged(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-        .select(F.xxhash64("text").alias("text_key"), F.split("text", "\n").alias("lines"), F.explode("at").alias("at"))
+        .select(F.xxhash64("text").alias("text_key"), F.split("text", "\n").alias("lines"), "at")
+        .select("text_key", "lines", F.explode("at").alias("at"))
         .where("text_key = at.first.text_key")
         .select("at.*", _words(F.get("lines", F.col("at.first.pos"))).alias("words"))
         .dropDuplicates(["h1", "h2"]), "words")
@@ -172,7 +179,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
         F.col("drop").alias("_drop"), F.col("n_near").alias("_near"))
     joined = docs.join(drops, (F.col("doc_id").cast("long") == F.col("_drop_doc"))
                        & (F.xxhash64("text") == F.col("_drop_text")), "left")
-    lines = F.split("text", "\n")
+    # a generator of one row keeps the split from being evaluated again for each line below
+    joined = joined.select("*", F.explode(F.array(F.coalesce(F.split("text", "\n"), F.array()))).alias("_lines"))
+    lines = F.col("_lines")
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")))
     text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
