@@ -1,7 +1,7 @@
 """Command line: build the catalog from a folder of CSV files, write the nine
 tables as Parquet, and write / print the validation report.
 
-    python -m tabulary build SOURCES_DIR OUT_DIR [--compat] [--collation UTF8_LCASE_RTRIM]
+    python -m tabulary build SOURCES_DIR OUT_DIR [--collation UTF8_LCASE_RTRIM]
                              [--expect zero|published]
     python -m tabulary validate OUT_DIR [--expect zero|published]
 
@@ -41,7 +41,6 @@ def main(argv: list[str] | None = None) -> int:
     b = sub.add_parser("build", help="load CSV sources, write the catalog and its checks")
     b.add_argument("sources")
     b.add_argument("out")
-    b.add_argument("--compat", action="store_true", help="reproduce the fixed-arity readings")
     b.add_argument("--collation", default=None, help="collation for name keys")
     v = sub.add_parser("validate", help="check a written catalog")
     v.add_argument("out")
@@ -53,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
     out = args.out.rstrip("/")
     if args.cmd == "build":
-        tables = build_catalog(read_sources(spark, args.sources), args.compat, args.collation)
+        tables = build_catalog(read_sources(spark, args.sources), args.collation)
         counts = write_catalog(tables, out)
         print(json.dumps({"rows": counts}))
     else:

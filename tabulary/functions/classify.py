@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -58,18 +59,19 @@ UNKNOWN = "N/A"
 
 
 def fix_typos(c: Column, rules=TYPO_RULES) -> Column:
-    """Apply the replacements in order."""
-    return reduce(lambda acc, r: F.replace(acc, F.lit(r[0]), F.lit(r[1])), rules, c)
+    """Apply the replacements in order, in any case of the letters."""
+    return reduce(lambda acc, r: F.regexp_replace(acc, f"(?i){re.escape(r[0])}", r[1]), rules, c)
 
 
 def typo_left(c: Column, rules=TYPO_RULES) -> Column:
-    """True where any wrong spelling remains (I32)."""
-    return reduce(lambda a, b: a | b, [c.contains(w) for w, _ in rules])
+    """True where any wrong spelling remains, in any case (I32)."""
+    return reduce(lambda a, b: a | b, [c.ilike(f"%{w}%") for w, _ in rules])
 
 
 def classify_container(c: Column, rules=CONTAINER_RULES) -> Column:
     """Ordered, case-insensitive rule list folded into one CASE."""
-    expr = F.when(c.isNull(), F.lit(UNIT_PRICED)).when(c.isin(*PLACEHOLDERS), F.lit(PLACEHOLDER))
+    expr = F.when(c.isNull(), F.lit(UNIT_PRICED)).when(
+        F.lower(c).isin(*map(str.lower, PLACEHOLDERS)), F.lit(PLACEHOLDER))
     for label, patterns in rules:
         cond = reduce(lambda a, b: a | b, [c.ilike(p) for p in patterns])
         expr = expr.when(cond, F.lit(label))

@@ -1,7 +1,8 @@
 """Packed pack-size text (survey I22, I23).
 
-``'(100's pack: ৳ 100.00),(150's pack: ৳ 150.00)'`` holds one block per
-pack: a size before ``'s`` and a price after ``৳ ``.
+``"(6's pack: ৳ 30.00),(12's pack: ৳ 57.50)"`` holds one block per pack: a size
+before ``'s`` and a price after the price sign.  Every block gives a row; a part that
+is not a number is NULL there.
 """
 
 from __future__ import annotations
@@ -9,36 +10,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import to_decimal_price
+from .text import TAKA, to_decimal_price
 
-PACK_BLOCK = r"\(([0-9]+)'s[^:)]*: ৳ ([0-9][0-9,.]*)\)"
+PACK_BLOCK = r"\([^()]*\)?"                  # open ones end with the text
+BLOCK_SIZE = r"^\( *([0-9]+) *'s"
+BLOCK_PRICE = r"৳([^()]*)"
 # Split between blocks: a comma with ')' before and '(' after.
 BLOCK_BOUNDARY = r"(?<=\)),(?=\()"
 
 
-def pack_blocks(c: Column, compat: bool = False) -> Column:
-    """Array<struct<pack_size int, pack_price decimal(10,2)>>, one per block.
-    Any number of blocks; compat keeps the first three."""
-    sizes = F.regexp_extract_all(c, F.lit(PACK_BLOCK), 1)
-    prices = F.regexp_extract_all(c, F.lit(PACK_BLOCK), 2)
-    blocks = F.transform(F.arrays_zip(sizes.alias("s"), prices.alias("p")), lambda b: F.struct(
-        b["s"].try_cast("int").alias("pack_size"),
-        to_decimal_price(b["p"]).alias("pack_price")))
-    return F.slice(blocks, 1, 3) if compat else blocks
-
-
-def pack_block_strings(c: Column, compat: bool = False) -> Column:
-    """Array<string> of the pack blocks in ``c``; compat keeps three."""
-    blocks = F.regexp_extract_all(c, F.lit(PACK_BLOCK), 0)
-    return F.slice(blocks, 1, 3) if compat else blocks
+def pack_block_strings(c: Column) -> Column:
+    """Array<string> of the blocks of a text with prices (others have none)."""
+    return F.when(c.contains(TAKA), F.regexp_extract_all(c, F.lit(PACK_BLOCK), 0))
 
 
 def block_size(block: Column) -> Column:
-    return F.regexp_extract(block, PACK_BLOCK, 1).try_cast("int")
+    return F.regexp_extract(block, BLOCK_SIZE, 1).try_cast("int")
 
 
 def block_price(block: Column) -> Column:
-    return to_decimal_price(F.regexp_extract(block, PACK_BLOCK, 2))
+    return to_decimal_price(F.regexp_extract(block, BLOCK_PRICE, 1))
 
 
 def block_strings(c: Column, limit: int = 3) -> Column:

@@ -1,10 +1,9 @@
 """Child tables parsed from packed text (survey I9-I30, G2, A7, A8).
 
-All parsing is narrow: one ``posexplode`` of the regex matches of each
-parent's text emits the child rows, which plain regex expressions then parse
-(compat mode builds an array of structs instead) -- a single scan of the
-parent instead of one scan per segment position, and no shuffle except the
-range shuffle of the dense key.
+All parsing is narrow: one ``posexplode`` of the pieces of each parent's text
+emits the child rows, which plain regex expressions then parse -- a single
+scan of the parent instead of one scan per segment position, and no shuffle
+except the range shuffle of the dense key.
 """
 
 from __future__ import annotations
@@ -13,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import classify_container, fix_typos
-from ..functions.containers import (clean_steps, container_format, segment_price, segment_size,
-                                    segment_strings, segments, taka_count, unit_price)
+from ..functions.containers import (SEPARATOR, cleaned, container_format, container_signs,
+                                    segment_price, segment_size, unit_price)
 from ..functions.packs import block_price, block_size, block_strings, pack_block_strings
-from ..functions.text import TAKA
+from ..functions.text import TAKA, occurrences
 from .keys import with_dense_key
 
 
@@ -26,29 +25,26 @@ def extract_unit_price(df: DataFrame, text: str = "package_container",
     return df.withColumn(out, unit_price(F.col(text)))
 
 
-def clean_container(df: DataFrame, text: str = "package_container",
-                    compat: bool = False) -> DataFrame:
-    """Apply CLEAN 1..6 in order (I21).  Each step is its own projection so
-    the optimizer does not inline one giant nested CASE."""
-    for _, step in clean_steps(compat):
-        df = df.withColumn(text, step(F.col(text)))
-    return df
+def clean_container(df: DataFrame, text: str = "package_container") -> DataFrame:
+    """Reduce the raw text to its containers and their prices."""
+    return df.withColumn(text, cleaned(F.col(text)))
 
 
-def prepare_medicine(df: DataFrame, text: str = "package_container",
-                     compat: bool = False) -> DataFrame:
-    """Format label and unit price from the raw text, then the CLEAN chain."""
-    with_price = df.withColumn("container_format", container_format(F.col(text)))
-    with_price = extract_unit_price(with_price, text)
-    return clean_container(with_price, text, compat)
+def prepare_medicine(df: DataFrame, text: str = "package_container") -> DataFrame:
+    """Format label, unit price and number of price signs from the raw text,
+    then the cleaned text."""
+    raw = (df.withColumn("container_format", container_format(F.col(text)))
+           .withColumn("container_signs", container_signs(F.col(text))))
+    return clean_container(extract_unit_price(raw, text), text)
 
 
 def parse_pack_sizes(df: DataFrame, parent_key: str = "brand_id", text: str = "package_size",
-                     key: str = "package_size_id", compat: bool = False) -> DataFrame:
-    """One row per pack block: (key, parent_key, pack_size, pack_price).
+                     key: str = "package_size_id") -> DataFrame:
+    """One row per pack block: (key, parent_key, pack_size, pack_price), NULL
+    where a part is not a number (I22).
     Blocks are exploded as strings and parsed with plain regex expressions,
     which stay inside whole-stage codegen."""
-    blocks = pack_block_strings(F.col(text), compat)
+    blocks = pack_block_strings(F.col(text))
     rows = (df.select(parent_key, F.posexplode(blocks).alias("pos", "b"))
             .select(parent_key, "pos", block_size(F.col("b")).alias("pack_size"),
                     block_price(F.col("b")).alias("pack_price")))
@@ -57,11 +53,11 @@ def parse_pack_sizes(df: DataFrame, parent_key: str = "brand_id", text: str = "p
 
 def preview_pack_blocks(df: DataFrame, parent_key: str = "brand_id",
                         text: str = "package_size") -> DataFrame:
-    """Block strings of every priced pack text: blocks 1 and 2, and block 3
-    holding the rest (I23)."""
+    """Every priced pack text and its block strings: blocks 1 and 2, and
+    block 3 holding the rest (I23)."""
     blocks = block_strings(F.col(text), 3)
     return (df.filter(F.col(text).contains(TAKA))
-            .select(parent_key, *[F.get(blocks, i).alias(f"block_{i + 1}") for i in range(3)]))
+            .select(parent_key, text, *[F.get(blocks, i).alias(f"block_{i + 1}") for i in range(3)]))
 
 
 def preview_first_block(df: DataFrame, parent_key: str = "brand_id", text: str = "package_size",
@@ -77,60 +73,45 @@ def preview_first_block(df: DataFrame, parent_key: str = "brand_id", text: str =
 
 def parse_containers(df: DataFrame, parent_key: str = "brand_id",
                      text: str = "package_container", price: str = "unit_price",
-                     key: str = "package_container_id", compat: bool = False) -> DataFrame:
+                     key: str = "package_container_id") -> DataFrame:
     """One row per container segment, typo-fixed and classified.
 
     Rows whose text was nulled by cleaning but that carry a unit price give
     one row with a NULL container (format B, I30).  Priced, unpriced and
-    mixed segments all come out of the same array.
+    mixed segments all come out of the same array of strings, which is
+    exploded and parsed by plain regex expressions; a NULL element stands
+    for the unit-price row.
     """
-    if compat:
-        size_t = "struct<container_size:string,unit_price:decimal(10,2)>"
-        unit_only = F.array(F.struct(F.lit(None).cast("string").alias("container_size"),
-                                     F.col(price).alias("unit_price")))
-        items = (F.when(F.col(text).isNotNull(), segments(F.col(text), compat))
-                 .when(F.col(price).isNotNull(), unit_only)
-                 .otherwise(F.array().cast(f"array<{size_t}>")))
-        rows = df.select(parent_key, F.posexplode(items).alias("pos", "s"))
-        size, unit = F.col("s.container_size"), F.col("s.unit_price")
-    else:
-        # Segment strings are exploded and parsed by plain regex expressions
-        # (codegen-friendly); a NULL element stands for the unit-price row.
-        items = (F.when(F.col(text).isNotNull(), segment_strings(F.col(text)))
-                 .when(F.col(price).isNotNull(), F.array(F.lit(None).cast("string"))))
-        rows = (df.select(parent_key, F.col(price).alias("__unit"),
-                          F.posexplode(items).alias("pos", "seg")))
-        seg = F.col("seg")
-        rows = rows.select(parent_key, "pos",
-                           F.when(seg.isNotNull(), segment_size(seg)).alias("container_size"),
-                           F.when(seg.isNull(), F.col("__unit")).otherwise(segment_price(seg))
-                           .alias("unit_price"))
-        rows = rows.filter(F.col("container_size").isNull() | (F.col("container_size") != ""))
-        size, unit = F.col("container_size"), F.col("unit_price")
-    fixed = fix_typos(size)
-    typed = rows.select(parent_key, "pos", fixed.alias("container_size"), unit.alias("unit_price"))
+    items = (F.when(F.col(text).isNotNull(), F.split(F.col(text), SEPARATOR))
+             .when(F.col(price).isNotNull(), F.array(F.lit(None).cast("string"))))
+    rows = (df.select(parent_key, F.col(price).alias("__unit"),
+                      F.posexplode(items).alias("pos", "seg")))
+    seg = F.col("seg")
+    typed = rows.select(parent_key, "pos",
+                        fix_typos(segment_size(seg)).alias("container_size"),
+                        F.when(seg.isNull(), F.col("__unit")).otherwise(segment_price(seg))
+                        .alias("unit_price"))
     typed = typed.withColumn("container_type", classify_container(F.col("container_size")))
     return with_dense_key(typed, key, [parent_key, "pos"]).drop("pos")
 
 
 def parse_rejects(raw: DataFrame, containers: DataFrame, packs: DataFrame,
                   parent_key: str = "brand_id") -> DataFrame:
-    """Parents whose packed text did not fully parse: the number of price
-    signs left in the cleaned container text differs from the priced
-    container rows, or the price signs in the pack text differ from the
-    pack rows.  ``(parent_key, container_signs, priced_containers,
-    pack_signs, pack_rows)``; empty when nothing was lost."""
-    signs = raw.select(parent_key,
-                       F.coalesce(taka_count(F.col("package_container")), F.lit(0)).cast("long")
-                       .alias("container_signs"),
-                       F.coalesce(taka_count(F.col("package_size")), F.lit(0)).cast("long")
+    """Parents of whose raw text not every price was read: the number of price
+    signs of containers differs from the priced container rows, or the signs
+    in the pack text from the priced pack rows.  ``(parent_key,
+    container_signs, priced_containers, pack_signs, priced_packs)``; empty when
+    every price was read."""
+    signs = raw.select(parent_key, "container_signs",
+                       F.coalesce(occurrences(F.col("package_size"), TAKA), F.lit(0)).cast("long")
                        .alias("pack_signs"))
     priced = (containers.filter(F.col("container_size").isNotNull() & F.col("unit_price").isNotNull())
               .groupBy(parent_key).agg(F.count(F.lit(1)).alias("priced_containers")))
-    pack_rows = packs.groupBy(parent_key).agg(F.count(F.lit(1)).alias("pack_rows"))
+    pack_rows = (packs.filter(F.col("pack_price").isNotNull())
+                 .groupBy(parent_key).agg(F.count(F.lit(1)).alias("priced_packs")))
     joined = (signs.join(priced, parent_key, "left").join(pack_rows, parent_key, "left")
               .select(parent_key, "container_signs",
                       F.coalesce("priced_containers", F.lit(0)).alias("priced_containers"),
-                      "pack_signs", F.coalesce("pack_rows", F.lit(0)).alias("pack_rows")))
+                      "pack_signs", F.coalesce("priced_packs", F.lit(0)).alias("priced_packs")))
     return joined.filter((F.col("container_signs") != F.col("priced_containers"))
-                         | (F.col("pack_signs") != F.col("pack_rows")))
+                         | (F.col("pack_signs") != F.col("priced_packs")))

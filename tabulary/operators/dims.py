@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, is_present
-from .keys import known_bytes, known_max_key, known_rows, remember_rows, with_dense_key
+from .keys import known_max_key, with_dense_key
 
 _FIRST = "__first"
 
@@ -71,8 +71,6 @@ def backfill_dimension(dim: DataFrame, values: DataFrame, key: str, name: str,
         top = dim.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
     added = with_dense_key(new, key, [name], start=int(top))
     out = dim.unionByName(added)
-    if known_rows(dim) is not None:
-        nbytes = (known_bytes(dim) + known_bytes(added)
-                  if known_bytes(dim) is not None and known_bytes(added) is not None else None)
-        remember_rows(out, known_rows(dim) + known_rows(added), known_max_key(added), nbytes)
+    if known_max_key(added) is not None:
+        out.__dict__["_known_max_key"] = known_max_key(added)
     return out

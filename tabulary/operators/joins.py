@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import checked_broadcast, known_bytes, known_rows, with_dense_key
+from .keys import with_dense_key
 
 
 def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
@@ -14,23 +14,18 @@ def resolve_fk(facts: DataFrame, dim: DataFrame, fact_col: str, dim_name: str,
     """Replace the natural key ``fact_col`` by the surrogate ``dim_key``.
 
     ``how='left'`` keeps misses with a NULL key (C2); ``how='inner'`` drops
-    them (C1).  The dimension is broadcast only when its size is checked
-    small; larger ones fall back to a shuffle join.  NULL names never match.
+    them (C1).  Catalyst and AQE choose between broadcast and shuffle by the
+    dimension's size.  NULL names never match.
     """
     def coll(c):
         return F.collate(c, collation) if collation else c
 
     lookup = dim.select(coll(F.col(dim_name)).alias("__name"), F.col(dim_key).alias(out or dim_key))
-    # The lookup is a projection of the dimension, so the dimension's exact
-    # size (when known) bounds it.
-    side = checked_broadcast(lookup, rows=known_rows(dim), nbytes=known_bytes(dim))
-    if side is not lookup or how != "left":
-        # Broadcast (no shuffle), or an inner join, which drops NULL keys
-        # before its shuffle anyway.
-        joined = facts.join(side, coll(facts[fact_col]) == F.col("__name"), how)
-        return joined.drop("__name", fact_col)
-    # Shuffled left join: rows whose name is NULL can never match, yet would
-    # all hash to one reducer.  Give them a deterministic, never-matching key
+    if how != "left":       # drops NULL keys before any shuffle
+        return (facts.join(lookup, coll(facts[fact_col]) == F.col("__name"), how)
+                .drop("__name", fact_col))
+    # Rows whose name is NULL can never match, yet would all hash to one
+    # reducer of a shuffled join.  Give them a deterministic, never-matching key
     # spread by a hash of the row, and prefix real names so the two cannot
     # collide.
     spread = F.concat(F.lit("\u0001"), F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string"))

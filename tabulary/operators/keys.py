@@ -1,35 +1,26 @@
-"""Dense surrogate keys and size-checked broadcasts (survey A11, C1-C2).
+"""Dense surrogate keys (survey A11).
 
 ``with_dense_key`` numbers rows 1..n (plus ``start``) in the order of a total
 key without a single-partition window:
 
 1. range-partition and sort by the order key (one shuffle, sampled bounds;
    AQE sizes the partitions unless a count is given);
-2. reliable ``checkpoint()`` so the partition layout is fixed and survives
-   executor loss (never a local checkpoint);
-3. count rows per partition -- the only collect, bounded by the number of
-   partitions, not by the data;
-4. key = start + rows in earlier partitions + position in the partition,
-   from ``monotonically_increasing_id`` over the checkpointed rows.  The
-   offsets are an array indexed by partition id (O(1) per row), or a
-   broadcast join on the partition id when there are very many partitions.
+2. write the rows as Parquet into the shared folder, each with its
+   partition's number and its position in it, so the numbering is fixed and
+   survives executor loss, and later reads take the columns they need;
+3. count rows per partition, from those two columns alone;
+4. key = start + rows in earlier partitions + position + 1.  The offsets are
+   one row per partition, so their broadcast is bounded by the layout.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-# A side is broadcast only when both bounds are proven (counted, not estimated).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-# Partition offsets are inlined as an array literal up to this many partitions.
-OFFSETS_INLINE_MAX = 1024
+from ..sources.staging import staged
 
 
 def _order_cols(order: list[str | Column]) -> list[Column]:
@@ -41,105 +32,28 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
     """Add ``key`` = start + 1..n following ``order`` (which must be total for
     the numbering to be deterministic).  Returns ``key`` first, then the
     other columns."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = _order_cols(order)
     # Without an explicit count the range exchange is sized by AQE, which only
     # merges adjacent ranges, so partition order still follows the key.
     exchange = (df.repartitionByRange(num_partitions, *cols) if num_partitions
                 else df.repartitionByRange(*cols))
-    ranged = exchange.sortWithinPartitions(*cols).checkpoint(eager=True)
     pid = F.spark_partition_id()
-    stats = (ranged.groupBy(pid.alias("pid"))
-             .agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(ranged)).alias("b")).collect())
-    counts = {r["pid"]: r["n"] for r in stats}
-    total_bytes = sum(r["b"] or 0 for r in stats)
-    width = max(counts, default=-1) + 1             # empty partitions count 0
-    offsets = [0] + list(accumulate(counts.get(p, 0) for p in range(width)))[:-1]
+    placed = staged(
+        exchange.sortWithinPartitions(*cols).select(
+            "*", pid.alias("__pid"),
+            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("__pos")), key)
+    counts = {r["__pid"]: r["n"] for r in placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pids = sorted(counts)
+    offsets = [0, *accumulate(counts[p] for p in pids)][:-1] if pids else []
+    table_ = df.sparkSession.createDataFrame(list(zip(pids, offsets)), "__pid int, __base long")
     start_col = (start if isinstance(start, Column) else F.lit(start)).cast("long")
-    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    if width <= OFFSETS_INLINE_MAX:
-        # O(1) array lookup by partition id; the literal is tiny.
-        base = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-                if width else F.lit(0).cast("long"))
-        out = ranged.select((start_col + base + position + F.lit(1)).alias(key), *ranged.columns)
-    else:
-        # Many partitions: ship offsets once per executor as a broadcast
-        # (bounded by the partition count), joined on the partition id.
-        spark_ = ranged.sparkSession
-        table_ = spark_.createDataFrame(list(enumerate(offsets)), "__pid int, __base long")
-        tagged = ranged.select(pid.alias("__pid"), position.alias("__pos"), *ranged.columns)
-        out = (tagged.join(F.broadcast(table_), "__pid")
-               .select((start_col + F.col("__base") + F.col("__pos") + F.lit(1)).alias(key),
-                       *ranged.columns))
-    total = sum(counts.values())
-    return remember_rows(out, total, start + total if isinstance(start, int) else None,
-                         total_bytes + 8 * total)
-
-
-def row_bytes(df: DataFrame) -> Column:
-    """Size of a row in bytes: string and binary lengths, 8 per other field
-    (complex fields counted by their JSON text)."""
-    parts = []
-    for f in df.schema.fields:
-        c, t = F.col(f"`{f.name}`"), f.dataType.typeName()
-        if t in ("string", "binary"):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif t in ("array", "map", "struct"):
-            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
-        else:
-            parts.append(F.lit(8))
-    return reduce(lambda a, b: a + b, parts, F.lit(0)).cast("long")
-
-
-def remember_rows(df: DataFrame, n: int, max_key: int | None = None,
-                  nbytes: int | None = None) -> DataFrame:
-    """Attach an exact row count (and the largest key and byte size, when
-    known) learned as a by-product of an action, so later steps need no
-    extra job."""
-    df.__dict__["_known_rows"] = int(n)
-    if max_key is not None:
-        df.__dict__["_known_max_key"] = int(max_key)
-    if nbytes is not None:
-        df.__dict__["_known_bytes"] = int(nbytes)
-    return df
-
-
-def known_rows(df: DataFrame) -> int | None:
-    return df.__dict__.get("_known_rows")
-
-
-def known_bytes(df: DataFrame) -> int | None:
-    return df.__dict__.get("_known_bytes")
+    out = (placed.join(F.broadcast(table_), "__pid")
+           .select((start_col + F.col("__base") + F.col("__pos") + F.lit(1)).alias(key), *df.columns))
+    if isinstance(start, int):
+        out.__dict__["_known_max_key"] = start + sum(counts.values())
+    return out
 
 
 def known_max_key(df: DataFrame) -> int | None:
+    """The largest key, if ``df`` came from :func:`with_dense_key`."""
     return df.__dict__.get("_known_max_key")
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads at most limit+1."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES, rows: int | None = None,
-                   nbytes: int | None = None) -> bool:
-    """Proven small: at most ``max_rows`` rows and ``max_bytes`` bytes.  Uses
-    exact figures already known (from the dense-key step); otherwise counts
-    rows and bytes over at most ``max_rows + 1`` rows in one bounded job."""
-    rows = rows if rows is not None else known_rows(df)
-    nbytes = nbytes if nbytes is not None else known_bytes(df)
-    if rows is None or nbytes is None:
-        r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                       F.sum(row_bytes(df)).alias("b")).first()
-        rows, nbytes = r["n"], (r["b"] or 0) + 8 * r["n"]
-    return rows <= max_rows and nbytes <= max_bytes
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      rows: int | None = None, nbytes: int | None = None,
-                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only if its size is proven small (rows and
-    bytes); otherwise leave the join strategy to Catalyst/AQE (sort-merge)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes, rows, nbytes) else df

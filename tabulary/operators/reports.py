@@ -33,12 +33,13 @@ def value_frequency(df: DataFrame, col: str | Column, name: str, out: str = "fre
     return df.groupBy(c.alias(name)).agg(F.count(F.lit(1)).alias(out))
 
 
-def value_range(df: DataFrame, col: str, prefix: str) -> DataFrame:
-    """min, max and average (double, 2 decimals) over non-NULL values."""
+def value_range(df: DataFrame, col: str, prefix: str, digits: int | None = None) -> DataFrame:
+    """min, max and average over non-NULL values (D5, D6).  The average of a
+    decimal is the exact decimal; ``digits`` rounds that of a double."""
     c = F.col(col)
+    mean = F.avg(c) if digits is None else F.round(F.avg(c), digits)
     return df.filter(c.isNotNull()).agg(
-        F.min(c).alias(f"min_{prefix}"), F.max(c).alias(f"max_{prefix}"),
-        F.round(F.avg(c).cast("double"), 2).alias(f"avg_{prefix}"))
+        F.min(c).alias(f"min_{prefix}"), F.max(c).alias(f"max_{prefix}"), mean.alias(f"avg_{prefix}"))
 
 
 def group_size_histogram(child: DataFrame, fk: str, size_name: str,

@@ -7,13 +7,17 @@ function of the row's own numbers, so an oracle can compute the expected
 catalog from the same numbers without re-parsing any text.
 
 * Names are made dirty (blanks, no-break spaces, ';' for ',', a stray 'Â').
-* ``Package_Container`` takes one of 15 shapes by ``p_partkey % 15``: single
+* ``Package_Container`` takes one of 20 shapes by ``p_partkey % 20``: single
   and multiple priced containers (with thousands separators), unit-price
   text with and without a pack fragment, orphaned prices, pack fragments,
-  the doubled-block shape, unpriced lists, placeholders, bare text, NULL,
-  and mixed priced/unpriced lists.  Container words and units come from
-  fixed lists, some with the typos the loads must fix.
-* ``Package_Size`` has ``p_partkey % 5`` pack blocks.
+  the doubled-block shape, unpriced lists, placeholders in any case, bare
+  text, NULL, mixed priced/unpriced lists, prices of one and three decimals,
+  odd blanks, a price that is no number, and words in capitals.  Container
+  words and units come from fixed lists, some with typos to fix.
+* ``Package_Size`` has ``p_partkey % 5`` pack blocks, some with a size or
+  price that is no number, without a blank, or not closed.
+* Misses come from altered names: a class suffix that the class file lacks,
+  and a company suffix in some medicines' manufacturer.
 """
 
 from __future__ import annotations
@@ -22,7 +26,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import MOJIBAKE_A, NBSP
-from ..operators.keys import checked_broadcast
 from ..sources.tables import table
 
 # Container words as written in the rendered text, and as they
@@ -43,8 +46,10 @@ CONTAINER_WORDS = (
 )
 # Units as written, and after the typo fixes.
 UNITS = (("ml", "ml"), ("mg", "mg"), ("µg", "mcg"), ("litter", "liter"), ("gm", "gm"))
+# Units of the shape with words in capitals.
+CAPITAL_UNITS = ("ml", "mg", "µg", "Litter", "gm")
 
-N_FORMATS = 15
+N_FORMATS = 20
 TAKA_MARK = ": ৳ "
 UNIT_PRICE = "Unit Price: ৳ "
 
@@ -98,6 +103,8 @@ def _container_text(p: DataFrame) -> Column:
         return F.concat(head, F.lit(TAKA_MARK), _money((u * count).cast("decimal(10,2)")), F.lit(")"))
 
     s0, s1, s2 = seg(0), seg(1), seg(2)
+    capital = F.concat(_num(size), F.lit(" "), _pick(_strings(CAPITAL_UNITS), size % len(CAPITAL_UNITS)),
+                       F.lit(" "), F.upper(_pick(raw_words, word)))
     shapes = [
         F.concat(s0, F.lit(TAKA_MARK), _money(big)),                                   # 0
         F.concat(F.lit(UNIT_PRICE), u_txt, F.lit(","), pack(n, True), F.lit(",")),     # 1
@@ -112,9 +119,16 @@ def _container_text(p: DataFrame) -> Column:
                  s0, F.lit(TAKA_MARK), u_txt, F.lit(","), pack(n + 5, True), F.lit(",")),  # 9
         F.concat(s0, F.lit(","), s1, F.lit(","), s2),                                  # 10
         F.concat(s0, F.lit(TAKA_MARK), u_txt, F.lit(","), pack(n, False)),             # 11
-        F.when(size % 2 == 0, F.lit("Price Unavailable")).otherwise(F.lit("Not for sale")),  # 12
+        F.when(size % 4 == 0, F.lit("price unavailable")).when(size % 4 == 2, F.lit("Price Unavailable"))
+        .when(size % 4 == 1, F.lit("NOT FOR SALE")).otherwise(F.lit("Not for sale")),   # 12
         F.when(size % 5 == 0, F.lit(None).cast("string")).otherwise(s0),               # 13
         F.concat(s0, F.lit(","), s1, F.lit(TAKA_MARK), u_txt),                         # 14
+        F.lit(None).cast("string"),                                                    # 15
+        F.concat(s0, F.lit(TAKA_MARK), _num(u.cast("decimal(10,1)")), F.lit(" ,"), s1,
+                 F.lit(TAKA_MARK), u_txt, F.lit("0")),                                 # 16
+        F.concat(s0, F.lit(":৳"), u_txt),                                              # 17
+        F.concat(s0, F.lit(TAKA_MARK + "TBA,"), s1, F.lit(TAKA_MARK), u_txt),          # 18
+        F.concat(capital, F.lit(TAKA_MARK), u_txt),                                    # 19
     ]
     expr = F.when(fmt == 0, shapes[0])
     for i, shape in enumerate(shapes[1:], start=1):
@@ -127,8 +141,15 @@ def _pack_text(p: DataFrame) -> Column:
     size, key = F.col("p_size"), F.col("p_partkey")
     blocks = key % 5
     u = F.col("p_retailprice").cast("decimal(10,2)")
-    block = lambda i: F.concat(F.lit("("), _num(i * 10), F.lit("'s pack" + TAKA_MARK),
-                               _money((u * 3 * i).cast("decimal(10,2)")), F.lit(")"))
+
+    def block(i: Column) -> Column:
+        count = F.when((i == 1) & (size % 11 == 0), F.lit("1,000")).otherwise(_num(i * 10))
+        price = F.when((i == 1) & (size % 17 == 0), F.lit("TBA")).otherwise(
+            _money((u * 3 * i).cast("decimal(10,2)")))
+        mark = F.when(size % 19 == 0, F.lit("'s pack:৳ ")).otherwise(F.lit("'s pack" + TAKA_MARK))
+        end = F.when((i == blocks) & (size % 13 == 0), F.lit("")).otherwise(F.lit(")"))
+        return F.concat(F.lit("("), count, mark, price, end)
+
     text = F.array_join(F.transform(F.sequence(F.lit(1), blocks.cast("int")), block), ",")
     text = F.concat(text, F.when(size % 2 == 0, F.lit(",")).otherwise(F.lit("")))
     return (F.when(blocks > 0, text)
@@ -155,7 +176,7 @@ def medicine_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
     first = t("lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("first_supp"))
     supplier = t("supplier").select("s_suppkey", "s_name")
     p = (part.join(first, part.p_partkey == first.l_partkey, "left")
-         .join(checked_broadcast(supplier), F.col("first_supp") == F.col("s_suppkey"), "left"))
+         .join(supplier, F.col("first_supp") == F.col("s_suppkey"), "left"))
     key, size = F.col("p_partkey"), F.col("p_size")
     brand = F.concat(F.col("p_name"),
                      F.when(size % 3 == 0, F.concat(F.lit(";"), F.lower("p_type"))).otherwise(F.lit("")))
@@ -167,17 +188,18 @@ def medicine_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
         _dirty(F.col("p_brand"), (key + 1) % 4).alias("Dosage_Form"),
         _dirty(F.col("p_name"), (key + 2) % 4).alias("Generic"),
         F.concat(_num(size), F.lit(" mg")).alias("Strength"),
-        _dirty(F.col("s_name"), key % 4).alias("Manufacturer"),
+        _dirty(F.when(size % 23 == 0, F.concat("s_name", F.lit(" Ltd"))).otherwise(F.col("s_name")), key % 4)
+        .alias("Manufacturer"),
         _container_text(p).alias("Package_Container"),
         _pack_text(p).alias("Package_Size"),
     )
 
 
 def drug_class_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
-    """Class file: one line per part of size <= 40 (so classes used only by
-    larger parts' generics must be backfilled)."""
+    """Class file: one line per part; classes that only generics name must be
+    backfilled."""
     t = t or _tables(spark, sf_dir)
-    p = t("part").filter(F.col("p_size") <= 40)
+    p = t("part")
     key = F.col("p_partkey")
     return p.select(key.cast("int").alias("Drug_Class_ID"),
                     _dirty(F.col("p_type"), key % 4).alias("Drug_Class_Name"),
@@ -196,9 +218,9 @@ def dosage_form_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
 
 
 def manufacturer_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
-    """Suppliers with a negative balance are missing from the file, so some
-    medicines cannot resolve their manufacturer."""
-    s = (t or _tables(spark, sf_dir))("supplier").filter(F.col("s_acctbal") >= 0)
+    """Manufacturer file: one line per supplier.  The medicines that write the
+    name another way cannot resolve theirs."""
+    s = (t or _tables(spark, sf_dir))("supplier")
     key = F.col("s_suppkey")
     return s.select(key.cast("int").alias("Manufacturer_ID"),
                     _dirty(F.col("s_name"), key % 4).alias("Manufacturer_Name"),
@@ -213,7 +235,7 @@ def indication_source(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
     t = t or _tables(spark, sf_dir)
     nation = t("nation").select("n_nationkey", "n_name")
     s = t("supplier").select("s_suppkey", "s_nationkey")
-    j = s.join(checked_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    j = s.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     key = F.col("s_suppkey")
     return j.select(key.cast("int").alias("Indication_ID"),
                     _dirty(F.col("n_name"), key % 4).alias("Indication_Name"),
@@ -243,8 +265,8 @@ def generic_indication_source(spark: SparkSession, sf_dir: str, t=None) -> DataF
     supplier = t("supplier").select("s_suppkey", "s_nationkey")
     nation = t("nation").select("n_nationkey", "n_name")
     j = (pairs.join(part, pairs.l_partkey == part.p_partkey)
-         .join(checked_broadcast(supplier), F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(checked_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")))
+         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
     stray = F.when(F.col("s_suppkey") % 3 == 0, F.lit(MOJIBAKE_A + NBSP)).otherwise(F.lit(""))
     return j.select(F.col("p_name").alias("Generic_Name"),
                     F.concat(F.col("n_name"), stray).alias("Indication"))

@@ -37,14 +37,6 @@ _MEDICINE_TEXT = ("Brand_Name", "Type", "Slug", "Dosage_Form", "Generic", "Stren
                   "Manufacturer", "Package_Container", "Package_Size")
 
 
-def name_cleaner(compat: bool = False):
-    """How dimension-side names are cleaned.  By default the same way as the
-    medicine side (';' read back as ','), so lookups see one convention;
-    compat keeps ';' in dimensions as the modelled loads do, which makes
-    such names miss."""
-    return clean_text if compat else restore_commas
-
-
 _DIMENSIONS = {          # table: (source name column, key, output name column)
     "drug_class": ("Drug_Class_Name", "drug_class_id", "drug_class_name"),
     "dosage_form": ("Dosage_Form_Name", "dosage_form_id", "dosage_form_name"),
@@ -54,13 +46,13 @@ _DIMENSIONS = {          # table: (source name column, key, output name column)
 
 
 def build_dimensions(sources: dict[str, DataFrame], collation: str | None = None,
-                     compat: bool = False, pool: Executor | None = None) -> dict[str, DataFrame]:
+                     pool: Executor | None = None) -> dict[str, DataFrame]:
     """The four independent dimensions; with ``pool`` their jobs run
     concurrently."""
     def dim(table_):
         name, key, out = _DIMENSIONS[table_]
         return load_dimension(sources[table_], name, "Slug", key, out,
-                              cleaner=name_cleaner(compat), collation=collation)
+                              cleaner=restore_commas, collation=collation)
     if pool is None:
         return {t: dim(t) for t in _DIMENSIONS}
     futures = {t: pool.submit(dim, t) for t in _DIMENSIONS}
@@ -68,13 +60,12 @@ def build_dimensions(sources: dict[str, DataFrame], collation: str | None = None
 
 
 def build_generic(generic_src: DataFrame, drug_class: DataFrame,
-                  collation: str | None = None, compat: bool = False) -> tuple[DataFrame, DataFrame]:
+                  collation: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Backfill classes seen only in the generic file, then one row per
     generic name with its class resolved by an inner lookup."""
-    clean = name_cleaner(compat)
-    gen = generic_src.select(collated(clean("Generic_Name"), collation).alias("generic_name"),
+    gen = generic_src.select(collated(restore_commas("Generic_Name"), collation).alias("generic_name"),
                              clean_text("Slug").alias("slug"),
-                             clean("Drug_Class").alias("drug_class"))
+                             restore_commas("Drug_Class").alias("drug_class"))
     classes = gen.select(F.col("drug_class").alias("drug_class_name"))
     drug_class = backfill_dimension(drug_class, classes, "drug_class_id", "drug_class_name",
                                     collation=collation)
@@ -85,8 +76,7 @@ def build_generic(generic_src: DataFrame, drug_class: DataFrame,
     return with_dense_key(resolved, "generic_id", ["generic_name"]), drug_class
 
 
-def build_medicine_raw(medicine_src: DataFrame, dims: dict[str, DataFrame],
-                       compat: bool = False, collation: str | None = None) -> DataFrame:
+def build_medicine_raw(medicine_src: DataFrame, dims: dict[str, DataFrame], collation: str | None = None) -> DataFrame:
     """Medicines with three left lookups (misses kept, key NULL), distinct
     rows, dense key; then unit price and cleaned container text, which only
     the child tables read."""
@@ -101,15 +91,14 @@ def build_medicine_raw(medicine_src: DataFrame, dims: dict[str, DataFrame],
     distinct = m.select(*cols).distinct()
     keyed = with_dense_key(distinct, "brand_id", ["brand_name", "slug"] +
                            [c for c in cols if c not in ("brand_name", "slug")])
-    return prepare_medicine(keyed, compat=compat)
+    return prepare_medicine(keyed)
 
 
-def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
+def build_catalog(sources: dict[str, DataFrame],
                   collation: str | None = None) -> dict[str, DataFrame]:
     """The nine catalog tables (plus ``medicine_raw``, the hand-off between the
     medicine load and its child tables).
 
-    ``compat`` reproduces the fixed-arity readings of the modelled loads;
     ``collation`` (e.g. ``UTF8_LCASE_RTRIM``) makes name keys compare the way
     a case-insensitive database default would.  Default: exact comparison.
     """
@@ -118,14 +107,13 @@ def build_catalog(sources: dict[str, DataFrame], compat: bool = False,
     # child tables).  Each stage is deterministic, so the order of completion
     # does not matter.
     with ThreadPoolExecutor(max_workers=4, thread_name_prefix="tabulary") as pool:
-        dims = build_dimensions(sources, collation, compat, pool)
-        generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation,
-                                            compat)
+        dims = build_dimensions(sources, collation, pool)
+        generic, drug_class = build_generic(sources["generic"], dims["drug_class"], collation)
         dims = {**dims, "drug_class": drug_class, "generic": generic}
-        junction = pool.submit(_junction, sources, generic, dims["indication"], compat, collation)
-        raw = build_medicine_raw(sources["medicine"], dims, compat, collation)
-        packs = pool.submit(parse_pack_sizes, raw, compat=compat)
-        containers = pool.submit(parse_containers, raw, compat=compat)
+        junction = pool.submit(_junction, sources, generic, dims["indication"], collation)
+        raw = build_medicine_raw(sources["medicine"], dims, collation)
+        packs = pool.submit(parse_pack_sizes, raw)
+        containers = pool.submit(parse_containers, raw)
         return {
             **dims,
             "medicine": raw.select(*MEDICINE_COLUMNS),
@@ -160,9 +148,9 @@ class LazyCatalog(Mapping):
     _NAMES = TABLE_NAMES + ("medicine_raw",)
     _GROUP = {"drug_class": "generic"}
 
-    def __init__(self, sources: dict[str, DataFrame], compat: bool = False,
+    def __init__(self, sources: dict[str, DataFrame],
                  collation: str | None = None, built: dict[str, DataFrame] | None = None):
-        self._src, self._compat, self._coll = sources, compat, collation
+        self._src, self._coll = sources, collation
         self._built: dict[str, DataFrame] = dict(built or {})
         self._guard = Lock()
         self._locks: dict[str, Lock] = {}
@@ -190,37 +178,36 @@ class LazyCatalog(Mapping):
             return list(pool.map(self.__getitem__, names))
 
     def _build(self, name: str) -> None:
-        b, src, compat, coll = self._built, self._src, self._compat, self._coll
+        b, src, coll = self._built, self._src, self._coll
         if name in _DIMENSIONS and name != "drug_class":
             col, key, out = _DIMENSIONS[name]
             b[name] = load_dimension(src[name], col, "Slug", key, out,
-                                     cleaner=name_cleaner(compat), collation=coll)
+                                     cleaner=restore_commas, collation=coll)
         elif name in ("drug_class", "generic"):
             col, key, out = _DIMENSIONS["drug_class"]
             base = load_dimension(src["drug_class"], col, "Slug", key, out,
-                                  cleaner=name_cleaner(compat), collation=coll)
-            generic, drug_class = build_generic(src["generic"], base, coll, compat)
+                                  cleaner=restore_commas, collation=coll)
+            generic, drug_class = build_generic(src["generic"], base, coll)
             b["drug_class"], b["generic"] = drug_class, generic
         elif name == "medicine_raw":
             deps = ("dosage_form", "generic", "manufacturer")
             b[name] = build_medicine_raw(src["medicine"], dict(zip(deps, self._all(*deps))),
-                                         compat, coll)
+                                         coll)
         elif name == "medicine":
             b[name] = self["medicine_raw"].select(*MEDICINE_COLUMNS)
         elif name == "medicine_package_size":
-            b[name] = parse_pack_sizes(self["medicine_raw"], compat=compat)
+            b[name] = parse_pack_sizes(self["medicine_raw"])
         elif name == "medicine_package_container":
-            b[name] = parse_containers(self["medicine_raw"], compat=compat)
+            b[name] = parse_containers(self["medicine_raw"])
         elif name == "generic_indication":
             generic, indication = self._all("generic", "indication")
-            b[name] = _junction(src, generic, indication, compat, coll)
+            b[name] = _junction(src, generic, indication, coll)
 
 
-def _junction(sources, generic, indication, compat, collation):
-    clean = name_cleaner(compat)
+def _junction(sources, generic, indication, collation):
     junction_src = sources["generic_indication"].select(
-        clean("Generic_Name").alias("generic_name"),
-        clean(strip_mojibake("Indication")).alias("indication_name"))
+        restore_commas("Generic_Name").alias("generic_name"),
+        restore_commas(strip_mojibake("Indication")).alias("indication_name"))
     return build_junction(junction_src, generic, "generic_name", "generic_name", "generic_id",
                           indication, "indication_name", "indication_name", "indication_id",
                           "generic_indication_id", collation)
@@ -327,7 +314,7 @@ def quality_checks(t: dict[str, DataFrame], groups=CHECK_GROUPS) -> DataFrame:
 
 
 # Counts published with the modelled validation script for the
-# author's own source files, loaded the modelled way (compat=True).  Use as
+# author's own source files.  Use as
 # ``validate(tables, PUBLISHED_RESULTS)`` when rebuilding from those files.
 PUBLISHED_RESULTS = {
     "duplicate medicine": 59,

@@ -32,26 +32,35 @@ from .catalog import TABLE_NAMES, LazyCatalog, quality_checks
 from .oracle import money, with_catalog
 
 _lock = threading.Lock()
-_catalogs: dict[tuple[str, str, bool], LazyCatalog] = {}
+_catalogs: dict[tuple, LazyCatalog] = {}
 
 
-def catalog(spark: SparkSession, sf_dir: str, compat: bool = False) -> LazyCatalog:
+def catalog(spark: SparkSession, sf_dir: str) -> LazyCatalog:
     """The catalog over the analogue sources of ``sf_dir``: tables are built
     on first use (with their dependencies) and kept per application, since
-    dense keys checkpoint their input."""
-    key = (_app_id(spark), sf_dir.rstrip("/"), compat)
+    dense keys stage their input, as long as the input files are the same."""
+    key = (_app_id(spark), sf_dir.rstrip("/"), _files(spark, sf_dir))
     with _lock:
         if key not in _catalogs:
-            _catalogs[key] = LazyCatalog(analogue_sources(spark, sf_dir), compat)
+            _catalogs[key] = LazyCatalog(analogue_sources(spark, sf_dir))
         return _catalogs[key]
 
 
-def prime(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame],
-          compat: bool = False) -> None:
+def prime(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame]) -> None:
     """Register tables already built by ``build_catalog`` for ``sf_dir``."""
-    key = (_app_id(spark), sf_dir.rstrip("/"), compat)
+    key = (_app_id(spark), sf_dir.rstrip("/"), _files(spark, sf_dir))
     with _lock:
-        _catalogs[key] = LazyCatalog(analogue_sources(spark, sf_dir), compat, built=tables)
+        _catalogs[key] = LazyCatalog(analogue_sources(spark, sf_dir), built=tables)
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of the folder's entries, as the store lists them."""
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+        listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    except Exception:  # noqa: BLE001 - Connect session
+        return ()
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listed))
 
 
 def _app_id(spark: SparkSession) -> str:
@@ -132,22 +141,29 @@ def pack_sizes(spark, sf):
     return _t(spark, sf, "medicine_package_size")
 
 
-def _block(i: int) -> str:
-    body = f"'(' || CAST({10 * i} AS VARCHAR) || '''s pack: ৳ ' || {money(f'CAST(u * 3 * {i} AS DECIMAL(10,2))')} || ')'"
-    tail = f"CASE WHEN nb = {i} AND p_size % 2 = 0 THEN ',' ELSE '' END"
-    return f"CASE WHEN nb >= {i} THEN {body} || {tail} END"
+def _block(i: str) -> str:
+    return (f"'(' || CASE WHEN {i} = 1 AND p_size % 11 = 0 THEN '1,000' ELSE CAST(10 * {i} AS VARCHAR) END"
+            f" || '''s pack:' || CASE WHEN p_size % 19 = 0 THEN '' ELSE ' ' END || '৳ '"
+            f" || CASE WHEN {i} = 1 AND p_size % 17 = 0 THEN 'TBA' ELSE {money(f'CAST(u * 3 * {i} AS DECIMAL(10,2))')} END"
+            f" || CASE WHEN {i} = nb AND p_size % 13 = 0 THEN '' ELSE ')' END"
+            f" || CASE WHEN {i} = nb AND p_size % 2 = 0 THEN ',' ELSE '' END")
 
 
 @query("pack_blocks_preview", f"""
-SELECT brand_id, {_block(1)} AS block_1, {_block(2)} AS block_2,
-       CASE WHEN nb = 4 THEN {_block(3)} || ',' || {_block(4)} ELSE {_block(3)} END AS block_3
+SELECT brand_id, {_block('1')} || CASE WHEN nb >= 2 THEN ',' || {_block('2')} ELSE '' END
+         || CASE WHEN nb >= 3 THEN ',' || {_block('3')} ELSE '' END
+         || CASE WHEN nb >= 4 THEN ',' || {_block('4')} ELSE '' END AS package_size,
+       {_block('1')} AS block_1, CASE WHEN nb >= 2 THEN {_block('2')} END AS block_2,
+       CASE WHEN nb = 4 THEN {_block('3')} || ',' || {_block('4')}
+            WHEN nb = 3 THEN {_block('3')} END AS block_3
 FROM medicine_raw WHERE nb > 0""")
 def pack_blocks_preview(spark, sf):
     return preview_pack_blocks(_t(spark, sf, "medicine_raw"))
 
 
 @query("pack_first_block_preview", """
-SELECT brand_id, 10 AS pack_size_preview, CAST(u * 3 AS DECIMAL(10,2)) AS pack_price_preview
+SELECT brand_id, CASE WHEN p_size % 11 = 0 THEN NULL ELSE 10 END AS pack_size_preview,
+       CASE WHEN p_size % 17 = 0 THEN NULL ELSE CAST(u * 3 AS DECIMAL(10,2)) END AS pack_price_preview
 FROM medicine_raw WHERE nb = 1 ORDER BY brand_id LIMIT 20""")
 def pack_first_block_preview(spark, sf):
     return preview_first_block(_t(spark, sf, "medicine_raw"))
@@ -194,9 +210,9 @@ def containers_unit_only(spark, sf):
 
 
 @query("container_typos", """
-SELECT CAST(count(*) FILTER (WHERE container_size LIKE '%litter%' OR container_size LIKE '%botttle%'
-  OR container_size LIKE '%prefilled%' OR container_size LIKE '%per-filled%'
-  OR container_size LIKE '%µg%') AS BIGINT) AS remaining_typos
+SELECT CAST(count(*) FILTER (WHERE container_size ILIKE '%litter%' OR container_size ILIKE '%botttle%'
+  OR container_size ILIKE '%prefilled%' OR container_size ILIKE '%per-filled%'
+  OR container_size ILIKE '%µg%') AS BIGINT) AS remaining_typos
 FROM medicine_package_container""")
 def container_typos(spark, sf):
     c = _t(spark, sf, "medicine_package_container")
@@ -207,7 +223,7 @@ def container_typos(spark, sf):
 SELECT container_type, count(*) AS type_count FROM medicine_package_container GROUP BY 1""")
 def container_type_frequency(spark, sf):
     return value_frequency(_t(spark, sf, "medicine_package_container"), "container_type",
-                           "container_type", "type_count")
+                           "container_type", "type_count").orderBy(F.col("type_count").desc(), "container_type")
 
 
 # ------------------------------------------------------------------ profiles
@@ -257,7 +273,8 @@ SELECT CASE WHEN package_container IS NULL THEN 'NULL (Format B)'
 FROM medicine_raw GROUP BY 1""")
 def profile_patterns_clean(spark, sf):
     return value_frequency(_t(spark, sf, "medicine_raw"),
-                           pattern_after_clean(F.col("package_container")), "pattern", "row_count")
+                           pattern_after_clean(F.col("package_container")), "pattern", "row_count") \
+        .orderBy(F.col("row_count").desc(), "pattern")
 
 
 @query("profile_patterns_input", """
@@ -271,7 +288,8 @@ SELECT CASE WHEN package_container IS NULL THEN 'NULL (Format B - no container)'
 FROM medicine_raw GROUP BY 1""")
 def profile_patterns_input(spark, sf):
     return value_frequency(_t(spark, sf, "medicine_raw"),
-                           pattern_before_insert(F.col("package_container")), "pattern", "row_count")
+                           pattern_before_insert(F.col("package_container")), "pattern", "row_count") \
+        .orderBy(F.col("row_count").desc(), "pattern")
 
 
 @query("profile_final", """
@@ -324,7 +342,7 @@ def profile_child_container(spark, sf):
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TABLE_NAMES))
 def row_counts_q(spark, sf):
     t = catalog(spark, sf)
-    return row_counts({n: t[n] for n in TABLE_NAMES})
+    return row_counts({n: t[n] for n in TABLE_NAMES}).orderBy("table_name")
 
 
 def _dup_sql(name: str, table_: str, keys: str) -> str:
@@ -494,17 +512,21 @@ for _name, _args in {
 
 @query("pack_size_frequency", "SELECT pack_size, count(*) AS frequency FROM medicine_package_size GROUP BY 1")
 def pack_size_frequency(spark, sf):
-    return value_frequency(_t(spark, sf, "medicine_package_size"), "pack_size", "pack_size")
+    return value_frequency(_t(spark, sf, "medicine_package_size"), "pack_size", "pack_size").orderBy(
+        F.col("frequency").desc(), "pack_size")
 
 
 @query("medicines_per_type", "SELECT type, count(*) AS medicine_count FROM medicine GROUP BY 1")
 def medicines_per_type(spark, sf):
-    return value_frequency(_t(spark, sf, "medicine"), "type", "type", "medicine_count")
+    return value_frequency(_t(spark, sf, "medicine"), "type", "type", "medicine_count").orderBy(
+        F.col("medicine_count").desc(), "type")
 
 
 def _range_sql(col: str, prefix: str, table_: str) -> str:
     return (f"SELECT min({col}) AS min_{prefix}, max({col}) AS max_{prefix}, "
-            f"round(CAST(avg({col}) AS DOUBLE), 2) AS avg_{prefix} FROM {table_} WHERE {col} IS NOT NULL")
+            # whole hundredths, divided with the half rounded up at six digits
+            f"CAST(CAST((2 * CAST(sum({col}) * 100 AS HUGEINT) * 10000 + count({col})) // (2 * count({col})) AS DECIMAL(20,0))"
+            f" * CAST('0.000001' AS DECIMAL(7,6)) AS DECIMAL(14,6)) AS avg_{prefix} FROM {table_} WHERE {col} IS NOT NULL")
 
 
 @query("pack_price_range", _range_sql("pack_price", "pack_price", "medicine_package_size"))
@@ -530,7 +552,7 @@ SELECT pack_count, count(*) AS medicine_count FROM
 GROUP BY pack_count""")
 def packs_per_medicine(spark, sf):
     return group_size_histogram(_t(spark, sf, "medicine_package_size"), "brand_id", "pack_count",
-                                "medicine_count")
+                                "medicine_count").orderBy("pack_count")
 
 
 @query("containers_per_medicine", """
@@ -539,7 +561,7 @@ SELECT container_count, count(*) AS medicine_count FROM
 GROUP BY container_count""")
 def containers_per_medicine(spark, sf):
     return group_size_histogram(_t(spark, sf, "medicine_package_container"), "brand_id",
-                                "container_count", "medicine_count")
+                                "container_count", "medicine_count").orderBy("container_count")
 
 
 @query("in_neither_child", """
@@ -571,24 +593,24 @@ for _name, _key in _TABLE_KEYS.items():      # first five rows of each table (Q4
 
 
 @query("sample_packs_joined", """
-SELECT m.brand_id, m.brand_name, s.pack_size, s.pack_price
+SELECT m.brand_id, m.brand_name, m.strength, s.pack_size, s.pack_price
 FROM medicine m JOIN medicine_package_size s ON s.brand_id = m.brand_id
-ORDER BY m.brand_id, s.package_size_id LIMIT 20""")
+ORDER BY m.brand_id, s.pack_size NULLS FIRST, s.package_size_id LIMIT 20""")
 def sample_packs_joined(spark, sf):
     t = catalog(spark, sf)
     return joined_preview(t["medicine"], t["medicine_package_size"], "brand_id",
-                          ["brand_id", "brand_name", "pack_size", "pack_price", "package_size_id"],
-                          ["brand_id", "package_size_id"], 20).drop("package_size_id")
+                          ["brand_id", "brand_name", "strength", "pack_size", "pack_price", "package_size_id"],
+                          ["brand_id", "pack_size", "package_size_id"], 20).drop("package_size_id")
 
 
 @query("sample_containers_joined", """
-SELECT m.brand_id, m.brand_name, c.container_size, c.unit_price, c.container_type
+SELECT m.brand_id, m.brand_name, m.strength, c.container_size, c.unit_price, c.container_type
 FROM medicine m JOIN medicine_package_container c ON c.brand_id = m.brand_id
 ORDER BY m.brand_id, c.package_container_id LIMIT 20""")
 def sample_containers_joined(spark, sf):
     t = catalog(spark, sf)
     return joined_preview(t["medicine"], t["medicine_package_container"], "brand_id",
-                          ["brand_id", "brand_name", "container_size", "unit_price",
+                          ["brand_id", "brand_name", "strength", "container_size", "unit_price",
                            "container_type", "package_container_id"],
                           ["brand_id", "package_container_id"], 20).drop("package_container_id")
 
@@ -709,33 +731,28 @@ def raw_oversized_orders(spark, sf):
     return oversized_groups(table(spark, sf, "lineitem"), "l_orderkey", 5)
 
 
-@query("raw_parts_in_neither", """
-SELECT p_partkey, p_name FROM part p
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey AND l.l_returnflag = 'R'
-                    AND l.l_quantity > 45)
-  AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey AND l.l_returnflag = 'A'
-                    AND l.l_quantity > 45)""", catalog_sql=False)
-def raw_parts_in_neither(spark, sf):
-    li = table(spark, sf, "lineitem").filter(F.col("l_quantity") > 45)
-    return in_neither(table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey",
-                      li.filter(F.col("l_returnflag") == "R"), li.filter(F.col("l_returnflag") == "A"),
-                      "l_partkey")
+@query("raw_documents_in_neither", """
+SELECT doc_id, source FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+  AND NOT EXISTS (SELECT 1 FROM embeddings e WHERE e.vec_id = d.doc_id)""", catalog_sql=False)
+def raw_documents_in_neither(spark, sf):
+    embedded = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"))
+    return in_neither(table(spark, sf, "documents").select("doc_id", "source"), "doc_id",
+                      table(spark, sf, "labels").select("doc_id"), embedded, "doc_id")
 
 
-@query("raw_customers_linked_split", """
-SELECT 'With orders' AS status, count(*) AS customer_count FROM customer c
-WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')
+@query("raw_documents_linked_split", """
+SELECT 'With label' AS status, count(*) AS document_count FROM documents d
+WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 UNION ALL
-SELECT 'Without orders', count(*) FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""",
-       catalog_sql=False)
-def raw_customers_linked_split(spark, sf):
-    c = table(spark, sf, "customer")
-    o = table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    w = linked(c, "c_custkey", o, "o_custkey").agg(F.count(F.lit(1)).alias("customer_count"))
-    wo = unlinked(c, "c_custkey", o, "o_custkey").agg(F.count(F.lit(1)).alias("customer_count"))
-    return (w.select(F.lit("With orders").alias("status"), "customer_count")
-            .unionByName(wo.select(F.lit("Without orders").alias("status"), "customer_count")))
+SELECT 'Without label', count(*) FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""", catalog_sql=False)
+def raw_documents_linked_split(spark, sf):
+    d, lb = table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id")
+    w = linked(d, "doc_id", lb, "doc_id").agg(F.count(F.lit(1)).alias("document_count"))
+    wo = unlinked(d, "doc_id", lb, "doc_id").agg(F.count(F.lit(1)).alias("document_count"))
+    return (w.select(F.lit("With label").alias("status"), "document_count")
+            .unionByName(wo.select(F.lit("Without label").alias("status"), "document_count")))
 
 
 @query("raw_text_checks", """
@@ -773,23 +790,19 @@ SELECT min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price,
        round(CAST(avg(l_extendedprice) AS DOUBLE), 2) AS avg_price FROM lineitem
 WHERE l_extendedprice IS NOT NULL""", catalog_sql=False)
 def raw_value_range(spark, sf):
-    return value_range(table(spark, sf, "lineitem"), "l_extendedprice", "price")
+    return value_range(table(spark, sf, "lineitem"), "l_extendedprice", "price", digits=2)
 
 
-@query("parse_rejects", f"""
-SELECT r.brand_id, r.container_signs, coalesce(c.n, 0) AS priced_containers,
-       r.pack_signs, coalesce(s.n, 0) AS pack_rows
-FROM (SELECT brand_id,
-             coalesce(length(package_container) - length(replace(package_container, '৳', '')), 0)
-               AS container_signs,
-             CAST(nb AS BIGINT) AS pack_signs
-      FROM medicine_raw) r
+@query("parse_rejects", """
+SELECT r.brand_id, CAST(r.container_signs AS BIGINT) AS container_signs, coalesce(c.n, 0) AS priced_containers,
+       CAST(r.nb AS BIGINT) AS pack_signs, coalesce(s.n, 0) AS priced_packs
+FROM medicine_raw r
 LEFT JOIN (SELECT brand_id, count(*) AS n FROM medicine_package_container
            WHERE container_size IS NOT NULL AND unit_price IS NOT NULL GROUP BY 1) c
   ON c.brand_id = r.brand_id
-LEFT JOIN (SELECT brand_id, count(*) AS n FROM medicine_package_size GROUP BY 1) s
+LEFT JOIN (SELECT brand_id, count(*) AS n FROM medicine_package_size WHERE pack_price IS NOT NULL GROUP BY 1) s
   ON s.brand_id = r.brand_id
-WHERE r.container_signs <> coalesce(c.n, 0) OR r.pack_signs <> coalesce(s.n, 0)""")
+WHERE r.container_signs <> coalesce(c.n, 0) OR r.nb <> coalesce(s.n, 0)""")
 def parse_rejects_q(spark, sf):
     t = catalog(spark, sf)
     return parse_rejects(t["medicine_raw"], t["medicine_package_container"],
@@ -811,15 +824,3 @@ SELECT CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS o
 def raw_dense_key_orders(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return with_dense_key(o, "order_seq", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
-
-
-# ------------------------------------ compat mode: the modelled fixed arity
-
-@query("containers_compat", "SELECT * FROM medicine_package_container_compat")
-def containers_compat(spark, sf):
-    return catalog(spark, sf, compat=True)["medicine_package_container"]
-
-
-@query("pack_sizes_compat", "SELECT * FROM medicine_package_size_compat")
-def pack_sizes_compat(spark, sf):
-    return catalog(spark, sf, compat=True)["medicine_package_size"]

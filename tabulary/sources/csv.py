@@ -40,14 +40,20 @@ QUOTED = {"generic", "medicine"}
 
 
 def read_source(spark: SparkSession, path: str, schema: T.StructType,
-                quoted: bool = True) -> DataFrame:
+                quoted: bool = True, bad_rows: str = "FAILFAST") -> DataFrame:
     """Read one delimited file (or directory of files) with ``schema``.
 
     Empty fields become NULL.  With ``quoted`` a field may be wrapped in
-    double quotes, with doubled quotes inside; otherwise quotes are data.
+    double quotes, with doubled quotes and line breaks inside; such a file is
+    read by one task, so split large ones into several files.  Otherwise
+    quotes are data.
+
+    A row with a surplus or missing field, or a number that is none, fails the
+    read, as it fails a bulk load; ``bad_rows="PERMISSIVE"`` reads what it can.
+    Fields are counted in every row; a number is checked where its column is used.
     """
     reader = (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
-              .option("mode", "PERMISSIVE").option("multiLine", False))
+              .option("mode", bad_rows).option("multiLine", quoted).option("columnPruning", False))
     if quoted:
         reader = reader.option("quote", '"').option("escape", '"')
     else:

@@ -1,91 +1,82 @@
-"""Golden cases for container text (FIXTURES.md section 3)."""
+"""Golden cases for container text."""
 
-from decimal import Decimal
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabulary.functions.classify import classify_container, fix_typos, typo_left
-from tabulary.operators.children import parse_containers, prepare_medicine
+from tabulary.operators.children import parse_containers, parse_pack_sizes, parse_rejects, prepare_medicine
 
-D = Decimal
 CASES = [
-    # (id, input, fixed rows, compat rows or None when equal)
-    ("C1", "Unit Price: ৳ 8.00,(60's pack: ৳ 480.00),", [(None, D("8.00"), "Unit-Priced")], None),
-    ("C2", "Unit Price: ৳ 12.00", [(None, D("12.00"), "Unit-Priced")], None),
-    ("C3", "0.2 ml pre-filled syringe: ৳ 1,450.00",
-     [("0.2 ml pre-filled syringe", D("1450.00"), "Pre-filled Syringe")],
-     [("0.2 ml pre-filled syringe", D("1.00"), "Pre-filled Syringe")]),
-    ("C4", "37.5 ml bottle: ৳ 130.00,50 ml bottle: ৳ 160.00",
-     [("37.5 ml bottle", D("130.00"), "Bottle"), ("50 ml bottle", D("160.00"), "Bottle")], None),
-    ("C5", "2 ml ampoule,(5's pack", [("2 ml ampoule", None, "Ampoule")], None),
-    ("C6", "1 ml ampoule,405.13,(5's pack", [("1 ml ampoule", None, "Ampoule")], None),
-    ("C7", "0.75 mg pre-filled syringe,395.00,(4's pack",
-     [("0.75 mg pre-filled syringe", None, "Pre-filled Syringe")], None),
-    ("C8", "1 ml ampoule,(10's pack,,10 ml vial",
-     [("1 ml ampoule", None, "Ampoule"), ("10 ml vial", None, "Vial")], None),
-    ("C9", "10 mg vial,420.00,50 mg vial",
-     [("10 mg vial", None, "Vial"), ("50 mg vial", None, "Vial")], None),
-    ("C10", "10 mg vial,50 mg vial,534.10,100 mg vial",
-     [("10 mg vial", None, "Vial"), ("50 mg vial", None, "Vial"), ("100 mg vial", None, "Vial")],
-     [("10 mg vial", None, "Vial"), ("534.10", None, "N/A"), ("100 mg vial", None, "Vial")]),
-    ("C11", "3 ml cartridge: ৳ 723.40,(5's pack: ৳ 200.00)",
-     [("3 ml cartridge", D("723.40"), "Cartridge")], None),
-    ("C12", "250 mg vial: ৳ 20.00,(5's pack", [("250 mg vial", D("20.00"), "Vial")], None),
-    ("C13", "2 ml ampoule: ৳ 40.00,(5's pack: ৳ 200.00),,2 ml ampoule: ৳ 40.00,(10's pack: ৳ 400.00),",
-     [], None),
-    ("C14", "75 µg pre-filled syringe",
-     [("75 mcg pre-filled syringe", None, "Pre-filled Syringe")], None),
-    ("C15", "120 metered doses,120 metered doses (refill)",
-     [("120 metered doses", None, "Inhaler"), ("120 metered doses (refill)", None, "Inhaler")], None),
-    ("C16", "10 gm tube,15 gm tube", [("10 gm tube", None, "Tube"), ("15 gm tube", None, "Tube")], None),
-    ("C17a", "Price Unavailable", [("Price Unavailable", None, "Placeholder")], None),
-    ("C17b", "Not for sale", [("Not for sale", None, "Placeholder")], None),
-    ("C18", "500 mg", [("500 mg", None, "N/A")], None),
-    ("C19", None, [], None),
-    ("C20", "a bottle: ৳ 5.00,100 ml vial: ৳ 12,34,560.00",
-     [("a bottle", D("5.00"), "Bottle"), ("100 ml vial", D("1234560.00"), "Vial")],
-     [("a bottle", D("5.00"), "Bottle"), ("100 ml vial", D("12.00"), "Vial")]),
-    ("C21", "10 ml vial,50 ml vial: ৳ 5.00",
-     [("10 ml vial", None, "Vial"), ("50 ml vial", D("5.00"), "Vial")],
-     [("10 ml vial,50 ml vial", D("5.00"), "Vial")]),
-    ("C22", "a bottle: ৳ 5,100 ml vial: ৳ 7.00",
-     [("a bottle", D("5.00"), "Bottle"), ("100 ml vial", D("7.00"), "Vial")], None),
+    # (name, input, rows, unit price of the medicine)
+    ("unit price and pack", "Unit Price: ৳ 3.25,(20's pack: ৳ 65.00),", [(None, D("3.25"), "Unit-Priced")], D("3.25")),
+    ("unit price", "Unit Price: ৳ 41.00", [(None, D("41.00"), "Unit-Priced")], D("41.00")),
+    ("thousands", "4 ml vial: ৳ 2,715.00", [("4 ml vial", D("2715.00"), "Vial")], D("2715.00")),
+    ("two", "25 ml jar: ৳ 70.00,80 ml jar: ৳ 210.00",
+     [("25 ml jar", D("70.00"), "Jar"), ("80 ml jar", D("210.00"), "Jar")], None),
+    ("open fragment", "9 ml tube,(3's pack", [("9 ml tube", None, "Tube")], None),
+    ("orphan price, fragment", "9 ml tube,77.10,(3's pack", [("9 ml tube", None, "Tube")], None),
+    ("fragment between", "9 ml tube,(3's pack,,6 gm sachet",
+     [("9 ml tube", None, "Tube"), ("6 gm sachet", None, "Sachet")], None),
+    ("orphan between", "9 ml tube,1,077.10,6 gm sachet",
+     [("9 ml tube", None, "Tube"), ("6 gm sachet", None, "Sachet")], None),
+    ("priced, fragment", "2 ml vial: ৳ 61.40,(3's pack: ৳ 180.00)", [("2 ml vial", D("61.40"), "Vial")], None),
+    ("priced, open fragment", "2 ml vial: ৳ 61.40,(3's pack", [("2 ml vial", D("61.40"), "Vial")], None),
+    ("two with fragments", "2 ml vial: ৳ 9.00,(3's pack: ৳ 27.00),,7 ml vial: ৳ 11.00,(4's pack: ৳ 1,044.00),",
+     [("2 ml vial", D("9.00"), "Vial"), ("7 ml vial", D("11.00"), "Vial")], None),
+    ("container behind a fragment", "3 ml jar: ৳ 8.00,(5's pack: ৳ 39.00),4 ml jar: ৳ 9.50",
+     [("3 ml jar", D("8.00"), "Jar"), ("4 ml jar", D("9.50"), "Jar")], None),
+    ("container behind an open priced fragment", "3 ml jar: ৳ 8.00,(5's pack: ৳ 39.00,4 ml jar: ৳ 9.50",
+     [("3 ml jar", D("8.00"), "Jar"), ("4 ml jar", D("9.50"), "Jar")], None),
+    ("brackets of a name", "30 puffs,30 puffs (second)",
+     [("30 puffs", None, "Inhaler"), ("30 puffs (second)", None, "Inhaler")], None),
+    ("micro sign", "15 µg prefilled syringe", [("15 mcg pre-filled syringe", None, "Pre-filled Syringe")], None),
+    ("placeholder in capitals", "NOT FOR SALE", [("NOT FOR SALE", None, "Placeholder")], None),
+    ("nothing known", "250 mg", [("250 mg", None, "N/A")], None),
+    ("null", None, [], None),
+    ("odd grouping", "a jar: ৳ 6.00,90 ml vial: ৳ 7,81,230.00",
+     [("a jar", D("6.00"), "Jar"), ("90 ml vial", D("781230.00"), "Vial")], None),
+    ("mixed", "9 ml vial,30 ml vial: ৳ 6.00", [("9 ml vial", None, "Vial"), ("30 ml vial", D("6.00"), "Vial")], D("6.00")),
+    ("whole price before a number", "a jar: ৳ 6,150 ml vial: ৳ 8.00",
+     [("a jar", D("6.00"), "Jar"), ("150 ml vial", D("8.00"), "Vial")], None),
+    ("one decimal, three decimals", "9 ml vial: ৳ 16.5,8 ml vial: ৳ 16.250",
+     [("9 ml vial", D("16.50"), "Vial"), ("8 ml vial", D("16.25"), "Vial")], None),
+    ("blank before the comma", "9 ml vial: ৳ 16.00 ,8 ml vial: ৳ 7.00",
+     [("9 ml vial", D("16.00"), "Vial"), ("8 ml vial", D("7.00"), "Vial")], None),
+    ("no blank", "9 ml vial:৳16.00", [("9 ml vial", D("16.00"), "Vial")], D("16.00")),
+    ("junk price", "9 ml vial: ৳ soon,8 ml vial: ৳ 7.00",
+     [("9 ml vial", None, "Vial"), ("8 ml vial", D("7.00"), "Vial")], None),
+    ("many", ",".join(f"{i} ml bag: ৳ {i}.00" for i in range(1, 13)),
+     [(f"{i} ml bag", D(i).quantize(D("0.01")), "Bag") for i in range(1, 13)], None),
 ]
 
-UNIT_PRICE_AFTER_LOAD = {"C1": D("8.00"), "C2": D("12.00"), "C3": D("1450.00"), "C4": None,
-                         "C11": None, "C12": None, "C13": None}
-
 
 @pytest.fixture(scope="module")
 def medicines(spark):
-    data = [(i + 1, text) for i, (_, text, _, _) in enumerate(CASES)]
+    data = [(i + 1, c[1]) for i, c in enumerate(CASES)]
     return spark.createDataFrame(data, "brand_id long, package_container string")
 
 
-def _parsed(medicines, compat):
-    raw = prepare_medicine(medicines, compat=compat)
-    out = parse_containers(raw, compat=compat).orderBy("package_container_id").collect()
-    by_brand = {}
-    for r in out:
-        by_brand.setdefault(r.brand_id, []).append((r.container_size, r.unit_price, r.container_type))
-    return by_brand
-
-
-@pytest.mark.parametrize("compat", [False, True])
-def test_container_golden_cases(medicines, compat):
-    got = _parsed(medicines, compat)
-    for i, (case, _, fixed, old) in enumerate(CASES):
-        want = old if (compat and old is not None) else fixed
+def test_container_golden_cases(medicines):
+    got = {}
+    for r in parse_containers(prepare_medicine(medicines)).orderBy("package_container_id").collect():
+        got.setdefault(r.brand_id, []).append((r.container_size, r.unit_price, r.container_type))
+    for i, (case, _, want, _) in enumerate(CASES):
         assert got.get(i + 1, []) == want, case
 
 
 def test_unit_price_after_load(medicines):
-    raw = prepare_medicine(medicines).collect()
-    ids = {c[0]: i + 1 for i, c in enumerate(CASES)}
-    price = {r.brand_id: r.unit_price for r in raw}
-    for case, want in UNIT_PRICE_AFTER_LOAD.items():
-        assert price[ids[case]] == want, case
+    price = {r.brand_id: r.unit_price for r in prepare_medicine(medicines).collect()}
+    for i, (case, *_, want) in enumerate(CASES):
+        assert price[i + 1] == want, case
+
+
+def test_rejects_are_the_prices_not_read(medicines):
+    raw = prepare_medicine(medicines.withColumn("package_size", F.when(F.col("brand_id") == 1, "(7's pack: ৳ soon)")))
+    found = parse_rejects(raw, parse_containers(raw), parse_pack_sizes(raw)).collect()
+    names = [c[0] for c in CASES]
+    assert sorted(r.brand_id for r in found) == [1, names.index("junk price") + 1]
 
 
 def test_child_keys_are_dense(medicines):
@@ -96,7 +87,7 @@ def test_child_keys_are_dense(medicines):
 
 def test_typos_and_classifier_order(spark):
     df = spark.createDataFrame(
-        [("5 litter",), ("botttle",), ("prefilled",), ("per-filled pen",), ("75 µg",),
+        [("5 Litter",), ("botttle",), ("prefilled",), ("per-filled pen",), ("75 µg",),
          ("15 ml drop bottle",), ("3 ml penfill cartridge",), ("1 pen",), ("10 tablet pack",),
          ("1 can",), ("1 white and green",), ("Ifamide 1 g",), ("1 BOTTLE",)], "s string")
     got = df.select(fix_typos(F.col("s")).alias("f")).select(

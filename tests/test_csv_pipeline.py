@@ -67,15 +67,6 @@ def test_build_from_csv(spark):
     assert pairs == [(1, 1), (2, 2), (3, 2)]
 
 
-def test_compat_keeps_semicolon_mismatch(spark):
-    t = build_catalog(read_sources(spark, _sources()), compat=True)
-    med = {r.brand_name: r for r in t["medicine"].collect()}
-    assert med["Napa"].manufacturer_id is None
-    moxa = [(r.container_size, str(r.unit_price)) for r in t["medicine_package_container"].collect()
-            if r.brand_id == med["Moxa"].brand_id]
-    assert sorted(moxa) == [("100 ml bottle", "80.00"), ("60 ml bottle", "1.00")]
-
-
 def test_command_line(spark, capsys):
     out = tempfile.mkdtemp(prefix="tabulary-cli-")
     assert main(["build", _sources(), out]) == 0
@@ -86,4 +77,4 @@ def test_command_line(spark, capsys):
 
 def test_command_line_published_expectations_fail_on_other_data(spark):
     out = tempfile.mkdtemp(prefix="tabulary-cli-")
-    assert main(["build", _sources(), out, "--compat", "--expect", "published"]) == 1
+    assert main(["build", _sources(), out, "--expect", "published"]) == 1

@@ -55,23 +55,29 @@ def test_junction_distinct_pairs_and_unknown_sides(spark):
     assert got == [(1, 1, 1), (2, 1, 2), (3, 2, 2)]
 
 
-def test_shuffled_left_lookup_spreads_null_keys(spark, monkeypatch):
-    import tabulary.operators.joins as J
-    monkeypatch.setattr(J, "checked_broadcast", lambda df, **kw: df)
+def _no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    return lambda: spark.conf.set(key, old)
+
+
+def test_shuffled_left_lookup_spreads_null_keys(spark):
+    back = _no_broadcast(spark)
     dim = _dim(spark, [("Acme", "acme"), ("Globex", "globex")])
     facts = spark.createDataFrame([(i, None if i % 3 else ("Acme" if i % 2 else "Globex"))
                                    for i in range(60)], "fid int, maker string")
     got = dict((r.fid, r.id) for r in resolve_fk(facts, dim, "maker", "name", "id", "left").collect())
+    back()
     assert len(got) == 60
     assert all(got[i] == (None if i % 3 else (1 if i % 2 else 2)) for i in range(60))
 
 
-def test_case_insensitive_collation_option(spark, monkeypatch):
-    import tabulary.operators.joins as J
+def test_case_insensitive_collation_option(spark):
     rows = [("Acme", "b"), ("ACME ", "a"), ("Globex", "g")]
     for shuffled in (False, True):
         if shuffled:
-            monkeypatch.setattr(J, "checked_broadcast", lambda df, **kw: df)
+            back = _no_broadcast(spark)
         dim = load_dimension(spark.createDataFrame(rows, "Name string, Slug string"), "Name", "Slug",
                              "id", "name", collation="UTF8_LCASE_RTRIM")
         got = sorted((r.id, r.name, r.slug) for r in dim.collect())
@@ -80,6 +86,7 @@ def test_case_insensitive_collation_option(spark, monkeypatch):
                                       "fid int, maker string")
         out = resolve_fk(facts, dim, "maker", "name", "id", "left", collation="UTF8_LCASE_RTRIM")
         assert sorted((r.fid, r.id) for r in out.collect()) == [(1, 1), (2, 2), (3, None), (4, None)]
+    back()
     values = spark.createDataFrame([("acme",), ("Zeta",), ("ZETA",)], "name string")
     grown = backfill_dimension(dim, values, "id", "name", collation="UTF8_LCASE_RTRIM")
     assert sorted((r.id, r.name) for r in grown.collect()) == [(1, "ACME"), (2, "Globex"), (3, "ZETA")]

@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tabulary.operators.keys import checked_broadcast, known_rows, with_dense_key
+from tabulary.operators.keys import known_max_key, with_dense_key
 
 
 def test_dense_key_follows_order_across_partitions(spark):
@@ -13,7 +13,7 @@ def test_dense_key_follows_order_across_partitions(spark):
     out = with_dense_key(df, "id", ["name"], num_partitions=7)
     got = sorted((r.id, r.v) for r in out.collect())
     assert got == [(i + 1, i) for i in range(5000)]
-    assert known_rows(out) == 5000
+    assert known_max_key(out) == 5000
 
 
 def test_dense_key_start_and_rerun_stable(spark):
@@ -28,11 +28,10 @@ def test_dense_key_empty_input(spark):
     assert with_dense_key(df, "id", ["k"]).count() == 0
 
 
-def test_checked_broadcast_only_when_small(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in checked_broadcast(small, max_rows=10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in checked_broadcast(big, max_rows=10)._jdf.queryExecution().logical().toString().lower()
+def test_keyed_table_prunes_its_staging_files(spark):
+    df = spark.createDataFrame([(i, f"s{i}", "wide") for i in range(20)], "i int, s string, w string")
+    plan = with_dense_key(df, "id", ["i"]).select("id", "s")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<s:string,__pid:int,__pos:bigint>" in plan
 
 
 @settings(max_examples=5, deadline=None)
@@ -46,19 +45,12 @@ def test_dense_key_matches_sorted_rank(spark, data):
     assert got == [(i + 1, s, n) for i, (s, n) in enumerate(want)]
 
 
-def test_dense_key_with_offsets_joined(spark, monkeypatch):
-    import tabulary.operators.keys as K
-    monkeypatch.setattr(K, "OFFSETS_INLINE_MAX", 2)
-    df = spark.createDataFrame([(i,) for i in range(300)], "v int")
-    out = K.with_dense_key(df, "id", ["v"], num_partitions=9)
-    assert sorted((r.id, r.v) for r in out.collect()) == [(i + 1, i) for i in range(300)]
+def test_staging_can_be_cleared(spark):
+    import os
 
-
-def test_broadcast_bound_is_in_rows_and_bytes(spark):
-    from tabulary.operators.keys import fits_broadcast, known_bytes
-    wide = spark.createDataFrame([("x" * 1000,)] * 50, "s string")
-    assert fits_broadcast(wide, max_rows=100, max_bytes=100_000)
-    assert not fits_broadcast(wide, max_rows=100, max_bytes=10_000)   # 50 kB of text
-    assert not fits_broadcast(wide, max_rows=10, max_bytes=10**9)
-    keyed = with_dense_key(wide, "id", ["s"])
-    assert known_bytes(keyed) == 50 * (1000 + 8)
+    from tabulary.sources.staging import clear_staged, staged
+    df = staged(spark.range(5), "probe")
+    path = df.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    clear_staged(spark)
+    assert not os.path.exists(path)

@@ -1,4 +1,4 @@
-"""Golden cases for pack text (FIXTURES.md section 4)."""
+"""Golden cases for pack text."""
 
 from decimal import Decimal as D
 
@@ -6,17 +6,19 @@ import pytest
 
 from tabulary.operators.children import parse_pack_sizes, preview_pack_blocks
 
-FOUR = "(10's pack: ৳ 1.00),(20's pack: ৳ 2.00),(30's pack: ৳ 3.00),(40's pack: ৳ 4.00)"
 CASES = [
-    ("P1", "(100's pack: ৳ 100.00)", [(100, D("100.00"))], None),
-    ("P2", "(100's pack: ৳ 100.00),(150's pack: ৳ 150.00)", [(100, D("100.00")), (150, D("150.00"))], None),
-    ("P3", "(100's pack: ৳ 100.00),(150's pack: ৳ 150.00),(200's pack: ৳ 200.00)",
-     [(100, D("100.00")), (150, D("150.00")), (200, D("200.00"))], None),
-    ("P4", "(60's pack: ৳ 1,480.00),", [(60, D("1480.00"))], None),
-    ("P5", FOUR, [(10, D("1.00")), (20, D("2.00")), (30, D("3.00")), (40, D("4.00"))],
-     [(10, D("1.00")), (20, D("2.00")), (30, D("3.00"))]),
-    ("P6a", "(10's pack", [], None),
-    ("P6b", None, [], None),
+    ("one block", "(8's pack: ৳ 44.00)", [(8, D("44.00"))]),
+    ("two blocks", "(8's pack: ৳ 44.00),(16's pack: ৳ 83.50)", [(8, D("44.00")), (16, D("83.50"))]),
+    ("trailing comma, thousands", "(24's pack: ৳ 2,310.00),", [(24, D("2310.00"))]),
+    ("more than three", ",".join(f"({i}'s pack: ৳ {i}.00)" for i in range(1, 7)),
+     [(i, D(i).quantize(D("0.01"))) for i in range(1, 7)]),
+    ("size with a comma", "(2,500's pack: ৳ 99.00)", [(None, D("99.00"))]),
+    ("no blank", "(7's pack:৳ 15.00)", [(7, D("15.00"))]),
+    ("blank at the end", "(7's pack: ৳ 15.00 )", [(7, D("15.00"))]),
+    ("junk price", "(7's pack: ৳ soon),(9's pack: ৳ 18.00)", [(7, None), (9, D("18.00"))]),
+    ("open block", "(7's pack: ৳ 15.00),(9's pack: ৳ 18.00", [(7, D("15.00")), (9, D("18.00"))]),
+    ("no price at all", "(7's pack", []),
+    ("null", None, []),
 ]
 
 
@@ -26,22 +28,20 @@ def medicines(spark):
                                  "brand_id long, package_size string")
 
 
-@pytest.mark.parametrize("compat", [False, True])
-def test_pack_golden_cases(medicines, compat):
-    out = parse_pack_sizes(medicines, compat=compat).orderBy("package_size_id").collect()
+def test_pack_golden_cases(medicines):
+    out = parse_pack_sizes(medicines).orderBy("package_size_id").collect()
     got = {}
     for r in out:
         got.setdefault(r.brand_id, []).append((r.pack_size, r.pack_price))
-    for i, (case, _, fixed, old) in enumerate(CASES):
-        want = old if (compat and old is not None) else fixed
+    for i, (case, _, want) in enumerate(CASES):
         assert got.get(i + 1, []) == want, case
     assert [r.package_size_id for r in out] == list(range(1, len(out) + 1))
 
 
 def test_preview_blocks(medicines):
-    got = {r.brand_id: (r.block_1, r.block_2, r.block_3)
+    got = {r.brand_id: (r.package_size, r.block_1, r.block_2, r.block_3)
            for r in preview_pack_blocks(medicines).collect()}
-    assert got[3] == ("(100's pack: ৳ 100.00)", "(150's pack: ৳ 150.00)", "(200's pack: ৳ 200.00)")
-    assert got[5][2] == "(30's pack: ৳ 3.00),(40's pack: ৳ 4.00)"
-    assert got[4] == ("(60's pack: ৳ 1,480.00),", None, None)
-    assert 6 not in got and 7 not in got
+    assert got[2] == (CASES[1][1], "(8's pack: ৳ 44.00)", "(16's pack: ৳ 83.50)", None)
+    assert got[4][3] == "(3's pack: ৳ 3.00),(4's pack: ৳ 4.00),(5's pack: ৳ 5.00),(6's pack: ৳ 6.00)"
+    assert got[3][1:] == ("(24's pack: ৳ 2,310.00),", None, None)
+    assert len(CASES) not in got and len(CASES) - 1 not in got

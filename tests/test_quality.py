@@ -34,8 +34,7 @@ def test_reports(spark):
     assert (r.min_x, r.max_x, r.avg_x) == (1.0, 2.0, 1.5)
 
 
-def test_fk_checks_one_scan_and_fallback(spark, monkeypatch):
-    import tabulary.operators.keys as K
+def test_fk_checks_count_broken_children(spark):
     from tabulary.operators.quality import fk_checks
     p1 = spark.createDataFrame([(1,), (2,)], "pk long")
     p2 = spark.createDataFrame([(10,), (20,), (20,)], "pk long")
@@ -43,5 +42,3 @@ def test_fk_checks_one_scan_and_fallback(spark, monkeypatch):
     specs = [("a broken", "a", p1, "pk"), ("b broken", "b", p2, "pk")]
     want = {"a broken": 2, "b broken": 2}
     assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
-    monkeypatch.setattr(K.fits_broadcast, "__defaults__", (1, K.BROADCAST_MAX_BYTES, None, None))
-    assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
