@@ -110,7 +110,7 @@ def mixture(rows, repeats, seed=7):
         r = ((most / t) ** (1 - hi)) if t else 1.0
         blocks = math.floor(r + 1e-9)
         room = max(0, math.floor((r - blocks) * t + 1e-6))
-        own = [(hashlib.md5(f"{seed}|{blocks}|{d}".encode()).hexdigest(), k)
+        own = [(hashlib.md5("|".join(str(x) for x in (seed, blocks, d) if x is not None).encode()).hexdigest(), k)
                for k, (d, s, _) in enumerate(rows) if s == source]
         spent, extra = 0, set()
         for place in sorted({p for p, _ in own}):
