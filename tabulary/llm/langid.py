@@ -86,9 +86,12 @@ class CrossParser:
         for k in self.languages:
             known = self._code[np.frombuffer(texts[k].encode("utf-32-le"), np.uint32)]
             table = suffix_automaton([c for c in known.tolist() if c < letters - 1], letters)
-            first = table[0]
-            ends = table == 0                     # no such run: a phrase ends, the next begins here
-            table = np.where(ends, first, table) + at
+            odd = len(table)                      # behind a character that is in no run
+            begin = np.where(table[0] == 0, odd, table[0])
+            ends = np.vstack([table == 0, np.ones(letters, bool)])
+            ends[0] = False                       # nothing has been read yet that could end
+            table = np.where(ends[:odd] | (table == 0), begin, table)
+            table = np.vstack([table, begin]) + at
             tables.append((table * letters) << 1 | ends)
             starts.append(at * letters)
             at += len(table)
