@@ -21,7 +21,6 @@ band is verified or inside one component, without all pairs of a large group.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -31,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import in_slices, staged
+from tabulary.llm.common import held, in_slices, staged
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -47,15 +46,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHash(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 600_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
-@functools.lru_cache(maxsize=1)
 def _words() -> _WordHash:
-    return _WordHash()
+    return held(("words",), _WordHash)
 
 
 def shingles(texts: list[str], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

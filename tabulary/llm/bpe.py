@@ -14,7 +14,6 @@ own; a match that is a token as a whole is that token, as in the library.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -23,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tabulary.llm.common import ChunkCache, in_slices
+from tabulary.llm.common import ChunkCache, held, in_slices
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -31,7 +30,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class Ranks:
     """A rank file: token bytes and their merge ranks."""
 
-    def __init__(self, lines: Iterable[bytes], most_pairs: int = 1_000_000):
+    def __init__(self, lines: Iterable[bytes], most_pairs: int = 100_000):
         self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.token = dict(map(reversed, self.rank.items()))
         self._most = most_pairs
@@ -293,11 +292,11 @@ class Encoder:
 
     _SHORT = 64          # bytes of a piece that is encoded with others and kept
 
-    def __init__(self, ranks: Ranks, pattern: str, most: int = 600_000):
+    def __init__(self, ranks: Ranks, pattern: str, most: int = 150_000):
         self.ranks, self._find, self._most = ranks, regex.compile(pattern).findall, most
         self._tables = PieceTables(ranks)
         self._pieces: dict[str, bytes] = {}
-        self._text = ChunkCache(self._chunks, self._chunks)
+        self._text = ChunkCache(self._chunks, self._chunks, most * 3 // 2)
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         split = list(map(self._find, chunks))
@@ -326,10 +325,11 @@ class Encoder:
         return [np.frombuffer(x, "<u4") for x in self._text(texts)]
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:
-    with open(path, "rb") as lines:
-        return Encoder(Ranks(lines), pattern)
+    def make() -> Encoder:
+        with open(path, "rb") as lines:
+            return Encoder(Ranks(lines), pattern)
+    return held(("bpe", path, pattern), make)
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulary.session import ensure_checkpoint_dir
@@ -39,32 +40,60 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()      # lets Spark drop the shuffle files of the step that ended
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.__dict__["_staged_path"] = path
+    return out
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def drop_staged(*frames: DataFrame) -> None:
+    """Delete the folders of staged frames that nothing reads any more."""
+    for df in frames:
+        path = df.__dict__["_staged_path"]
+        _STAGED.remove(path)
+        _delete(df.sparkSession, [path])
 
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete what :func:`staged` and :func:`shared_path` made; frames that
     still read those folders must have been consumed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
+    _delete(spark, _STAGED)
+    _STAGED.clear()
+
+
+_HELD: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """What ``make`` returns, kept by this worker process for the next task.
+
+    Only the last key's object is kept: a worker that goes on with another
+    operator gives the former one's tables and caches back.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
 
 
 def in_slices(batch: pa.RecordBatch, text: str = "text",
               most: int = 1 << 21) -> Iterator[tuple[list[str], pa.RecordBatch]]:
-    """Parts of a batch with about ``most`` characters of text each, and the
-    texts (null: empty).  A longer text makes a part of its own."""
-    texts = [t or "" for t in batch.column(text).to_pylist()]
+    """Parts of a batch with about ``most`` bytes of text each, and the texts
+    (null: empty).  A longer text makes a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     begin, held = 0, 0
-    for k, t in enumerate(texts):
-        if held and held + len(t) > most:
-            yield texts[begin:k], batch.slice(begin, k - begin)
+    for k, size in enumerate([*sizes, most]):
+        if k > begin and (held + size > most or k == len(sizes)):
+            part = batch.slice(begin, k - begin)
+            yield [t or "" for t in part.column(text).to_pylist()], part
             begin, held = k, 0
-        held += len(t)
-    if begin < len(texts):
-        yield texts[begin:], batch.slice(begin)
+        held += size
 
 
 #: A blank that stands alone between two other characters.

@@ -14,7 +14,6 @@ behind, and any store that Spark reaches will do.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabulary.llm.common import ChunkCache, in_slices
+from tabulary.llm.common import ChunkCache, held, in_slices
 
 _BLOCK = 64          # bytes of bitmap for each rank kept
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint32)
@@ -97,8 +96,11 @@ class Codes:
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def library_encoder(path: str) -> ChunkCache:
+    return held(("library", path), lambda: _library_encoder(path))
+
+
+def _library_encoder(path: str) -> ChunkCache:
     """Ids of the tokenizers library as little-endian unsigned 32-bit bytes,
     without added special tokens; for tokenizers in which a blank leads a word."""
     lib = Tokenizer.from_file(path)
@@ -125,7 +127,7 @@ def library_encoder(path: str) -> ChunkCache:
                 at = cut
         return out
 
-    return ChunkCache(alone, many)
+    return ChunkCache(alone, many, 1_500_000)
 
 
 def write_token_files(docs: DataFrame, path: str, encoder: Callable[[], Callable[[list[str]], list[bytes]]],
@@ -194,8 +196,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 codes = Codes(row["chunks"], row["marks"], row["ranks"])
                 bounds = np.concatenate([[0], np.cumsum(row["counts"])]).astype(int)
-                crcs = [zlib.crc32(codes.slice(a, b).astype("<u4").tobytes())
-                        for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                raw = memoryview(codes.slice(0, len(codes)).astype("<u4").tobytes())     # whole segments, in one go
+                crcs = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(bounds[:-1] + row["start"], pa.int64()),
                      pa.array(row["counts"], pa.int64()), pa.array(crcs, pa.int64())], schema=schema)

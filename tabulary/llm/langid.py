@@ -14,7 +14,6 @@ are parsed side by side in numpy; a phrase ends with its block.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import in_slices
+from tabulary.llm.common import held, in_slices
 
 UNDETERMINED = "und"
 _UNICODE = 0x110000
@@ -143,9 +142,8 @@ class CrossParser:
         return names, scores
 
 
-@functools.lru_cache(maxsize=2)
 def _parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
-    return CrossParser(dict(samples))
+    return held(("parser", samples), lambda: CrossParser(dict(samples)))
 
 
 def held_out(doc_id: Column) -> Column:

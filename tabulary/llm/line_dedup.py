@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import staged
+from tabulary.llm.common import drop_staged, staged
 
 
 def _words(line: Column) -> Column:
@@ -66,8 +66,9 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (F.greatest(F.size(a), F.size(b)) - head - tail <= 1)
 
 
-def _partners(words: DataFrame) -> DataFrame:
-    """Links (h1, h2) -> (t1, t2) from a line to an earlier one within one edit.
+def _partners(words: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Links (h1, h2) -> (t1, t2) from a line to an earlier one within one edit,
+    and the staged tables that they are read from.
 
     ``words``: first (the line's first place), h1, h2 and words of each line.
     """
@@ -116,10 +117,11 @@ def _partners(words: DataFrame) -> DataFrame:
             F.min(F.when(F.col("place") >= 0, F.col("head"))).alias("cut"),
             F.map_from_entries(F.collect_list(F.struct("place", "head"))).alias("same")))
     to = F.array(F.when(F.col("place") < 0, F.col("cut")).otherwise(F.col("whole")), F.col("same")[F.col("place")])
-    return (
+    links = (
         met.join(heads, key).select("first", "h1", "h2", F.explode(F.array_compact(to)).alias("to"))
         .where("to.first < first")
         .select("h1", "h2", F.col("to.h1").alias("t1"), F.col("to.h2").alias("t2")).distinct())
+    return links, [variants, met]
 
 
 def dropped_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
@@ -128,13 +130,12 @@ def dropped_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     earlier line within one edit, not for an equal one)."""
     lines = staged(lines_of(docs, min_words), "lines")
     distinct = lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "text_key", "pos")).alias("first"), F.count("*").alias("times"),
-        F.max("halves").alias("halves"))
+        F.min(F.struct("doc_id", "text_key", "pos")).alias("first"), F.count("*").alias("times"))
 
     halves = lines.where("halves IS NOT NULL").select("h1", F.explode("halves").alias("half"))
     common = halves.groupBy("half").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("half")
     able = halves.join(common, "half", "left_semi").select("h1").distinct()
-    wanted = distinct.where("halves IS NOT NULL").join(able, "h1", "left_semi") \
+    wanted = distinct.join(able, "h1", "left_semi") \
         .groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("at"))
     words = staged(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
@@ -145,10 +146,13 @@ def dropped_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
         .dropDuplicates(["h1", "h2"]), "words")
 
     other = words.select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("words").alias("other"))
+    links, used = _partners(words)
     near = staged(
-        _partners(words).join(words.select("h1", "h2", "words"), ["h1", "h2"]).join(other, ["t1", "t2"])
+        links.join(words.select("h1", "h2", "words"), ["h1", "h2"]).join(other, ["t1", "t2"])
         .where(within_one_edit(F.col("words"), F.col("other"))).select("h1", "h2").distinct(), "near")
 
+    drop_staged(words, *used)
+
     verdict = distinct.select("h1", "h2", "first", "times").join(
         near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("times > 1 OR near")
     here = F.struct("doc_id", "text_key", "pos")

@@ -9,7 +9,6 @@ the word alone, so scoring looks up one number a word.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import in_slices
+from tabulary.llm.common import held, in_slices
 
 _BLANK = b" \t\n\x0b\x0c\r"                 # bytes.split() parts at these
 _SYMBOLS = b"#*$%&|<>"
@@ -136,9 +135,8 @@ class _WordScores(dict):
         return score
 
 
-@functools.lru_cache(maxsize=2)
 def _scores(model: Model) -> _WordScores:
-    return _WordScores(model)
+    return held(("scores", model), lambda: _WordScores(model))
 
 
 def repeated_words(words: list[list[bytes]], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:

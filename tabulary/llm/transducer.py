@@ -18,7 +18,6 @@ tasks make independently.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import unicodedata
@@ -29,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import in_slices
+from tabulary.llm.common import held, in_slices
 
 #: The vocabulary writes each byte as one character: itself where visible, else from U+0100 on.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -278,9 +277,8 @@ def split(text: str) -> list[str]:
     return words
 
 
-@functools.lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
-    return Counter(path)
+    return held(("counter", path), lambda: Counter(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, chunk_chars: int = 1 << 16) -> DataFrame:
