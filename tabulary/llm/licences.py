@@ -1,12 +1,13 @@
-"""Licence scans by a positional index of rare words.
-
-Licence templates are short word lists.  The words of a template with the
-highest IDF, counted over all documents, are its anchors, and the index maps
-an anchor to its postings (template, position).  In a text each anchor's place
-less its position in the template is a shift; a shift on which enough anchors
-of a template agree is a candidate.  A candidate counts if the template's key
-phrases stand where the shift puts them, and its score is the share of the
-template's words that do.
+"""Licence scans by a positional index of licence words.
+
+Licence templates are short word lists, and the index maps each of their words
+to its postings (template, position).  Of a file the licence words in it with
+the highest IDF, counted over all documents, are looked up, and the rarest key
+word of each template whose key phrases can be in it.  A word's place less its
+position in the template is a shift; a shift on which enough words of a template
+agree, or its key word stands, is a candidate.  A candidate counts if the
+template's key phrases stand where the shift puts them, and its score is the
+share of the template's words that do.
 """
 
 from __future__ import annotations
@@ -94,34 +95,47 @@ def templates(spec: Iterable[tuple[str, str, list[str]]]) -> list[Template]:
 
 
 class Index:
-    """Anchors and their postings.  ``idf``: of each template word."""
+    """Postings of every template word, looked up by the words of a file.
 
-    def __init__(self, known: list[Template], idf: dict[bytes, float], anchors: int = 4, agree: int = 2,
+    ``idf``: of each template word.  Of a file its ``lookups`` licence words of
+    highest IDF are looked up, and of each template whose key words it has the
+    rarest one.  A shift is a candidate if ``agree`` of these words stand on it
+    or the key word does; so none that has the key phrases is missed.
+    """
+
+    def __init__(self, known: list[Template], idf: dict[bytes, float], lookups: int = 4, agree: int = 2,
                  share: float = 0.5):
-        self.templates, self._agree, self._share = known, agree, share
+        self.templates, self._idf, self._lookups, self._agree, self._share = known, idf, lookups, agree, share
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self._needs: list[frozenset[bytes]] = []
+        self._key: list[tuple[int, bytes]] = []
         for t, template in enumerate(known):
-            rare = set(sorted(set(template.words), key=lambda w: (-idf.get(w, math.inf), w))[:anchors])
             for at, word in enumerate(template.words):
-                if word in rare:
-                    self.postings[word].append((t, at))
+                self.postings[word].append((t, at))
+            of_keys = [(at + k, w) for at, p in template.keys for k, w in enumerate(p)]
+            self._needs.append(frozenset(w for _, w in of_keys))
+            self._key.append(min(of_keys, key=lambda x: (-idf.get(x[1], math.inf), x)))
 
     def matches(self, found: list[bytes]) -> list[tuple[str, int, float]]:
         """Verified alignments: label, first word and share of the template's words."""
-        hits = set(found).intersection(self.postings)
-        if not hits:
+        present = set(found).intersection(self.postings)
+        able = {t for t, needs in enumerate(self._needs) if needs <= present}
+        if not able:
             return []
+        rare = sorted(present, key=lambda w: (-self._idf.get(w, math.inf), w))[:self._lookups]
         votes: Counter[tuple[int, int]] = Counter()
-        for at, word in enumerate(found):
-            if word in hits:
-                for t, position in self.postings[word]:
-                    votes[t, at - position] += 1
+        for word in {*rare, *(self._key[t][1] for t in able)}:
+            postings = [(t, position, self._agree if (position, word) == self._key[t] else 1)
+                        for t, position in self.postings[word] if t in able]
+            for at in _places(found, (word,)) if postings else ():
+                for t, position, weight in postings:
+                    votes[t, at - position] += weight
         out = []
-        for (t, shift), n in votes.items():
+        for (t, shift), n in sorted(votes.items()):
             template = self.templates[t]
             if n < self._agree:
                 continue
-            if any(tuple(found[max(0, shift + at):shift + at + len(p)]) != p for at, p in template.keys):
+            if any(shift + at < 0 or tuple(found[shift + at:shift + at + len(p)]) != p for at, p in template.keys):
                 continue
             same = sum(0 <= shift + k < len(found) and found[shift + k] == w for k, w in enumerate(template.words))
             if same >= self._share * len(template.words):

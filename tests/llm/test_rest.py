@@ -142,6 +142,43 @@ def test_licences(spark, odd, none, docs):
     assert [r.places[0].first_word if r.places else None for r in found] == [2, 0, None, 0, 0, None]
 
 
+def test_shortened_notices_are_found(spark):
+    """The words that few files have aren't in most copies of the notice."""
+    short, whole = "Permission is hereby granted, free of charge, to any person", licences.TEMPLATES[11][1]
+    assert whole.startswith(short)
+    rows = [(i, f"file {i}\n{short} and so on") for i in range(30)]
+    rows += [(30, whole), (31, "Permission is hereby granted to nobody"), (32, "free of charge to any person")]
+    found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in found] == ["mit"] * 31 + ["", ""]
+    assert [r.places[0].first_word for r in found[:31]] == [2] * 30 + [0]
+    assert found[30].score == 1
+
+
+def test_licence_index_equals_a_plain_scan():
+    """Every place where the key phrases stand and half of the words do is found, whatever the IDF."""
+    rng = random.Random(11)
+    known = licences.templates(licences.TEMPLATES)
+    vocabulary = sorted({w for t in known for w in t.words})
+    for _ in range(300):
+        text = []
+        for _ in range(rng.randint(1, 4)):
+            own = list(rng.choice(known).words)
+            own = own[rng.randint(0, 2):len(own) - rng.choice([0, 0, len(own) // 3, len(own) // 2])]
+            for k in range(len(own)):
+                if rng.random() < 0.15:
+                    own[k] = rng.choice(vocabulary)
+            text += [rng.choice(vocabulary) for _ in range(rng.randint(0, 3))] + own
+        want = []
+        for t in known:
+            for shift in range(-len(t.words), len(text)):
+                same = sum(0 <= shift + k < len(text) and text[shift + k] == w for k, w in enumerate(t.words))
+                if 2 * same >= len(t.words) and all(shift + at >= 0 and tuple(text[shift + at:shift + at + len(p)]) == p
+                                                    for at, p in t.keys):
+                    want.append((t.label, shift, same / len(t.words)))
+        idf = {w: rng.choice([0.0, 1.0, 2.0]) for w in vocabulary}
+        assert sorted(licences.Index(known, idf).matches(text)) == sorted(want)
+
+
 def counts_of(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = Counter(zip(words, words[1:], words[2:], strict=False))
