@@ -7,7 +7,8 @@ word of each template whose key phrases can be in it.  A word's place less its
 position in the template is a shift; a shift on which enough words of a template
 agree, or its key word stands, is a candidate.  A candidate counts if the
 template's key phrases stand where the shift puts them, and its score is the
-share of the template's words that do.
+share of the template's words that do.  A phrase that makes a base label is a
+template that is all key phrase, so its places come from the same index.
 """
 
 from __future__ import annotations
@@ -81,6 +82,7 @@ class Template:
     label: str
     words: list[bytes]
     keys: list[tuple[int, tuple[bytes, ...]]]            # position and words of each key phrase
+    base: bool = False                                   # a phrase that makes a base label
 
 
 def templates(spec: Iterable[tuple[str, str, list[str]]]) -> list[Template]:
@@ -94,6 +96,11 @@ def templates(spec: Iterable[tuple[str, str, list[str]]]) -> list[Template]:
     return out
 
 
+def base_templates(phrases: dict[str, str]) -> list[Template]:
+    """Templates whose whole text is their key phrase."""
+    return [Template(label, list(p), [(0, p)], True) for phrase, label in phrases.items() if (p := tuple(words(phrase)))]
+
+
 class Index:
     """Postings of every template word, looked up by the words of a file.
 
@@ -118,6 +125,10 @@ class Index:
 
     def matches(self, found: list[bytes]) -> list[tuple[str, int, float]]:
         """Verified alignments: label, first word and share of the template's words."""
+        return [(self.templates[t].label, shift, share) for t, shift, share in self.alignments(found)]
+
+    def alignments(self, found: list[bytes]) -> list[tuple[int, int, float]]:
+        """Verified alignments: template's number, first word and share of its words."""
         present = set(found).intersection(self.postings)
         able = {t for t, needs in enumerate(self._needs) if needs <= present}
         if not able:
@@ -139,7 +150,7 @@ class Index:
                 continue
             same = sum(0 <= shift + k < len(found) and found[shift + k] == w for k, w in enumerate(template.words))
             if same >= self._share * len(template.words):
-                out.append((template.label, shift, same / len(template.words)))
+                out.append((t, shift, same / len(template.words)))
         return out
 
 
@@ -184,9 +195,8 @@ def scan(docs: DataFrame, spec: list[tuple[str, str, list[str]]] = TEMPLATES,
     empty one, without words or labels; repeated rows give repeated results;
     only doc_id and text are read.
     """
-    known = templates(spec)
+    known = templates(spec) + base_templates(phrases)
     idf = word_idf(docs, sorted({w for t in known for w in t.words}))
-    base = {tuple(words(p)): label for p, label in phrases.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(known, idf)
@@ -195,9 +205,13 @@ def scan(docs: DataFrame, spec: list[tuple[str, str, list[str]]] = TEMPLATES,
                 rows = []
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                     found = words(text)
-                    by_label = {label: p for phrase, label in base.items() if (p := _places(found, phrase))}
-                    starts = [at for p in by_label.values() for at in p]
-                    matched = index.matches(found)
+                    matched, by_label, starts = [], set(), []
+                    for t, at, share in index.alignments(found):
+                        if known[t].base:
+                            by_label.add(known[t].label)
+                            starts.append(at)
+                        else:
+                            matched.append((known[t].label, at, share))
                     shares = [s for _, _, s in matched]
                     rows.append({
                         "doc_id": doc_id, "n_words": len(found), "n_base": len(starts),

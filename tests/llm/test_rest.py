@@ -179,6 +179,24 @@ def test_licence_index_equals_a_plain_scan():
         assert sorted(licences.Index(known, idf).matches(text)) == sorted(want)
 
 
+def test_base_phrases_are_found_by_the_index(spark, docs, monkeypatch):
+    """Postings give the places of the base phrases: no scan for a phrase of several words is left."""
+    scans = []
+    plain = licences._places
+    monkeypatch.setattr(licences, "_places", lambda found, phrase: scans.append(phrase) or plain(found, phrase))
+    known = licences.base_templates(licences.PHRASES)
+    index = licences.Index(known, {w: 1.0 for t in known for w in t.words})
+    texts = [r.text for r in docs.collect()] + [
+        "all rights all rights reserved reserved", "CC BY cc by cc-by", "General public license", "public license", ""]
+    for text in texts:
+        found = index.alignments(licences.words(text))
+        starts = [at for _, at, share in found if share == 1]
+        assert len(starts) == len(found)
+        assert (len(starts), min(starts, default=None), max(starts, default=None),
+                ",".join(sorted({known[t].label for t, _, _ in found}))) == base_of(text)[1:]
+    assert scans and all(len(p) == 1 for p in scans)
+
+
 def counts_of(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = Counter(zip(words, words[1:], words[2:], strict=False))
