@@ -6,10 +6,14 @@ text; c phrases in n characters against N characters of labelled text estimate
 a cross entropy of c * log2(N) / n bits a character.  The language of least
 cross entropy wins.
 
-The automaton is stored as one table from state and character to next state,
-with the step that ends a phrase and begins the next built in, so a character
-costs one look-up.  Texts are cut into blocks and all blocks and languages
-are parsed side by side in numpy; a phrase ends with its block.
+Every character of the labelled text has a code of its own; the last code is
+for those that stand in no labelled text.  The automaton of the most frequent
+characters is stored as one table from state and character to next state, with
+the step that ends a phrase and begins the next built in, so such a character
+costs one look-up.  The steps by all other characters are a sorted list, whose
+length the labelled text bounds whatever the script.  Texts are cut into blocks
+and all blocks and languages are parsed side by side in numpy; a phrase ends with
+its block.
 """
 
 from __future__ import annotations
@@ -29,9 +33,9 @@ UNDETERMINED = "und"
 _UNICODE = 0x110000
 
 
-def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
-    """Transitions (state, code) -> state of the automaton of all substrings;
-    0 is the start and means "none" as a target."""
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions, by state, code -> state of the automaton of all substrings;
+    0 is the start and never a target."""
     step: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -57,34 +61,36 @@ def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    table = np.zeros((len(step), size), np.int32)
-    for s, row in enumerate(step):
-        for c, t in row.items():
-            table[s, c] = t
-    return table
+    return step
 
 
 class CrossParser:
     """Automata of several languages over one alphabet.
 
-    ``samples``: labelled text by language.  The alphabet is the ``letters`` - 1 most
-    frequent characters (lower case) and one code for all others, which occurs
-    in no automaton.
+    ``samples``: labelled text by language.  The alphabet is all its characters
+    (lower case) and one code for all others, which occurs in no automaton.
+    The ``letters`` - 1 most frequent ones have a column of the table, whose
+    last column is a step by a character that isn't in the automaton.
     """
 
     def __init__(self, samples: dict[str, str], letters: int = 64, block: int = 2048):
         self.languages = sorted(samples)
         self._block, self._size = block, letters
         texts = {k: samples[k].lower() for k in self.languages}
-        common = [c for c, _ in sorted(Counter("".join(texts.values())).items(),
-                                       key=lambda x: (-x[1], x[0]))[:letters - 1]]
-        self._code = np.full(_UNICODE, letters - 1, np.uint8)
-        for k, c in enumerate(common):
-            self._code[ord(c)] = k
-        tables, starts, at = [], [], 0
+        known = [c for c, _ in sorted(Counter("".join(texts.values())).items(), key=lambda x: (-x[1], x[0]))]
+        self._none = max(len(known), letters - 1)
+        self._code = np.full(_UNICODE, self._none, np.min_scalar_type(self._none))
+        self._code[[ord(c) for c in known]] = range(len(known))
+        tables, starts, steps, at = [], [], [], 0
         for k in self.languages:
-            known = self._code[np.frombuffer(texts[k].encode("utf-32-le"), np.uint32)]
-            table = suffix_automaton([c for c in known.tolist() if c < letters - 1], letters)
+            automaton = suffix_automaton(self._code[np.frombuffer(texts[k].encode("utf-32-le"), np.uint32)].tolist())
+            table = np.zeros((len(automaton), letters), np.int32)
+            for s, row in enumerate(automaton):
+                for c, t in row.items():
+                    if c < letters - 1:
+                        table[s, c] = t
+                    else:
+                        steps.append(((at + s) * (self._none + 1) + c, (at + t) * letters))
             odd = len(table)                      # behind a character that is in no run
             begin = np.where(table[0] == 0, odd, table[0])
             ends = np.vstack([table == 0, np.ones(letters, bool)])
@@ -96,8 +102,24 @@ class CrossParser:
             at += len(table)
         self._table = np.concatenate(tables).ravel().astype(np.int64 if at * letters * 2 >= 1 << 31 else np.int32)
         self._starts = np.array(starts, self._table.dtype)
+        steps.sort()
+        self._rare = np.array([x for x, _ in steps], np.int64)
+        self._to = np.array([t for _, t in steps], self._table.dtype)
         self._bits = np.array([math.log2(max(2, len(texts[k]))) for k in self.languages])
 
+    def _step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether there is a step from each state by a code without a column, and its target."""
+        key = state.astype(np.int64) // self._size * (self._none + 1) + code
+        at = np.minimum(np.searchsorted(self._rare, key), len(self._rare) - 1)
+        return self._rare[at] == key, self._to[at]
+
+    def _moves(self, state: np.ndarray, code: np.ndarray, move: np.ndarray) -> np.ndarray:
+        """The table's ``move`` by a character of no automaton, put right for codes that have steps."""
+        code = code.astype(np.int64)[:, None]
+        goes, to = self._step(state, code)
+        begins, anew = self._step(self._starts[None], code)
+        return np.where(goes, to << 1, np.where(begins, anew << 1 | move & 1, move))
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text in each language, and the texts' lengths."""
         codes = [self._code[np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32)] for t in texts]
@@ -107,6 +129,9 @@ class CrossParser:
         if not len(of):
             return counts, lengths
         flat = np.concatenate(codes)
+        column = np.minimum(flat, self._size - 1)
+        rare = (flat >= self._size - 1) & (flat < self._none)
+        any_rare = rare.any()
         first = np.cumsum(lengths) - lengths
         number = np.arange(len(of)) - np.searchsorted(of, of)
         begin = first[of] + number * self._block
@@ -118,7 +143,10 @@ class CrossParser:
         ended = np.zeros(state.shape, np.int32)
         for k in range(int(width[0])):
             n = live[k]
-            move = self._table[state[:n] + flat[begin[:n] + k].astype(state.dtype)[:, None]]
+            place = begin[:n] + k
+            move = self._table[state[:n] + column[place].astype(state.dtype)[:, None]]
+            if any_rare and len(at := np.flatnonzero(rare[place])):
+                move[at] = self._moves(state[at], flat[place[at]], move[at])
             ended[:n] += move & 1
             state[:n] = move >> 1
         np.add.at(counts, of, ended + 1)                  # the phrase that the block's end closes

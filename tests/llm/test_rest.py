@@ -93,6 +93,40 @@ def test_cross_parsing_counts_longest_matches():
             assert c == [phrases(t, samples[k]) for k in ("x", "y")], t
 
 
+def longest_runs(text, sample):
+    n = i = 0
+    while i < len(text):
+        j = i + 1
+        while j < len(text) and text[i:j + 1] in sample:
+            j += 1
+        n, i = n + 1, j
+    return n
+
+
+def test_cross_parsing_of_many_scripts():
+    """More characters than the table has columns: all of them are in the runs."""
+    rng = random.Random(9)
+    alphabets = {"bg": [chr(c) for c in range(0x430, 0x450)], "de": list("abcdefghijklmnopqrstuvwxyzäöüß"),
+                 "en": list("abcdefghijklmnopqrstuvwxyz"), "ja": [chr(c) for c in range(0x3041, 0x3097)],
+                 "zh": [chr(c) for c in range(0x4E00, 0x4E00 + 1500)]}
+    alphabets["zt"] = alphabets["zh"]                     # the same characters in other words
+    lexicon = {k: ["".join(rng.choice(a) for _ in range(rng.randint(2, 6))) for _ in range(300)]
+               for k, a in alphabets.items()}
+
+    def written(k, words):
+        return ("" if k in ("ja", "zh", "zt") else " ").join(rng.choice(lexicon[k]) for _ in range(words))
+    samples = {k: written(k, 400) for k in alphabets}
+    texts = [(k, written(k, 30)) for k in alphabets for _ in range(12)]
+    odd = [("", t[:9] + "☃☃" + t[9:20] + "語" + other[:9]) for (_, t), (_, other) in zip(texts, texts[13:])]
+    for letters in (2, 64, 4000):
+        parser = langid.CrossParser(samples, letters=letters, block=1000)
+        counts, lengths = parser.phrases([t for _, t in texts + odd])
+        for (_, t), c, n in zip(texts + odd, counts.tolist(), lengths.tolist(), strict=True):
+            assert n == len(t)
+            assert c == [longest_runs(t, samples[k]) for k in parser.languages], t
+    assert langid.CrossParser(samples).predict([t for _, t in texts])[0] == [k for k, _ in texts]
+
+
 def test_languages_of_held_out_rows(docs):
     found = langid.identify(docs, langid.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id") \
         .where(langid.held_out(F.col("doc_id"))).collect()
