@@ -53,6 +53,7 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int = MOST_
     n = entries.count()
     m = min(bits, max(1, math.ceil(bits / math.log2(max(2, n)))))
     width = math.ceil(bits / m)
+    m = math.ceil(bits / width)          # each segment begins below ``bits``
 
     def segment(code: Column, j: int) -> Column:
         return F.shiftrightunsigned(code, j * width).bitwiseAND(F.lit((1 << width) - 1))

@@ -39,6 +39,31 @@ def test_nearest_of_few(spark):
     assert hamming.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n, width, s", [(25, 5, 1), (50, 6, 1), (200, 8, 2)])
+def test_neighbours_at_the_radius_that_segments_cover(spark, n, width, s):
+    """The nearest code differs in s + 1 bits of each segment; a farther one has an equal segment."""
+    rng = random.Random(n)
+    segments = [range(a, min(64, a + width)) for a in range(0, 64, width)]
+    query = rng.getrandbits(64)
+    near = sum(1 << b for seg in segments for b in list(seg)[-s - 1:])
+    far = bin(near).count("1") + 1
+    decoy = sum(1 << b for b in rng.sample(range(width, 64), far))
+    codes = [query, query ^ near, query ^ decoy]
+    while len(codes) < n:
+        c = rng.getrandbits(64)
+        if bin(c ^ query).count("1") > far + 2:
+            codes.append(c)
+    assert len(set(codes)) == n
+    rows = [(i, c - (1 << 64) if c >> 63 else c) for i, c in enumerate(codes)]
+    df = spark.createDataFrame(rows, "id long, code long")
+    got = {(r.id, r["rank"]): (r.distance, r.neighbour) for r in hamming.nearest(df, df, k=2).collect()}
+    for i, c in enumerate(codes):
+        want = sorted((bin(c ^ d).count("1"), j) for j, d in enumerate(codes) if j != i)[:2]
+        assert [got[i, 1], got[i, 2]] == want, i
+    (one,) = hamming.nearest(df, df.where("id = 0"), k=1).collect()
+    assert (one.neighbour, one.distance) == (1, far - 1)
+
+
 def test_sign_codes(spark):
     rows = [([0.5, -1.0, None, 2.0],), ([],), (None,), ([0.0] * 63 + [1.0],)]
     df = spark.createDataFrame(rows, "v array<float>")
