@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tabulary.llm import bagminhash, bpe, langid, line_dedup, mixing
 from tabulary.llm.common import staged, table
+from tabulary.operators.keys import with_dense_key
 
 #: The most often a source's tokens are repeated in the mixture.
 REPEATS = 1.25
@@ -31,10 +32,38 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+def _own_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_own``, an id of each doc_id and text: the doc_id, but one
+    behind all doc_ids for further texts of a doc_id and for rows without one."""
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.withColumn("_id", doc_id).withColumn("_key", F.xxhash64("text"))
+    pairs = keyed.select("_id", "_key").distinct()
+    several = pairs.where("_id IS NOT NULL").groupBy("_id") \
+        .agg(F.min("_key").alias("least"), F.max("_key").alias("most")).where("least <> most")
+    others = staged(
+        pairs.join(several, "_id").where("_key <> least").select("_id", "_key")
+        .unionAll(pairs.where("_id IS NULL")), "other-ids")
+    if others.isEmpty():
+        return docs.withColumn("_own", doc_id)
+    last = docs.agg(F.max(doc_id)).first()[0] or 0
+    numbered = with_dense_key(others, "_new", [F.col("_id").asc_nulls_last(), F.col("_key")], start=last) \
+        .select(F.col("_id").alias("_of"), F.col("_key").alias("_of_key"), "_new")
+    return keyed.join(numbered, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_of_key")), "left") \
+        .select(*docs.columns, F.coalesce("_new", "_id").alias("_own"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the least doc_id of each class, once."""
-    first = bagminhash.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Keep the first document of each class, once: that of the least doc_id.
+
+    Different texts of one doc_id are documents of their own, and so are texts
+    without a doc_id; those come behind all doc_ids.  Of rows with the same
+    doc_id and text the one whose columns are least stays.
+    """
+    own = _own_ids(docs)
+    first = bagminhash.near_duplicates(own.select(F.col("_own").alias("doc_id"), "text")) \
+        .where("doc_id = class_id").select(F.col("doc_id").alias("_own")).distinct()
+    return own.join(first, "_own", "left_semi") \
+        .groupBy("_own").agg(F.min(F.struct(*docs.columns)).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -320,6 +320,21 @@ def test_pipeline_equals_brute_force(spark, docs):
     assert Counter(map(tuple, corpus_pipeline.run(spark, SF).collect())) == want
 
 
+def test_near_dedup_loses_no_document(spark):
+    """Rows without a doc_id and different texts of one doc_id stay unless they are near another document."""
+    text = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"}
+    near_a = text["a"].replace("a39", "z")
+    rows = [(1, text["a"], "s0"), (2, text["b"], "s1"), (2, text["c"], "s1"), (2, near_a, "s1"),
+            (None, text["d"], "s2"), (None, text["d"], "s2"), (None, near_a, "s2"), (None, text["e"], "s2"),
+            (3, text["f"], "s3"), (3, text["f"], "s0"), (None, None, "s4"), (4, None, "s4")]
+    want = Counter([rows[0], rows[1], rows[2], rows[4], rows[7], rows[9], rows[10], rows[11]])
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, source string")
+        out = corpus_pipeline.near_duplicates(spark, df.repartition(3), SF)
+        assert out.columns == df.columns
+        assert Counter(map(tuple, out.collect())) == want
+
+
 def test_stages_keep_the_columns_of_odd_rows(spark, odd, none):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language ID", "line dedup", "MinHash near-dedup", "source mixing", "byte-level BPE"]
