@@ -132,9 +132,10 @@ def plan(docs: DataFrame, entropy: float | None = None, repeats: float | None =
 
 
 def mix(docs: DataFrame, entropy: float | None = None, repeats: float | None = None,
-        budget: float | str | None = None, seed: int = 7) -> DataFrame:
+        budget: float | str | None = None, seed: int = 7, places: bool = False) -> DataFrame:
     """The rows of the mixture: those of ``docs`` with all their columns, once for each block
-    they are in, and ``mix_block``, ``mix_tokens``.  See :func:`plan`.
+    they are in, and ``mix_block``, ``mix_tokens``.  See :func:`plan`.  ``places``
+    adds ``mix_place``: a source's block is its rows in the order of their places.
 
     Documents whose places are equal (the same doc_id) go in together.  A last
     block never goes over its budget.  A null text has no tokens.
@@ -145,11 +146,12 @@ def mix(docs: DataFrame, entropy: float | None = None, repeats: float | None = N
     place = _place(seed, F.col("_mix_blocks"), F.col("doc_id"))
     part = (F.col("_mix_left") > 0) & (F.col("_mix_until").isNull() | (place < F.col("_mix_until")))
     most = F.col("_mix_blocks") + F.when(part, 1).otherwise(0) - 1
-    return (
+    mixed = (
         docs.join(F.broadcast(planned), F.col("source").eqNullSafe(F.col("_mix_source")))
         .where(most >= 0)
         .select(*(F.col(c) for c in docs.columns), _tokens("text").alias("mix_tokens"),
                 F.explode(F.sequence(F.lit(0).cast("long"), most)).alias("mix_block")))
+    return mixed.withColumn("mix_place", _place(seed, F.col("mix_block"), F.col("doc_id"))) if places else mixed
 
 
 def oracle(entropy: float, budget: str, seed: int = 7, table: str = "documents") -> str:

@@ -40,9 +40,10 @@ MIX_ENTROPY = 0.999
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mixture as large as the corpus."""
+    """A mixture as large as the corpus, each source's blocks one behind the other and permuted."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs, entropy=MIX_ENTROPY, budget="corpus").select(
+    return mixing.mix(docs, entropy=MIX_ENTROPY, budget="corpus", places=True).select(
+        "doc_id", "source", "mix_tokens", "mix_block", "mix_place").sort("source", "mix_block", "mix_place").select(
         "doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_block").alias("block"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.llm import brute
 from tests.llm.conftest import SF, odd_rows
 
-from tabulary.llm import hamming, langid, licences, mixing, quality
+from tabulary.llm import hamming, langid, licences, mixing, quality, queries
 
 
 def test_nearest_codes(spark):
@@ -80,6 +80,16 @@ def test_mixture_of_odd_rows(odd, none):
     assert mixing.mix(none, repeats=2.0).count() == 0
 
 
+def test_blocks_are_permutations(spark, docs):
+    """Places are md5(seed, block, doc_id), another order in each block; the query gives that order."""
+    def place(block, doc_id):
+        return hashlib.md5(f"7|{block}|{doc_id}".encode()).hexdigest()
+    rows = mixing.mix(docs.where("doc_id % 9 = 0 OR source = 's1'"), repeats=3.0, places=True).collect()
+    assert all(r.mix_place == place(r.mix_block, r.doc_id) for r in rows) and {r.mix_block for r in rows} >= {0, 1}
+    out = [(r.source, r.block, place(r.block, r.doc_id)) for r in queries.op4_source_mixing(spark, SF).collect()]
+    assert out == sorted(out)
+
+
 def test_mixture_meets_its_target(docs):
     skewed = docs.withColumn("source", F.when(F.col("doc_id") % 3 > 0, "big").otherwise(F.col("source")))
     import math
