@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulary.llm import bagminhash, bpe, dac, hamming, langid, licences, line_dedup, mixing, quality, transducer
+from tabulary.llm import (
+    bagminhash, bpe, dac, hamming, langid, licences, line_dedup, mixing, periodic, quality, transducer, turns, warc,
+)
 from tabulary.llm.common import shared_path, table
 
 
@@ -76,6 +78,23 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a fixed rule and repaired."""
+    return turns.repair(turns.damage(table(spark, sf_dir, "conversations")), present="present")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives in which equal payloads stand once, and read back."""
+    path = shared_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, least_bytes=0)
+    return warc.read_pages(spark, path)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every text, a tenth of them with a planted periodic end."""
+    return periodic.digest(periodic.find_runs(periodic.plant_tails(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_code_search": op1_code_search,
     "op2_token_files": op2_token_files,
@@ -87,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_warc": op12_warc,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {

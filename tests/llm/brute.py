@@ -1,8 +1,11 @@
 """Plain versions of operators and stages, on lists."""
 
+import base64
 import hashlib
+import heapq
 import math
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from itertools import combinations
 
 
@@ -123,3 +126,125 @@ def mixture(rows, repeats, seed=7):
             out += [(k, b) for b in range(blocks + (k in extra))]
     assert total or not shares
     return out
+
+
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+_NEXT = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+_ROLE = {"u": "user", "a": "assistant"}
+
+
+def cheapest_repair(rows):
+    """rows: (role, text, lost, truncated); cost, audit and lines, by trying edits in order of (cost, audit)."""
+    heap, seen = [(0, "", 0, "", ())], {}
+    while heap:
+        cost, audit, i, last, lines = heapq.heappop(heap)
+        if i == len(rows) and last in ("", "a"):
+            return cost, audit, lines
+        if cost > seen.setdefault((i, last), cost):
+            continue
+        tries = [(2, "I", c, i, f"{_ROLE[c]}:") for c in "ua"]
+        if i < len(rows):
+            role, text, lost, truncated = rows[i]
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, last, lines))
+            if not lost:
+                tries.append((truncated, "K", role[:1], i + 1, f"{role}:{text}"))
+                tries += [(2 + truncated, "R", c, i + 1, f"{_ROLE[c]}:{text}") for c in "ua"]
+        for c, edit, initial, j, line in tries:
+            if (last, initial) in _NEXT:
+                heapq.heappush(heap, (cost + c, audit + edit, j, initial, (*lines, line)))
+
+
+def damaged(rows):
+    """rows: (conv_id, turn, role, text); conversations as lists of damaged (turn, role, text)."""
+    out = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        own = out[conv_id]
+        fault = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fault == 1:
+            text = ""
+        if fault == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if fault == 4:
+            role = "user"
+        own += [(turn, role, text)] * {0: 0, 3: 2}.get(fault, 1)
+    return out
+
+
+def repaired(conversations):
+    """A result row per conversation."""
+    out = {}
+    for conv_id, rows in conversations.items():
+        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        counts, marked, seen = Counter(), [], set()
+        for _, role, text in rows:
+            said = text.strip(" \t\n\v\f\r")
+            fault = ("blank" if not said else "duplicate" if (role, text) in seen
+                     else "truncated" if said[-1] not in ".!?" else None)
+            seen.add((role, text))
+            counts[fault] += 1
+            marked.append((role, text, fault in ("blank", "duplicate"), fault == "truncated"))
+        turns = [t for t, _, _ in rows if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+        cost, audit, lines = cheapest_repair(marked)
+        out[conv_id] = (gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit,
+                        sha256("\n".join(lines)))
+    return out
+
+
+def archived(rows, least=0):
+    """rows: (page_id, html); sorted results (page_id, bytes, digest, type, refers_to)."""
+    payloads = [(p, (h or "").encode()) for p, h in rows]
+    groups = defaultdict(list)
+    for k, (p, h) in enumerate(payloads):
+        groups[h].append((p is not None, p or 0, k))
+    out = []
+    for k, (p, h) in enumerate(payloads):
+        _, _, top = max(groups[h])
+        again = len(h) >= least and k != top
+        out.append((p, len(h), base64.b32encode(hashlib.sha1(h).digest()).decode(),
+                    "revisit" if again else "response", payloads[top][0] if again else None))
+    return sorted(out, key=str)
+
+
+def runs_of(words):
+    """(start, length, period) by start, then period: every period and place tried."""
+    out = []
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            if length >= max(6, 4 * q) and not any(
+                    words[i:i + length - r] == words[i + r:i + length] for r in range(1, q)):
+                out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def planted(doc_id, text):
+    words = (text or "").encode().split()
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    return words
+
+
+def run_digest(words):
+    found = runs_of(words)
+    best = None
+    for r in found:
+        if best is None or r[1] * best[2] > best[1] * r[2]:
+            best = r
+    kept = [w for i, w in enumerate(words) if not any(s + q <= i < s + m for s, m, q in found)]
+    return (len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha256("".join(f"{s},{m},{q}\n" for s, m, q in found)), hashlib.sha256(b" ".join(kept)).hexdigest())
