@@ -2,8 +2,8 @@
 
 All parsing is narrow: one ``posexplode`` of the pieces of each parent's text
 emits the child rows, which plain regex expressions then parse -- a single
-scan of the parent instead of one scan per segment position, and no shuffle
-except the range shuffle of the dense key.
+scan of the parent instead of one scan per segment position, and no shuffle:
+children are numbered in the order of their parents' keys.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..functions.containers import (SEPARATOR, cleaned, container_format, contai
                                     segment_price, segment_size, unit_price)
 from ..functions.packs import block_price, block_size, block_strings, pack_block_strings
 from ..functions.text import TAKA, occurrences
-from .keys import with_dense_key
+from .keys import derived, with_inherited_key
 
 
 def extract_unit_price(df: DataFrame, text: str = "package_container",
@@ -33,9 +33,12 @@ def clean_container(df: DataFrame, text: str = "package_container") -> DataFrame
 def prepare_medicine(df: DataFrame, text: str = "package_container") -> DataFrame:
     """Format label, unit price and number of price signs from the raw text,
     then the cleaned text."""
-    raw = (df.withColumn("container_format", container_format(F.col(text)))
-           .withColumn("container_signs", container_signs(F.col(text))))
-    return clean_container(extract_unit_price(raw, text), text)
+    def prepared(frame: DataFrame) -> DataFrame:
+        raw = (frame.withColumn("container_format", container_format(F.col(text)))
+               .withColumn("container_signs", container_signs(F.col(text))))
+        return clean_container(extract_unit_price(raw, text), text)
+
+    return derived(df, prepared)
 
 
 def parse_pack_sizes(df: DataFrame, parent_key: str = "brand_id", text: str = "package_size",
@@ -45,10 +48,13 @@ def parse_pack_sizes(df: DataFrame, parent_key: str = "brand_id", text: str = "p
     Blocks are exploded as strings and parsed with plain regex expressions,
     which stay inside whole-stage codegen."""
     blocks = pack_block_strings(F.col(text))
-    rows = (df.select(parent_key, F.posexplode(blocks).alias("pos", "b"))
-            .select(parent_key, "pos", block_size(F.col("b")).alias("pack_size"),
-                    block_price(F.col("b")).alias("pack_price")))
-    return with_dense_key(rows, key, [parent_key, "pos"]).drop("pos")
+
+    def rows(parents: DataFrame, keep: list[str]) -> DataFrame:
+        return (parents.select(parent_key, *keep, F.posexplode(blocks).alias("pos", "b"))
+                .select(parent_key, *keep, "pos", block_size(F.col("b")).alias("pack_size"),
+                        block_price(F.col("b")).alias("pack_price")))
+
+    return with_inherited_key(df, key, rows, [parent_key, "pos"]).drop("pos")
 
 
 def preview_pack_blocks(df: DataFrame, parent_key: str = "brand_id",
@@ -84,15 +90,15 @@ def parse_containers(df: DataFrame, parent_key: str = "brand_id",
     """
     items = (F.when(F.col(text).isNotNull(), F.split(F.col(text), SEPARATOR))
              .when(F.col(price).isNotNull(), F.array(F.lit(None).cast("string"))))
-    rows = (df.select(parent_key, F.col(price).alias("__unit"),
-                      F.posexplode(items).alias("pos", "seg")))
     seg = F.col("seg")
-    typed = rows.select(parent_key, "pos",
-                        fix_typos(segment_size(seg)).alias("container_size"),
-                        F.when(seg.isNull(), F.col("__unit")).otherwise(segment_price(seg))
-                        .alias("unit_price"))
-    typed = typed.withColumn("container_type", classify_container(F.col("container_size")))
-    return with_dense_key(typed, key, [parent_key, "pos"]).drop("pos")
+
+    def rows(parents: DataFrame, keep: list[str]) -> DataFrame:
+        return (parents.select(parent_key, *keep, F.col(price).alias("__unit"), F.posexplode(items).alias("pos", "seg"))
+                .select(parent_key, *keep, "pos", fix_typos(segment_size(seg)).alias("container_size"),
+                        F.when(seg.isNull(), F.col("__unit")).otherwise(segment_price(seg)).alias("unit_price"))
+                .withColumn("container_type", classify_container(F.col("container_size"))))
+
+    return with_inherited_key(df, key, rows, [parent_key, "pos"]).drop("pos")
 
 
 def parse_rejects(raw: DataFrame, containers: DataFrame, packs: DataFrame,

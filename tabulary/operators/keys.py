@@ -11,10 +11,16 @@ key without a single-partition window:
 3. count rows per partition, from those two columns alone;
 4. key = start + rows in earlier partitions + position + 1.  The offsets are
    one row per partition, so their broadcast is bounded by the layout.
+
+Rows made from keyed rows one by one (children) inherit that order, so
+``with_inherited_key`` numbers them without a shuffle: a block of a staged
+file is read by one task in file order, children are counted per block, and
+key = children of earlier blocks + position in the block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +28,9 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import staged
 
+#: A staged row's file (the number of its range) and the block of it that a task reads.
+_FILE, _BLOCK = "__pid", "__block"
+
 
 def _order_cols(order: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
@@ -47,13 +56,57 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
     offsets = [0, *accumulate(counts[p] for p in pids)][:-1] if pids else []
     table_ = df.sparkSession.createDataFrame(list(zip(pids, offsets)), "__pid int, __base long")
     start_col = (start if isinstance(start, Column) else F.lit(start)).cast("long")
-    out = (placed.join(F.broadcast(table_), "__pid")
-           .select((start_col + F.col("__base") + F.col("__pos") + F.lit(1)).alias(key), *df.columns))
+
+    def keyed(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.join(F.broadcast(table_), _FILE).select(
+            (start_col + F.col("__base") + F.col("__pos") + F.lit(1)).alias(key), *df.columns, *more)
+
+    out = keyed(placed)
+    out.__dict__["_in_order"] = keyed(placed.select("*", F.col("_metadata.file_block_start").alias(_BLOCK)), _FILE, _BLOCK)
     if isinstance(start, int):
         out.__dict__["_known_max_key"] = start + sum(counts.values())
     return out
 
 
+def derived(df: DataFrame, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``make(df)``, where ``make`` only adds or replaces columns: the rows keep
+    the order of their keys for :func:`with_inherited_key`."""
+    out = make(df)
+    if (ordered := df.__dict__.get("_in_order")) is not None:
+        out.__dict__["_in_order"] = make(ordered)
+    return out
+
+
+def with_inherited_key(parents: DataFrame, key: str, children: Callable[[DataFrame, list[str]], DataFrame],
+                       order: list[str]) -> DataFrame:
+    """Add ``key`` = 1..n to the children of ``parents``, in the order of
+    ``order`` (the parents' key, then the position among a parent's children).
+
+    ``children(frame, keep)`` makes the rows of each parent, in their order,
+    by narrow steps, and hands the columns ``keep`` on.  If ``parents`` come
+    from :func:`with_dense_key` (by way of :func:`derived`), nothing is
+    shuffled; others are sorted.
+    """
+    ordered = parents.__dict__.get("_in_order")
+    if ordered is None:
+        return with_dense_key(children(parents, []), key, order)
+    rows = children(ordered, [_FILE, _BLOCK])
+    columns = [c for c in rows.columns if c not in (_FILE, _BLOCK)]
+    placed = staged(rows.withColumn("__pos", F.monotonically_increasing_id()), key)
+    blocks = sorted(map(tuple, placed.groupBy(_FILE, _BLOCK).agg(
+        F.count(F.lit(1)), F.min("__pos"), F.max("__pos")).collect()))
+    if any(last - first + 1 != n for _, _, n, first, last in blocks):
+        raise RuntimeError("a block's rows weren't read one after another")
+    offsets = [0, *accumulate(n for _, _, n, _, _ in blocks)][:-1]
+    table_ = parents.sparkSession.createDataFrame(
+        [(f, b, base - first) for (f, b, _, first, _), base in zip(blocks, offsets, strict=False)],
+        f"{_FILE} int, {_BLOCK} long, __base long")
+    out = placed.join(F.broadcast(table_), [_FILE, _BLOCK]).select(
+        (F.col("__base") + F.col("__pos") + F.lit(1)).alias(key), *columns)
+    out.__dict__["_known_max_key"] = sum(n for _, _, n, _, _ in blocks)
+    return out
+
+
 def known_max_key(df: DataFrame) -> int | None:
     """The largest key, if ``df`` came from :func:`with_dense_key`."""
     return df.__dict__.get("_known_max_key")

@@ -1,9 +1,11 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tabulary.operators.keys import known_max_key, with_dense_key
+from tabulary.operators.keys import derived, known_max_key, with_dense_key, with_inherited_key
 
 
 def test_dense_key_follows_order_across_partitions(spark):
@@ -54,3 +56,41 @@ def test_staging_can_be_cleared(spark):
     assert os.path.exists(path)
     clear_staged(spark)
     assert not os.path.exists(path)
+
+
+@pytest.mark.parametrize("partition_bytes", ["128m", "30k"])
+def test_inherited_keys_are_those_of_a_sort_without_a_shuffle(spark, partition_bytes):
+    rng = random.Random(3)
+    rows = [(f"n{i:06d}", "x" * rng.randrange(40), rng.choice([0, 0, 1, 2, 5])) for i in range(20000)] + [("m", "hot", 9000)]
+    df = spark.createDataFrame(rows, "name string, w string, n int").repartition(5)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "40000")                # several row groups a file
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", partition_bytes)
+    try:
+        parents = with_dense_key(df, "id", ["name"], num_partitions=4)
+        parents = derived(parents, lambda f: f.withColumn("up", F.upper("name")))
+
+        def children(frame, keep):
+            return (frame.where("n > 0").select("id", *keep, "up", F.posexplode(F.sequence(F.lit(1), F.col("n"))).alias("pos", "v"))
+                    .where("v % 7 <> 3"))
+
+        plans = []
+        out = with_inherited_key(parents, "child_id", lambda f, k: plans.append(c := children(f, k)) or c, ["id", "pos"])
+        plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "BroadcastExchange" in plan
+        got = {(r.id, r.pos): (r.child_id, r.up) for r in out.collect()}
+        plain = parents.select("id", "up", "n", "name")          # knows nothing of the order
+        want = {(r.id, r.pos): (r.child_id, r.up) for r in with_inherited_key(plain, "child_id", children, ["id", "pos"]).collect()}
+        assert got == want and sorted(k for k, _ in got.values()) == list(range(1, len(got) + 1))
+        assert known_max_key(out) == len(got)
+    finally:
+        hadoop.unset("parquet.block.size")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_inherited_keys_of_no_children(spark):
+    parents = with_dense_key(spark.createDataFrame([("a",), ("b",)], "name string"), "id", ["name"])
+    out = with_inherited_key(parents, "k", lambda f, keep: f.select("id", *keep, F.lit(0).alias("pos")).where("id > 9"), ["id", "pos"])
+    assert out.count() == 0 and out.columns == ["k", "id", "pos"]
