@@ -1,5 +1,5 @@
-"""Command line: build the catalog from a folder of CSV files, write the nine
-tables as Parquet, and write / print the validation report.
+"""Command line: build the catalog from a folder of CSV files, replace the nine
+stored tables in OUT_DIR/tables all at once, and write / print the validation report.
 
     python -m tabulary build SOURCES_DIR OUT_DIR [--collation UTF8_LCASE_RTRIM]
                              [--expect zero|published]
@@ -18,9 +18,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators.quality import CheckFailed, assert_checks
-from .plans.catalog import PUBLISHED_RESULTS, TABLE_NAMES, build_catalog, validate, write_catalog
+from .plans.catalog import PUBLISHED_RESULTS, build_catalog, refresh_catalog, validate
 from .session import ensure_checkpoint_dir, local_session
 from .sources.csv import read_sources
+from .sources.store import TableStore
 
 
 def _session() -> SparkSession:
@@ -51,12 +52,13 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session()
     out = args.out.rstrip("/")
+    store = TableStore(spark, f"{out}/tables")
     if args.cmd == "build":
         tables = build_catalog(read_sources(spark, args.sources), args.collation)
-        counts = write_catalog(tables, out)
+        counts = refresh_catalog(tables, store)
         print(json.dumps({"rows": counts}))
     else:
-        tables = {n: spark.read.parquet(f"{out}/{n}") for n in TABLE_NAMES}
+        tables = store.snapshot()
     report = validate(tables, PUBLISHED_RESULTS if args.expect == "published" else None)
     report.write.mode("overwrite").parquet(f"{out}/_checks")
     for r in spark.read.parquet(f"{out}/_checks").orderBy("check_name").collect():

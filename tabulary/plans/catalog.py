@@ -26,7 +26,8 @@ from ..operators.dims import backfill_dimension, collated, dedupe_by_key, load_d
 from ..operators.joins import build_junction, resolve_fk
 from ..operators.keys import with_dense_key
 from ..sources.sinks import write_table
-from ..operators.quality import count_checks, duplicate_count, fk_checks, with_expectations
+from ..sources.store import TableStore
+from ..operators.quality import count_checks, duplicate_counts, fk_counts, with_expectations
 
 TABLE_NAMES = ("drug_class", "dosage_form", "manufacturer", "indication", "generic",
                "medicine", "medicine_package_size", "medicine_package_container",
@@ -134,6 +135,18 @@ def write_catalog(tables, out_dir: str, names=TABLE_NAMES) -> dict[str, int]:
         return {n: f.result() for n, f in futures.items()}
 
 
+KEYS = {"drug_class": "drug_class_id", "dosage_form": "dosage_form_id", "manufacturer": "manufacturer_id",
+        "indication": "indication_id", "generic": "generic_id", "medicine": "brand_id",
+        "medicine_package_size": "package_size_id", "medicine_package_container": "package_container_id",
+        "generic_indication": "generic_indication_id"}
+
+
+def refresh_catalog(tables, store: TableStore, names=TABLE_NAMES) -> dict[str, int]:
+    """Replace the store's catalog tables all at once: a reader, or a run after
+    a crash, sees those of one build.  Returns row counts."""
+    return store.refresh({n: tables[n] for n in names}, keys=KEYS)
+
+
 class LazyCatalog(Mapping):
     """The catalog as a mapping that builds each table on first access,
     together with what it depends on, and then keeps it.  Same tables and
@@ -290,17 +303,14 @@ def quality_checks(t: dict[str, DataFrame], groups=CHECK_GROUPS) -> DataFrame:
     aggregate (one scan per table, whatever groups are asked for)."""
     parts = []
     if "duplicates" in groups:
-        parts += [duplicate_count(t[tbl], keys, name) for name, tbl, keys in DUPLICATE_KEYS]
+        parts.append(duplicate_counts(t, DUPLICATE_KEYS))
     per_table: dict[str, dict] = {}
     for group, name, tbl, cond in row_conditions():
         if group in groups:
             per_table.setdefault(tbl, {})[name] = cond
     parts += [count_checks(t[tbl], conds) for tbl, conds in per_table.items()]
     if "fk" in groups:
-        by_child: dict[str, list] = {}
-        for name, c, fk, p, pk in FOREIGN_KEYS:
-            by_child.setdefault(c, []).append((name, fk, t[p], pk))
-        parts += [fk_checks(t[c], specs) for c, specs in by_child.items()]
+        parts.append(fk_counts(t, FOREIGN_KEYS))
     if "parse" in groups and "medicine_raw" in t:
         rejects = parse_rejects(t["medicine_raw"], t["medicine_package_container"],
                                 t["medicine_package_size"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,14 @@ from ..operators.children import parse_rejects, preview_first_block, preview_pac
 from ..operators.dims import dedupe_by_key
 from ..operators.joins import linked, unlinked
 from ..operators.keys import with_dense_key
-from ..operators.quality import count_checks, duplicate_count, fk_checks, row_counts
+from ..operators.quality import count_checks, duplicate_counts, fk_counts, row_counts
 from ..operators.reports import (group_counts, group_size_histogram, in_neither, joined_preview,
                                  oversized_groups, top_k, value_frequency, value_range)
+from ..sources.staging import new_folder
+from ..sources.store import TableStore
 from ..sources.tables import table
 from .analogues import analogue_sources
-from .catalog import TABLE_NAMES, LazyCatalog, quality_checks
+from .catalog import KEYS, TABLE_NAMES, LazyCatalog, quality_checks, refresh_catalog
 from .oracle import money, with_catalog
 
 _lock = threading.Lock()
@@ -683,9 +686,10 @@ SELECT 'orders (o_custkey, o_orderdate)', count(*) FROM
   (SELECT o_custkey, o_orderdate FROM orders GROUP BY ALL HAVING count(*) > 1)""", catalog_sql=False)
 def raw_duplicate_groups(spark, sf):
     li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    return (duplicate_count(li, ["l_orderkey", "l_linenumber"], "lineitem (l_orderkey, l_linenumber)")
-            .unionByName(duplicate_count(li, ["l_partkey", "l_suppkey"], "lineitem (l_partkey, l_suppkey)"))
-            .unionByName(duplicate_count(o, ["o_custkey", "o_orderdate"], "orders (o_custkey, o_orderdate)")))
+    return duplicate_counts({"lineitem": li, "orders": o}, [
+        ("lineitem (l_orderkey, l_linenumber)", "lineitem", ["l_orderkey", "l_linenumber"]),
+        ("lineitem (l_partkey, l_suppkey)", "lineitem", ["l_partkey", "l_suppkey"]),
+        ("orders (o_custkey, o_orderdate)", "orders", ["o_custkey", "o_orderdate"])])
 
 
 _RAW_FKS = [("fk orders.o_custkey", "orders", "o_custkey", "customer", "c_custkey"),
@@ -697,14 +701,8 @@ _RAW_FKS = [("fk orders.o_custkey", "orders", "o_custkey", "customer", "c_custke
 
 @query("raw_broken_fk", " UNION ALL ".join(_fk_sql(*f) for f in _RAW_FKS), catalog_sql=False)
 def raw_broken_fk(spark, sf):
-    by_child: dict[str, list] = {}
-    for n, c, fk, p, pk in _RAW_FKS:
-        by_child.setdefault(c, []).append((n, fk, table(spark, sf, p), pk))
-    parts = [fk_checks(table(spark, sf, c), specs) for c, specs in by_child.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = {n for _, c, _, p, _ in _RAW_FKS for n in (c, p)}
+    return fk_counts({n: table(spark, sf, n) for n in names}, _RAW_FKS)
 
 
 @query("raw_top_suppliers", _top_sql("s_name", "supplier", "s_suppkey", "lineitem", "l_suppkey",
@@ -824,3 +822,31 @@ SELECT CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS o
 def raw_dense_key_orders(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return with_dense_key(o, "order_seq", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+# ----------------------------------------------------------- stored tables
+
+@query("append_orders", """
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END, o_orderkey) AS BIGINT)
+         AS order_seq, o_orderkey, o_orderstatus FROM orders""", catalog_sql=False)
+def append_orders(spark, sf):
+    """Filled orders and then all others, appended as two batches; the second one is tried twice."""
+    store = TableStore(spark, new_folder(spark, "append-orders"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    filled = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    store.append("orders", orders.where(filled), "order_seq", ["o_orderkey"], "filled")
+    for _ in range(2):
+        store.append("orders", orders.where(~filled), "order_seq", ["o_orderkey"], "others")
+    return store.read("orders")
+
+
+@query("refresh_catalog", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count, CAST(max({KEYS[n]}) AS BIGINT) AS max_key FROM {n}" for n in TABLE_NAMES))
+def refresh_catalog_q(spark, sf):
+    """Rows and greatest keys of the stored catalog, after it was replaced as a whole."""
+    store = TableStore(spark, new_folder(spark, "catalog-store"))
+    refresh_catalog(catalog(spark, sf), store)
+    stored = store.snapshot()
+    parts = [stored[n].agg(F.count(F.lit(1)).alias("row_count"), F.max(KEYS[n]).cast("long").alias("max_key"))
+             .select(F.lit(n).alias("table_name"), "row_count", "max_key") for n in TABLE_NAMES]
+    return reduce(DataFrame.unionAll, parts)

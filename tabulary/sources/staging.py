@@ -15,11 +15,17 @@ from ..session import ensure_checkpoint_dir
 _staged: list[str] = []
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder in the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder and read it back."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,6 +8,7 @@ import tempfile
 from tabulary.__main__ import main
 from tabulary.plans.catalog import build_catalog
 from tabulary.sources.csv import read_sources
+from tabulary.sources.store import TableStore
 
 NB = " "
 
@@ -72,7 +73,7 @@ def test_command_line(spark, capsys):
     assert main(["build", _sources(), out]) == 0
     assert "ok  fk medicine.manufacturer_id: 0" in capsys.readouterr().out
     assert main(["validate", out]) == 0
-    assert spark.read.parquet(f"{out}/medicine").count() == 3
+    assert TableStore(spark, f"{out}/tables").read("medicine").count() == 3
 
 
 def test_command_line_published_expectations_fail_on_other_data(spark):

@@ -42,3 +42,43 @@ def test_fk_checks_count_broken_children(spark):
     specs = [("a broken", "a", p1, "pk"), ("b broken", "b", p2, "pk")]
     want = {"a broken": 2, "b broken": 2}
     assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
+
+
+def test_duplicates_of_many_key_sets_in_one_scan(spark):
+    from tabulary.operators.quality import duplicate_counts
+    rows = [("a", None, 1), (None, "a", 1), ("a", None, 2), ("b", "b", 3), ("b", "b", 3), (None, None, 4), (None, None, 5),
+            *(("hot", "x", 9) for _ in range(500))]
+    t = spark.createDataFrame(rows, "p string, q string, n long")
+    names = spark.createDataFrame([("Acme",), ("acme ",), ("Other",), (None,)], "name string") \
+        .select(F.collate("name", "UTF8_LCASE_RTRIM").alias("name"))
+    checks = [("p q", "t", ["p", "q"]), ("all", "t", ["p", "q", "n"]), ("n", "t", ["n"]), ("names", "names", ["name"]),
+              ("none", "e", ["p"])]
+    tables = {"t": t, "names": names, "e": t.limit(0)}
+    got = {r.check_name: r.issue_count for r in duplicate_counts(tables, checks).collect()}
+    want = {name: duplicate_count(tables[tbl], keys, name).first().issue_count for name, tbl, keys in checks}
+    assert got == want == {"p q": 4, "all": 2, "n": 3, "names": 1, "none": 0}
+
+
+def test_equal_hashes_of_different_keys_are_no_duplicates(spark, monkeypatch):
+    from tabulary.operators import quality
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    t = spark.createDataFrame([(1,), (2,), (2,), (3,)], "n long")
+    assert quality.duplicate_counts({"t": t}, [("n", "t", ["n"])]).first().issue_count == 1
+
+
+def test_foreign_keys_of_many_relations_in_one_aggregate(spark):
+    from tabulary.operators.quality import fk_counts
+    tables = {
+        "p": spark.createDataFrame([(1,), (2,), (2,), (None,)], "pk long"),
+        "q": spark.createDataFrame([("x",), ("y",)], "pk string"),
+        "c": spark.createDataFrame([(1, "x"), (7, "z"), (None, None), (2, None), *((7, "x") for _ in range(300))], "a int, b string"),
+        "e": spark.createDataFrame([], "a int"),
+    }
+    relations = [("a", "c", "a", "p", "pk"), ("b", "c", "b", "q", "pk"), ("e", "e", "a", "p", "pk"), ("e in none", "c", "a", "e", "a")]
+    got = {r.check_name: r.issue_count for r in fk_counts(tables, relations).collect()}
+    want = {n: fk_check(tables[c], fk, tables[p], pk, n).first().issue_count for n, c, fk, p, pk in relations}
+    assert got == want == {"a": 301, "b": 1, "e": 0, "e in none": 303}
+    only = fk_counts(tables, relations[:1])
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "partial_sum" in plan
+    assert only.first().issue_count == 301
