@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,60 +62,70 @@ def fk_checks(child: DataFrame, specs: list[tuple[str, str, DataFrame, str]]) ->
     return reduce(DataFrame.unionByName, [fk_check(child, fk, parent, pk, name) for name, fk, parent, pk in specs])
 
 
-def _collated(df: DataFrame, keys: list[str]) -> bool:
-    """Whether a key is text that compares under a collation: its hash doesn't."""
-    kinds = [df.schema[k].dataType for k in keys]
-    return any(isinstance(k, T.StringType) and k.simpleString() != "string" for k in kinds)
+def _as_longs(df: DataFrame, keys: list[str]) -> list[Column] | None:
+    """One or two columns of numbers or dates as longs, which stand for the
+    key; None for other keys."""
+    out = []
+    for k in keys:
+        kind = df.schema[k].dataType
+        if isinstance(kind, T.IntegralType):
+            out.append(F.col(k).cast("long"))
+        elif isinstance(kind, T.DateType):
+            out.append(F.unix_date(k).cast("long"))
+    return [*out, F.lit(None).cast("long")][:2] if len(out) == len(keys) <= 2 else None
+
+
+def _hashes(keys: list[str]) -> list[Column]:
+    """128 bits of hash.  A hash passes over nulls, so it is told where they are."""
+    seen = [x for k in keys for x in (F.col(k).isNull(), F.col(k))]
+    return [F.xxhash64(*seen), F.xxhash64(F.lit(1), *seen)]
 
 
 def duplicate_counts(tables: Mapping[str, DataFrame], checks: list[tuple[str, str, list[str]]]) -> DataFrame:
     """Number of duplicate groups for many key sets, ``checks`` = [(check_name,
     table, keys)], one row each (Q2-Q9, D8, D11).
 
-    A table is read once: each row gives a 128-bit hash of each of its key
-    sets, counted by (check, hash) in one aggregate over all tables.  Hashes
-    that stand more than once are staged; only their rows are read again, to
-    be counted by the key's values, so equal hashes of different keys don't
-    count.  Key sets with collated text are grouped as they are.
+    Each key set reads its own columns, as two longs: the key itself, or 128
+    bits of its hash.  One aggregate over all sets counts them by (check, key),
+    and what stands more than once is staged.  Rows whose hash is among that
+    are read again and counted by their values, so equal hashes of different
+    keys don't count (and text compares under its collation only then, so a
+    set with collated text is counted by its values alone).
     """
-    collated = [c for c in checks if _collated(tables[c[1]], c[2])]
-    if collated:
-        plain = [c for c in checks if c not in collated]
-        rest = [duplicate_count(tables[name], keys, check) for check, name, keys in collated]
-        return reduce(DataFrame.unionByName, [duplicate_counts(tables, plain), *rest] if plain else rest)
-    by_table: dict[str, list[tuple[int, list[str]]]] = {}
+    def collated(name: str, keys: list[str]) -> bool:
+        kinds = [tables[name].schema[k].dataType for k in keys]
+        return any(isinstance(k, T.StringType) and k.simpleString() != "string" for k in kinds)
+
+    exact, hashed, valued = {}, {}, {}
     for number, (_, name, keys) in enumerate(checks):
-        by_table.setdefault(name, []).append((number, keys))
-
-    def hashed(name: str, values: bool) -> DataFrame:
-        df = tables[name]
-        parts = []
-        for number, keys in by_table[name]:
-            own = [F.col(k) for k in keys]
-            # A hash passes over nulls, so it must be told where they are.
-            seen = [x for c in own for x in (c.isNull(), c)]
-            fields = [F.lit(number).alias("check"), F.xxhash64(*seen).alias("h1"), F.xxhash64(F.lit(1), *seen).alias("h2")]
-            if values:
-                fields.append(F.to_json(F.struct(*(c.alias(f"k{i}") for i, c in enumerate(own))),
-                                        {"ignoreNullFields": "false"}).alias("key"))
-            parts.append(F.struct(*fields))
-        return df.select(F.explode(F.array(*parts)).alias("x")).select("x.*")
-
-    repeated = staged(
-        reduce(DataFrame.unionAll, [hashed(n, False) for n in by_table])
-        .groupBy("check", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated-keys")
-    on = ["check", "h1", "h2"]
-    groups = (
-        reduce(DataFrame.unionAll, [hashed(n, True).join(repeated, on, "left_semi").select("check", "key") for n in by_table])
-        .groupBy("check", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("check", F.lit(1).alias("n")))
-    return _per_check(groups, [name for name, _, _ in checks])
-
-
-def _per_check(found: DataFrame, names: list[str]) -> DataFrame:
+        longs = _as_longs(tables[name], keys)
+        if collated(name, keys):
+            valued[number] = tables[name]
+        elif longs:
+            exact[number] = longs
+        else:
+            hashed[number] = _hashes(keys)
+    found = []
+    if exact or hashed:
+        keyed = [tables[checks[n][1]].select(F.lit(n).alias("check"), a.alias("a"), b.alias("b")) for n, (a, b) in {**exact, **hashed}.items()]
+        repeated = staged(
+            reduce(DataFrame.unionAll, keyed).groupBy("check", "a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
+            "repeated-keys")
+        found.append(repeated.where(F.col("check").isin(list(exact))).select("check", F.lit(1).alias("n")))
+        for row in repeated.where(F.col("check").isin(list(hashed))).select("check").distinct().collect():
+            df, n = tables[checks[row.check][1]], row.check
+            a, b = hashed[n]
+            again = repeated.where(F.col("check") == n).select(F.col("a").alias("__a"), F.col("b").alias("__b"))
+            valued[n] = df.select(*checks[n][2]).join(again, (a == F.col("__a")) & (b == F.col("__b")), "left_semi")
+    found += [duplicate_groups(df, checks[n][2]).select(F.lit(n).alias("check"), F.lit(1).alias("n")) for n, df in valued.items()]
+    return _per_check(found, [name for name, _, _ in checks], next(iter(tables.values())).sparkSession)
+
+
+def _per_check(found: list[DataFrame], names: list[str], spark: SparkSession) -> DataFrame:
     """The sum of ``n`` by ``check`` (a number), for all names: 0 where none was found."""
-    none = found.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("check"), F.lit(0).alias("n"))
+    none = spark.range(len(names)).select(F.col("id").cast("int").alias("check"), F.lit(0).alias("n"))
     label = F.get(F.array(*map(F.lit, names)), F.col("check"))
-    return (found.unionAll(none).groupBy("check").agg(F.sum("n").cast("long").alias("issue_count"))
+    return (reduce(DataFrame.unionAll, [none, *found]).groupBy("check").agg(F.sum("n").cast("long").alias("issue_count"))
             .select(label.alias("check_name"), "issue_count"))
 
 
@@ -123,26 +133,23 @@ def fk_counts(tables: Mapping[str, DataFrame], relations: list[tuple[str, str, s
     """Number of child rows with a broken foreign key for many ``relations``
     = [(check_name, child, fk, parent, pk)], one row each (Q25-Q32, C4).
 
-    Every table is read once.  Child keys and parent keys of all relations are
-    one tagged union, and one aggregate by (relation, key) keeps what has
-    children and no parent.  Keys are combined map-side, so a hot key is one
-    row a task; NULL keys aren't broken.
+    Child keys and parent keys of all relations, each read from its own
+    column, are one tagged union, and one aggregate by (relation, key) keeps
+    what has children and no parent.  Keys are combined map-side, so a hot key
+    is one row a task; NULL keys aren't broken.
     """
     kinds = [tables[p].schema[pk].dataType for _, _, _, p, pk in relations]
     common = "long" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
 
-    def side(table_: str, parent: bool) -> DataFrame:
-        own = [(n, (pk if parent else fk), kinds[n]) for n, (_, c, fk, p, pk) in enumerate(relations) if (p if parent else c) == table_]
-        keys = F.array(*(F.struct(F.lit(n).alias("check"), F.col(c).cast(kind).cast(common).alias("key")) for n, c, kind in own))
-        return (tables[table_].select(F.explode(keys).alias("x")).select("x.*").where("key IS NOT NULL")
-                .select("check", "key", F.lit(0 if parent else 1).cast("long").alias("n"), F.lit(parent).alias("parent")))
+    def side(number: int, table_: str, column: str, parent: bool) -> DataFrame:
+        return tables[table_].where(F.col(column).isNotNull()).select(
+            F.lit(number).alias("check"), F.col(column).cast(kinds[number]).cast(common).alias("key"),
+            F.lit(0 if parent else 1).cast("long").alias("n"), F.lit(parent).alias("parent"))
 
-    children = dict.fromkeys(c for _, c, _, _, _ in relations)
-    parents = dict.fromkeys(p for _, _, _, p, _ in relations)
-    tagged = reduce(DataFrame.unionAll, [*(side(c, False) for c in children), *(side(p, True) for p in parents)])
-    broken = (tagged.groupBy("check", "key").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    tagged = [side(n, *of) for n, (_, c, fk, p, pk) in enumerate(relations) for of in ((c, fk, False), (p, pk, True))]
+    broken = (reduce(DataFrame.unionAll, tagged).groupBy("check", "key").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
               .where("NOT parent").select("check", "n"))
-    return _per_check(broken, [name for name, *_ in relations])
+    return _per_check([broken], [name for name, *_ in relations], next(iter(tables.values())).sparkSession)
 
 
 def with_expectations(checks: DataFrame, expected: dict[str, int] | None = None) -> DataFrame:

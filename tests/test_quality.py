@@ -44,7 +44,7 @@ def test_fk_checks_count_broken_children(spark):
     assert {r.check_name: r.issue_count for r in fk_checks(child, specs).collect()} == want
 
 
-def test_duplicates_of_many_key_sets_in_one_scan(spark):
+def test_duplicates_of_many_key_sets_in_one_aggregate(spark):
     from tabulary.operators.quality import duplicate_counts
     rows = [("a", None, 1), (None, "a", 1), ("a", None, 2), ("b", "b", 3), ("b", "b", 3), (None, None, 4), (None, None, 5),
             *(("hot", "x", 9) for _ in range(500))]
@@ -52,17 +52,19 @@ def test_duplicates_of_many_key_sets_in_one_scan(spark):
     names = spark.createDataFrame([("Acme",), ("acme ",), ("Other",), (None,)], "name string") \
         .select(F.collate("name", "UTF8_LCASE_RTRIM").alias("name"))
     checks = [("p q", "t", ["p", "q"]), ("all", "t", ["p", "q", "n"]), ("n", "t", ["n"]), ("names", "names", ["name"]),
-              ("none", "e", ["p"])]
-    tables = {"t": t, "names": names, "e": t.limit(0)}
+              ("none", "e", ["p"]), ("longs", "l", ["d", "n"])]
+    tables = {"t": t, "names": names, "e": t.limit(0),
+              "l": spark.createDataFrame([(1, None), (None, 1), (1, None), (None, None), (None, None), (2, 2)], "i int, n long")
+              .select(F.date_from_unix_date("i").alias("d"), "n")}
     got = {r.check_name: r.issue_count for r in duplicate_counts(tables, checks).collect()}
     want = {name: duplicate_count(tables[tbl], keys, name).first().issue_count for name, tbl, keys in checks}
-    assert got == want == {"p q": 4, "all": 2, "n": 3, "names": 1, "none": 0}
+    assert got == want == {"p q": 4, "all": 2, "n": 3, "names": 1, "none": 0, "longs": 2}
 
 
 def test_equal_hashes_of_different_keys_are_no_duplicates(spark, monkeypatch):
     from tabulary.operators import quality
     monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
-    t = spark.createDataFrame([(1,), (2,), (2,), (3,)], "n long")
+    t = spark.createDataFrame([("1",), ("2",), ("2",), ("3",)], "n string")
     assert quality.duplicate_counts({"t": t}, [("n", "t", ["n"])]).first().issue_count == 1
 
 
