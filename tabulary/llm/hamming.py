@@ -65,22 +65,22 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int = MOST_
             .select("*", F.explode(F.lit(masks)).alias("mask")) \
             .withColumn("key", (F.col("s.j") * (1 << width)) + F.col("s.v").bitwiseXOR(F.col("mask").cast("long")))
 
-    index = staged(keys(entries.select("code"), "code", [0]).select("key", "code"), "index")
+    index = staged(keys(entries.select("code", F.col("ids")[0].alias("first")), "code", [0]).select("key", "code", "first"), "index")
     active = staged(asked.select(F.col("code").alias("query")).distinct(), "queries")
     done, best = None, None
     for s in range(width + 1):
         masks = [sum(1 << b for b in chosen) for chosen in combinations(range(width), s)]
         apart = [F.bit_count(segment(F.col("query").bitwiseXOR(F.col("code")), j)).cast("long") * m + j for j in range(m)]
         least = F.least(*apart) if m > 1 else apart[0]
+        # Always shuffled: the size of exploded keys can't be told from their file, and a common key's rows are split.
         found = (
-            keys(active, "query", masks).select("query", "s.j", "key").join(index, "key")
+            keys(active, "query", masks).select("query", "s.j", "key").hint("merge").join(index, "key")
             .where(least == s * m + F.col("j"))
-            .select("query", "code", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int").alias("distance")))
+            .select("query", "code", "first", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int").alias("distance")))
         if best is not None:
-            found = found.unionAll(best.join(active, "query", "left_semi").select("query", "code", "distance"))
-        found = found.join(entries.select("code", F.col("ids")[0].alias("first")), "code") \
-            .withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("distance", "first"))) \
-            .where(F.col("n") <= k + 1).select("query", "code", "distance")
+            found = found.unionAll(best.join(active, "query", "left_semi").select("query", "code", "first", "distance"))
+        found = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("distance", "first"))) \
+            .where(F.col("n") <= k + 1).select("query", "code", "first", "distance")
         best = staged(found, "found")
         covered = m * (s + 1) - 1
         sure = best.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("d")) \
