@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """Names for helper columns: ``names``, led by as many underscores as it takes to clash with none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    lead = ""
+    while any(f"{lead}{n}".lower() in taken for n in names):
+        lead += "_"
+    return [lead + n for n in names]
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder of the session."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import drop_staged, staged
+from tabulary.llm.common import drop_staged, free_names, staged
 
 
 def _words(line: Column) -> Column:
@@ -136,12 +136,13 @@ def dropped_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     common = halves.groupBy("half").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("half")
     able = halves.join(common, "half", "left_semi").select("h1").distinct()
     wanted = distinct.join(able, "h1", "left_semi") \
-        .groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("at"))
+        .groupBy(F.col("first.doc_id").alias("in_doc"), F.col("first.text_key").alias("in_text")) \
+        .agg(F.collect_list(F.struct("first", "h1", "h2")).alias("at"))
     words = staged(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-        .select(F.xxhash64("text").alias("text_key"), F.split("text", "\n").alias("lines"), "at")
-        .select("text_key", "lines", F.explode("at").alias("at"))
-        .where("text_key = at.first.text_key")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.xxhash64("text") == F.col("in_text")))
+        .select(F.split("text", "\n").alias("lines"), "at")
+        .select("lines", F.explode("at").alias("at"))
         .select("at.*", _words(F.get("lines", F.col("at.first.pos"))).alias("words"))
         .dropDuplicates(["h1", "h2"]), "words")
 
@@ -176,21 +177,22 @@ def dedup_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     goes if an earlier one is equal or near, whether or not that one stays.
     Lines without a word stay.  A null text stays null; repeated rows are one
     document, so they don't take each other's lines; rows without a doc_id come
-    first and lose nothing.  Other columns are kept, ``text`` is replaced.
+    first and lose nothing.  Other columns are kept, ``text`` is replaced, and so
+    are columns that have the name of a result.
     """
-    drops = dropped_lines(docs, min_words).select(
-        F.col("doc_id").alias("_drop_doc"), F.col("text_key").alias("_drop_text"),
-        F.col("drop").alias("_drop"), F.col("n_near").alias("_near"))
-    joined = docs.join(drops, (F.col("doc_id").cast("long") == F.col("_drop_doc"))
-                       & (F.xxhash64("text") == F.col("_drop_text")), "left")
+    results = ("lines_before", "lines_exact", "lines_near")
+    docs = docs.drop(*results)
+    of_doc, of_text, drop, n_near, all_lines = free_names(docs.columns, "of_doc", "of_text", "drop", "n_near", "lines")
+    drops = dropped_lines(docs, min_words).toDF(of_doc, of_text, drop, n_near)
+    joined = docs.join(drops, (F.col("doc_id").cast("long") == F.col(of_doc)) & (F.xxhash64("text") == F.col(of_text)), "left")
     # a generator of one row keeps the split from being evaluated again for each line below
-    joined = joined.select("*", F.explode(F.array(F.coalesce(F.split("text", "\n"), F.array()))).alias("_lines"))
-    lines = F.col("_lines")
-    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")))
-    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(
+    joined = joined.select("*", F.explode(F.array(F.coalesce(F.split("text", "\n"), F.array()))).alias(all_lines))
+    lines = F.col(all_lines)
+    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop)))
+    text = F.when(F.col(drop).isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
-    gone, near = F.coalesce(F.size("_drop"), F.lit(0)).cast("long"), F.coalesce("_near", F.lit(0)).cast("long")
-    gone = F.when(F.col("_drop").isNull(), F.lit(0).cast("long")).otherwise(gone)
+    near = F.coalesce(n_near, F.lit(0)).cast("long")
+    gone = F.when(F.col(drop).isNull(), F.lit(0)).otherwise(F.size(drop)).cast("long")
     return joined.select(
         *(text.alias("text") if c == "text" else F.col(c) for c in docs.columns),
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("lines_before"),
