@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import staged
+from tabulary.llm.common import free_names, staged
 
 #: A token here is a run of characters other than blank, tab, line break, VT, FF and CR.
 TOKEN = r"[^ \t\n\x0B\f\r]+"
@@ -138,16 +138,18 @@ def mix(docs: DataFrame, entropy: float | None = None, repeats: float | None = N
     adds ``mix_place``: a source's block is its rows in the order of their places.
 
     Documents whose places are equal (the same doc_id) go in together.  A last
-    block never goes over its budget.  A null text has no tokens.
+    block never goes over its budget.  A null text has no tokens.  Columns of
+    ``docs`` that have the name of a result are replaced.
     """
+    docs = docs.drop("mix_block", "mix_tokens", "mix_place")
+    of, blocks, left, until = free_names(docs.columns, "of_source", "blocks", "left", "until")
     planned = plan(docs, entropy, repeats, budget, seed).select(
-        F.col("source").alias("_mix_source"), F.col("blocks").alias("_mix_blocks"),
-        F.col("left").alias("_mix_left"), F.col("until").alias("_mix_until"))
-    place = _place(seed, F.col("_mix_blocks"), F.col("doc_id"))
-    part = (F.col("_mix_left") > 0) & (F.col("_mix_until").isNull() | (place < F.col("_mix_until")))
-    most = F.col("_mix_blocks") + F.when(part, 1).otherwise(0) - 1
+        F.col("source").alias(of), F.col("blocks").alias(blocks), F.col("left").alias(left), F.col("until").alias(until))
+    place = _place(seed, F.col(blocks), F.col("doc_id"))
+    part = (F.col(left) > 0) & (F.col(until).isNull() | (place < F.col(until)))
+    most = F.col(blocks) + F.when(part, 1).otherwise(0) - 1
     mixed = (
-        docs.join(F.broadcast(planned), F.col("source").eqNullSafe(F.col("_mix_source")))
+        docs.join(F.broadcast(planned), F.col("source").eqNullSafe(F.col(of)))
         .where(most >= 0)
         .select(*(F.col(c) for c in docs.columns), _tokens("text").alias("mix_tokens"),
                 F.explode(F.sequence(F.lit(0).cast("long"), most)).alias("mix_block")))
