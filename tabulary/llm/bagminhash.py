@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulary.llm.common import held, in_slices, staged
+from tabulary.llm.common import drop_staged, held, in_slices, staged
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -188,7 +188,12 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) ->
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Of every linked node: node and class (its component's least node).
+    """Of every linked node: node and class (its component's least node)."""
+    return _components(links)[1]
+
+
+def _components(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components, and first the staged table that they are read from.
 
     Alternates the two star operations until nothing changes: each node's
     larger neighbours are linked to its least neighbour, then its smaller ones.
@@ -206,22 +211,24 @@ def components(links: DataFrame) -> DataFrame:
             F.struct(F.col("a").alias("x"), F.col("m").alias("y")),
             F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e")) \
             .select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).where("a <> b").distinct()
-        edges = staged(small, "links")
+        last, edges = edges, staged(small, "links")
+        if before is not None:
+            drop_staged(last)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             break
         before = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("class")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("class")).unionAll(roots)
+    return edges, edges.select(F.col("a").alias("node"), F.col("b").alias("class")).unionAll(roots)
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
-                    registers: int = 128, rows: int = 4, rounds: int = 6) -> DataFrame:
+                    registers: int = 128, rows: int = 5, rounds: int = 6) -> DataFrame:
     """Per row: doc_id and class_id, the least doc_id of its near-duplicate class.
 
     Documents are linked if the multisets of their shingles have at least
     ``similarity``; a class is a component of links.  A pair at 0.8 shares no
-    band with probability 5e-8.  Texts that differ in white space only are
+    band with probability 5e-5.  Texts that differ in white space only are
     equal.  A null text and one without a word are classes of their own.
     Repeated rows are one document, and so are rows that share a doc_id; rows
     with a null doc_id are left out.  Other columns play no part.
@@ -237,7 +244,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
     texts = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                    .where("text IS NOT NULL").join(wanted, "doc_id", "left_semi"), "texts")
 
-    tested = links = found = None
+    tested = links = edges = found = None
+    tables = [shared, texts]
     for turn in range(rounds + 1):
         members = shared.withColumn("class", F.col("node")) if found is None else \
             shared.join(found, "node", "left").withColumn("class", F.coalesce("class", "node"))
@@ -268,12 +276,16 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
+        tables.append(pairs)
         tested = pairs if tested is None else tested.unionAll(pairs)
         good = verify(pairs, texts, size, similarity)
+        used = [x for x in (links, edges) if x is not None]
         links = staged(good if links is None else links.unionAll(good), "verified")
-        found = components(links)
+        edges, found = _components(links)
+        drop_staged(*used)
         if last:
             break
+    drop_staged(*tables, *([] if links is None else [links]))
 
     return (
         signed.select("doc_id", "words")
