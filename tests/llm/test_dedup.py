@@ -29,6 +29,25 @@ def test_lines_of_odd_rows(odd, none):
     assert line_dedup.dedup_lines(odd).columns[:len(odd.columns)] == odd.columns
 
 
+def test_lines_first_seen_in_rows_without_an_id(spark):
+    """A row without a doc_id is the earliest place of its lines, for equal and for near ones."""
+    line = "one two three four five six seven eight nine"
+    rows = [(None, line), (7, line), (12, line.replace("five", "FIVE")), (None, "other\n" + line), (13, line + " ten")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert lines_found(df) == Counter(brute.dedup_lines(rows, hashes(df)))
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect() if r.doc_id} == {7: "", 12: "", 13: ""}
+
+
+def test_columns_named_like_helpers_and_results(spark):
+    names = ["_lines", "_drop", "lines", "drop", "n_near", "of_doc", "of_text", "_OF_TEXT", "in_doc", "at", "first", "h1", "text_key"]
+    rows = [(1, "a b\nc", *names, "x"), (2, "a b\nd", *names, "x")]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names) + ", lines_near string"
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, schema))
+    assert got.columns == ["doc_id", "text", *names, "lines_before", "lines_exact", "lines_near"]
+    assert sorted((r.text, r["lines"], r._lines, r.lines_exact) for r in got.collect()) == [
+        ("a b\nc", "lines", "_lines", 0), ("d", "lines", "_lines", 1)]
+
+
 def test_edited_lines(spark):
     """Insertions, deletions and replacements at every place, repeated words,
     a template with many fillings, and short lines that stay."""

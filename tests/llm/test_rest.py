@@ -80,6 +80,15 @@ def test_mixture_of_odd_rows(odd, none):
     assert mixing.mix(none, repeats=2.0).count() == 0
 
 
+def test_mixture_of_columns_named_like_helpers_and_results(spark):
+    names = ["_mix_source", "_mix_until", "of_source", "blocks", "_blocks", "left", "until", "docs", "tokens"]
+    schema = "doc_id long, source string, text string, " + ", ".join(f"`{n}` string" for n in names) + ", mix_block string, mix_place string"
+    rows = [(i, f"s{i % 2}", "a b c", *names, "x", "y") for i in range(6)]
+    got = mixing.mix(spark.createDataFrame(rows, schema), repeats=2.0)
+    assert got.columns == ["doc_id", "source", "text", *names, "mix_tokens", "mix_block"]
+    assert {(r.blocks, r.left, r.mix_tokens, r.mix_block) for r in got.collect()} == {("blocks", "left", 3, 0)}
+
+
 def test_blocks_are_permutations(spark, docs):
     """Places are md5(seed, block, doc_id), another order in each block; the query gives that order."""
     def place(block, doc_id):
@@ -345,6 +354,19 @@ def test_near_dedup_loses_no_document(spark):
         assert Counter(map(tuple, out.collect())) == want
 
 
+def test_near_dedup_of_maps_and_columns_named_like_helpers(spark):
+    text = "one two three four five six seven"
+    names = ["_own", "_id", "_key", "own", "id", "of", "row"]
+    schema = "doc_id long, text string, m map<string,array<map<string,int>>>, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(1, text, {"a": [{"b": 1}]}, *names), (1, text, {"a": [{"b": 0}]}, *names), (1, text, None, *names),
+            (3, "another text", {}, *names), (2, text, {}, *names), (None, "alone", {}, *names), (None, "alone", {}, *names)]
+    df = spark.createDataFrame(rows, schema)
+    got = corpus_pipeline.near_duplicates(spark, df, SF)
+    assert got.columns == df.columns
+    kept = sorted(((r.doc_id, r.text, r.m, r._own, r.own) for r in got.collect()), key=str)
+    assert kept == sorted([(1, text, None, "_own", "own"), (3, "another text", {}, "_own", "own"), (None, "alone", {}, "_own", "own")], key=str)
+
+
 def test_stages_keep_the_columns_of_odd_rows(spark, odd, none):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language ID", "line dedup", "MinHash near-dedup", "source mixing", "byte-level BPE"]
