@@ -10,9 +10,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulary.llm import bagminhash, bpe, langid, line_dedup, mixing
-from tabulary.llm.common import staged, table
+from tabulary.llm.common import free_names, staged, table
 from tabulary.operators.keys import with_dense_key
 
 #: The most often a source's tokens are repeated in the mixture.
@@ -32,24 +33,32 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
-def _own_ids(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_own``, an id of each doc_id and text: the doc_id, but one
+def _own_ids(docs: DataFrame, own: str) -> DataFrame:
+    """``docs`` with ``own``, an id of each doc_id and text: the doc_id, but one
     behind all doc_ids for further texts of a doc_id and for rows without one."""
-    doc_id = F.col("doc_id").cast("long")
-    keyed = docs.withColumn("_id", doc_id).withColumn("_key", F.xxhash64("text"))
-    pairs = keyed.select("_id", "_key").distinct()
-    several = pairs.where("_id IS NOT NULL").groupBy("_id") \
-        .agg(F.min("_key").alias("least"), F.max("_key").alias("most")).where("least <> most")
+    doc_id, key = F.col("doc_id").cast("long"), F.xxhash64("text")
+    pairs = docs.select(doc_id.alias("id"), key.alias("key")).distinct()
+    several = pairs.where("id IS NOT NULL").groupBy("id") \
+        .agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most")
     others = staged(
-        pairs.join(several, "_id").where("_key <> least").select("_id", "_key")
-        .unionAll(pairs.where("_id IS NULL")), "other-ids")
+        pairs.join(several, "id").where("key <> least").select("id", "key")
+        .unionAll(pairs.where("id IS NULL")), "other-ids")
     if others.isEmpty():
-        return docs.withColumn("_own", doc_id)
+        return docs.withColumn(own, doc_id)
     last = docs.agg(F.max(doc_id)).first()[0] or 0
-    numbered = with_dense_key(others, "_new", [F.col("_id").asc_nulls_last(), F.col("_key")], start=last) \
-        .select(F.col("_id").alias("_of"), F.col("_key").alias("_of_key"), "_new")
-    return keyed.join(numbered, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_of_key")), "left") \
-        .select(*docs.columns, F.coalesce("_new", "_id").alias("_own"))
+    of, of_key, new = free_names([*docs.columns, own], "of", "of_key", "new")
+    numbered = with_dense_key(others, "new", [F.col("id").asc_nulls_last(), F.col("key")], start=last) \
+        .select(F.col("id").alias(of), F.col("key").alias(of_key), F.col("new").alias(new))
+    return docs.join(numbered, doc_id.eqNullSafe(F.col(of)) & (key == F.col(of_key)), "left") \
+        .select(*docs.columns, F.coalesce(F.col(new), doc_id).alias(own))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,13 +66,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Different texts of one doc_id are documents of their own, and so are texts
     without a doc_id; those come behind all doc_ids.  Of rows with the same
-    doc_id and text the one whose columns are least stays.
+    doc_id and text the one whose columns are least stays (columns with maps
+    compare as JSON).
     """
-    own = _own_ids(docs)
-    first = bagminhash.near_duplicates(own.select(F.col("_own").alias("doc_id"), "text")) \
-        .where("doc_id = class_id").select(F.col("doc_id").alias("_own")).distinct()
-    return own.join(first, "_own", "left_semi") \
-        .groupBy("_own").agg(F.min(F.struct(*docs.columns)).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    (own,) = free_names(docs.columns, "own")
+    marked = _own_ids(docs, own)
+    first = bagminhash.near_duplicates(marked.select(F.col(own).alias("doc_id"), "text")) \
+        .where("doc_id = class_id").select(F.col("doc_id").alias(own)).distinct()
+    order = [F.to_json(F.struct(f"`{f.name}`")) if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    row = F.struct(*(f"`{c}`" for c in docs.columns))
+    return marked.join(first, own, "left_semi").groupBy(own) \
+        .agg(F.min_by(row, F.struct(*order)).alias("kept")).select("kept.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
