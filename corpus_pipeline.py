@@ -73,7 +73,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     marked = _own_ids(docs, own)
     first = bagminhash.near_duplicates(marked.select(F.col(own).alias("doc_id"), "text")) \
         .where("doc_id = class_id").select(F.col("doc_id").alias(own)).distinct()
-    order = [F.to_json(F.struct(f"`{f.name}`")) if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    order = [F.when(F.col(f"`{f.name}`").isNotNull(), F.to_json(F.struct(f"`{f.name}`"))) if _has_map(f.dataType)
+             else F.col(f"`{f.name}`") for f in docs.schema.fields]
     row = F.struct(*(f"`{c}`" for c in docs.columns))
     return marked.join(first, own, "left_semi").groupBy(own) \
         .agg(F.min_by(row, F.struct(*order)).alias("kept")).select("kept.*")
