@@ -54,7 +54,7 @@ def parse_pack_sizes(df: DataFrame, parent_key: str = "brand_id", text: str = "p
                 .select(parent_key, *keep, "pos", block_size(F.col("b")).alias("pack_size"),
                         block_price(F.col("b")).alias("pack_price")))
 
-    return with_inherited_key(df, key, rows, [parent_key, "pos"]).drop("pos")
+    return derived(with_inherited_key(df, key, rows, [parent_key, "pos"]), lambda f: f.drop("pos"))
 
 
 def preview_pack_blocks(df: DataFrame, parent_key: str = "brand_id",
@@ -98,7 +98,7 @@ def parse_containers(df: DataFrame, parent_key: str = "brand_id",
                         F.when(seg.isNull(), F.col("__unit")).otherwise(segment_price(seg)).alias("unit_price"))
                 .withColumn("container_type", classify_container(F.col("container_size"))))
 
-    return with_inherited_key(df, key, rows, [parent_key, "pos"]).drop("pos")
+    return derived(with_inherited_key(df, key, rows, [parent_key, "pos"]), lambda f: f.drop("pos"))
 
 
 def parse_rejects(raw: DataFrame, containers: DataFrame, packs: DataFrame,

@@ -21,6 +21,7 @@ key = children of earlier blocks + position in the block.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,34 @@ from ..sources.staging import staged
 _FILE, _BLOCK = "__pid", "__block"
 
 
+@dataclass(frozen=True)
+class KeyOrder:
+    """How a staged table lies in the order of its keys: the row counts of its
+    parts, and a function from a condition on the parts to the rows of those
+    for which it holds (the condition is pushed into the scan)."""
+
+    parts: tuple[tuple[Column, int], ...]        # (whether a row is in this part or an earlier one, rows of the part)
+    rows: Callable[[Column], DataFrame]
+
+    def first(self, n: int) -> tuple[DataFrame, bool]:
+        """The least whole parts with ``n`` rows, and whether they are all."""
+        seen = 0
+        for k, (upto, own) in enumerate(self.parts):
+            seen += own
+            if seen >= n:
+                return self.rows(upto), k + 1 == len(self.parts)
+        return self.rows(F.lit(True)), True
+
+    def upto(self, key: int, start: int = 0) -> DataFrame:
+        """The least whole parts with the keys to ``key``, of keys that go on from ``start``."""
+        return self.first(key - start)[0]
+
+
+def key_order(df: DataFrame) -> KeyOrder | None:
+    """The order of a table from this module, if it is known."""
+    return df.__dict__.get("_key_order")
+
+
 def _order_cols(order: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
@@ -62,6 +91,8 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
             (start_col + F.col("__base") + F.col("__pos") + F.lit(1)).alias(key), *df.columns, *more)
 
     out = keyed(placed)
+    out.__dict__["_key_order"] = KeyOrder(
+        tuple((F.col(_FILE) <= p, counts[p]) for p in pids), lambda part: keyed(placed.where(part)))
     out.__dict__["_in_order"] = keyed(placed.select("*", F.col("_metadata.file_block_start").alias(_BLOCK)), _FILE, _BLOCK)
     if isinstance(start, int):
         out.__dict__["_known_max_key"] = start + sum(counts.values())
@@ -69,11 +100,14 @@ def with_dense_key(df: DataFrame, key: str, order: list[str | Column],
 
 
 def derived(df: DataFrame, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``make(df)``, where ``make`` only adds or replaces columns: the rows keep
-    the order of their keys for :func:`with_inherited_key`."""
+    """``make(df)``, where ``make`` only adds, replaces or drops columns: what is
+    known of the order of the rows' keys is known of the result (for
+    :func:`with_inherited_key` if ``make`` hands other columns on)."""
     out = make(df)
-    if (ordered := df.__dict__.get("_in_order")) is not None:
-        out.__dict__["_in_order"] = make(ordered)
+    if (ordered := df.__dict__.get("_in_order")) is not None and _FILE in (made := make(ordered)).columns:
+        out.__dict__["_in_order"] = made
+    if (order := key_order(df)) is not None:
+        out.__dict__["_key_order"] = KeyOrder(order.parts, lambda part: make(order.rows(part)))
     return out
 
 
@@ -101,8 +135,15 @@ def with_inherited_key(parents: DataFrame, key: str, children: Callable[[DataFra
     table_ = parents.sparkSession.createDataFrame(
         [(f, b, base - first) for (f, b, _, first, _), base in zip(blocks, offsets, strict=False)],
         f"{_FILE} int, {_BLOCK} long, __base long")
-    out = placed.join(F.broadcast(table_), [_FILE, _BLOCK]).select(
-        (F.col("__base") + F.col("__pos") + F.lit(1)).alias(key), *columns)
+
+    def keyed(part: DataFrame) -> DataFrame:
+        return part.join(F.broadcast(table_), [_FILE, _BLOCK]).select(
+            (F.col("__base") + F.col("__pos") + F.lit(1)).alias(key), *columns)
+
+    out = keyed(placed)
+    out.__dict__["_key_order"] = KeyOrder(tuple(
+        ((F.col(_FILE) < f) | ((F.col(_FILE) == f) & (F.col(_BLOCK) <= b)), n) for f, b, n, _, _ in blocks),
+        lambda part: keyed(placed.where(part)))
     out.__dict__["_known_max_key"] = sum(n for _, _, n, _, _ in blocks)
     return out
 

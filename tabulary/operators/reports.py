@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import child_keys
+from .keys import key_order
 
 
 def group_counts(parent: DataFrame, pk: str, label: str, child: DataFrame, fk: str,
@@ -71,11 +72,27 @@ def joined_preview(parent: DataFrame, child: DataFrame, key: str, cols: list[str
     rows that have a parent (a semi join: only keys are shuffled), and only
     those ``k`` rows are joined to the parent, broadcast.  Otherwise the full
     join is ordered.
+
+    If the order begins with ``key`` and the staged children lie in it
+    (``with_inherited_key``), their first parts are read alone, and more of
+    them until ``k`` rows with a parent are there; of parents that lie in the
+    order of ``key`` only the parts up to the last of these are read.
     """
     ordering = [F.col(c).asc_nulls_first() for c in order]
-    if all(c in child.columns for c in order):
-        top = (child.join(parent.select(key), key, "left_semi")
-               .orderBy(*ordering).limit(k))
-        return (F.broadcast(top).join(parent, key, "inner").select(*cols)
-                .orderBy(*ordering))
-    return parent.join(child, key, "inner").select(*cols).orderBy(*ordering).limit(k)
+    if not all(c in child.columns for c in order):
+        return parent.join(child, key, "inner").select(*cols).orderBy(*ordering).limit(k)
+    kept, of = key_order(child), parent
+    if kept is not None and order[0] == key:
+        want, rows, whole = k, [], False
+        while len(rows) < k and not whole:
+            part, whole = kept.first(want)
+            of = parent
+            if (parents := key_order(parent)) is not None:
+                of = parents.upto(part.agg(F.max(key)).first()[0] or 0)
+            # At most k rows, which the report consists of.
+            top = part.join(of.select(key), key, "left_semi").orderBy(*ordering).limit(k)
+            rows, want = top.collect(), 8 * want
+        top = child.sparkSession.createDataFrame(rows, top.schema)
+    else:
+        top = child.join(parent.select(key), key, "left_semi").orderBy(*ordering).limit(k)
+    return F.broadcast(top).join(of, key, "inner").select(*cols).orderBy(*ordering)

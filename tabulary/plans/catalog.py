@@ -24,7 +24,7 @@ from ..operators.children import (parse_containers, parse_pack_sizes, parse_reje
                                   prepare_medicine)
 from ..operators.dims import backfill_dimension, collated, dedupe_by_key, load_dimension
 from ..operators.joins import build_junction, resolve_fk
-from ..operators.keys import with_dense_key
+from ..operators.keys import derived, with_dense_key
 from ..sources.sinks import write_table
 from ..sources.store import TableStore
 from ..operators.quality import count_checks, duplicate_counts, fk_counts, with_expectations
@@ -95,6 +95,10 @@ def build_medicine_raw(medicine_src: DataFrame, dims: dict[str, DataFrame], coll
     return prepare_medicine(keyed)
 
 
+def _public(medicine_raw: DataFrame) -> DataFrame:
+    return derived(medicine_raw, lambda f: f.select(*MEDICINE_COLUMNS))
+
+
 def build_catalog(sources: dict[str, DataFrame],
                   collation: str | None = None) -> dict[str, DataFrame]:
     """The nine catalog tables (plus ``medicine_raw``, the hand-off between the
@@ -117,7 +121,7 @@ def build_catalog(sources: dict[str, DataFrame],
         containers = pool.submit(parse_containers, raw)
         return {
             **dims,
-            "medicine": raw.select(*MEDICINE_COLUMNS),
+            "medicine": _public(raw),
             "medicine_package_size": packs.result(),
             "medicine_package_container": containers.result(),
             "generic_indication": junction.result(),
@@ -207,7 +211,7 @@ class LazyCatalog(Mapping):
             b[name] = build_medicine_raw(src["medicine"], dict(zip(deps, self._all(*deps))),
                                          coll)
         elif name == "medicine":
-            b[name] = self["medicine_raw"].select(*MEDICINE_COLUMNS)
+            b[name] = _public(self["medicine_raw"])
         elif name == "medicine_package_size":
             b[name] = parse_pack_sizes(self["medicine_raw"])
         elif name == "medicine_package_container":

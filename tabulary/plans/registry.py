@@ -21,6 +21,7 @@ from ..functions.containers import (PACK_OPEN, PRICE_FRAGMENT, pattern_after_cle
                                     pattern_before_insert)
 from ..functions.text import TAKA, has_non_ascii, is_null_or_blank
 from ..operators.children import parse_rejects, preview_first_block, preview_pack_blocks
+from ..operators.bitmaps import summary
 from ..operators.dims import dedupe_by_key
 from ..operators.joins import linked, unlinked
 from ..operators.keys import with_dense_key
@@ -316,11 +317,14 @@ SELECT count(*) AS total_rows,
        count(DISTINCT brand_id) AS distinct_medicines
 FROM medicine_package_size""")
 def profile_child_pack(spark, sf):
-    t = _t(spark, sf, "medicine_package_size")
-    return t.agg(F.count(F.lit(1)).alias("total_rows"),
-                 F.count_if(F.col("pack_size").isNull()).alias("null_pack_size"),
-                 F.count_if(F.col("pack_price").isNull()).alias("null_pack_price"),
-                 F.count_distinct("brand_id").alias("distinct_medicines"))
+    return _child_profile(_t(spark, sf, "medicine_package_size"), ["pack_size", "pack_price"])
+
+
+def _child_profile(child: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, NULLs by column and distinct medicines."""
+    s = summary(child, "brand_id", "distinct_medicines",
+                {"total_rows": ("count", "*"), **{c: ("count", c) for c in columns}})
+    return s.select("total_rows", *((F.col("total_rows") - F.col(c)).alias(f"null_{c}") for c in columns), "distinct_medicines")
 
 
 @query("profile_child_container", """
@@ -331,12 +335,7 @@ SELECT count(*) AS total_rows,
        count(DISTINCT brand_id) AS distinct_medicines
 FROM medicine_package_container""")
 def profile_child_container(spark, sf):
-    t = _t(spark, sf, "medicine_package_container")
-    return t.agg(F.count(F.lit(1)).alias("total_rows"),
-                 F.count_if(F.col("container_size").isNull()).alias("null_container_size"),
-                 F.count_if(F.col("unit_price").isNull()).alias("null_unit_price"),
-                 F.count_if(F.col("container_type").isNull()).alias("null_container_type"),
-                 F.count_distinct("brand_id").alias("distinct_medicines"))
+    return _child_profile(_t(spark, sf, "medicine_package_container"), ["container_size", "unit_price", "container_type"])
 
 
 # ---------------------------------------------------------- quality checks
@@ -653,12 +652,9 @@ SELECT count(*) AS total_rows, count(DISTINCT brand_id) AS distinct_medicines,
        min(pack_price) AS min_pack_price, max(pack_price) AS max_pack_price
 FROM medicine_package_size""")
 def pack_summary(spark, sf):
-    t = _t(spark, sf, "medicine_package_size")
-    return t.agg(F.count(F.lit(1)).alias("total_rows"),
-                 F.count_distinct("brand_id").alias("distinct_medicines"),
-                 F.min("pack_size").alias("min_pack_size"), F.max("pack_size").alias("max_pack_size"),
-                 F.min("pack_price").alias("min_pack_price"),
-                 F.max("pack_price").alias("max_pack_price"))
+    return summary(_t(spark, sf, "medicine_package_size"), "brand_id", "distinct_medicines", {
+        "total_rows": ("count", "*"), "min_pack_size": ("min", "pack_size"), "max_pack_size": ("max", "pack_size"),
+        "min_pack_price": ("min", "pack_price"), "max_pack_price": ("max", "pack_price")})
 
 
 @query("container_summary", """
@@ -666,11 +662,8 @@ SELECT count(*) AS total_rows, count(DISTINCT brand_id) AS distinct_medicines,
        min(unit_price) AS min_unit_price, max(unit_price) AS max_unit_price
 FROM medicine_package_container""")
 def container_summary(spark, sf):
-    t = _t(spark, sf, "medicine_package_container")
-    return t.agg(F.count(F.lit(1)).alias("total_rows"),
-                 F.count_distinct("brand_id").alias("distinct_medicines"),
-                 F.min("unit_price").alias("min_unit_price"),
-                 F.max("unit_price").alias("max_unit_price"))
+    return summary(_t(spark, sf, "medicine_package_container"), "brand_id", "distinct_medicines", {
+        "total_rows": ("count", "*"), "min_unit_price": ("min", "unit_price"), "max_unit_price": ("max", "unit_price")})
 
 
 # ------------------------------------- the same operators on the raw tables

@@ -5,7 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tabulary.operators.keys import derived, known_max_key, with_dense_key, with_inherited_key
+from tabulary.operators.keys import KeyOrder, derived, key_order, known_max_key, with_dense_key, with_inherited_key
+from tabulary.operators.reports import joined_preview
 
 
 def test_dense_key_follows_order_across_partitions(spark):
@@ -94,3 +95,40 @@ def test_inherited_keys_of_no_children(spark):
     parents = with_dense_key(spark.createDataFrame([("a",), ("b",)], "name string"), "id", ["name"])
     out = with_inherited_key(parents, "k", lambda f, keep: f.select("id", *keep, F.lit(0).alias("pos")).where("id > 9"), ["id", "pos"])
     assert out.count() == 0 and out.columns == ["k", "id", "pos"]
+
+
+def _ordered_tables(spark, parents=12000, first_with_children=0):
+    names = spark.range(parents).select(F.format_string("n%06d", "id").alias("name"), F.col("id").alias("i")).repartition(6)
+    parent = with_dense_key(names, "id", ["name"], num_partitions=6)
+    child = with_inherited_key(
+        parent, "child_id", lambda f, keep: f.where(f"i >= {first_with_children}").select("id", *keep, F.posexplode(
+            F.transform(F.sequence(F.lit(0), F.lit(2)), lambda x: (x * 7 + F.col("i")) % 3)).alias("pos", "v")), ["id", "pos"])
+    return parent, derived(child, lambda f: f.drop("pos"))
+
+
+def test_the_first_parts_of_a_table_in_key_order(spark):
+    parent, child = _ordered_tables(spark)
+    part, whole = key_order(child).first(10)
+    keys = sorted(r.child_id for r in part.select("child_id").collect())
+    assert not whole and 10 <= len(keys) < 36000 and keys == list(range(1, len(keys) + 1))
+    assert "LessThan" in part._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1].split("ReadSchema")[0]
+    assert key_order(child).first(36000)[1] and key_order(child).first(10 ** 9)[0].count() == 36000
+    head = sorted(r.id for r in key_order(parent).upto(10).select("id").collect())
+    assert head == list(range(1, len(head) + 1)) and 10 <= len(head) < 12000
+
+
+@pytest.mark.parametrize("first_with_children, hidden", [(0, 0), (11990, 0), (0, 9000), (0, 12000), (12000, 0)])
+def test_previews_read_the_first_parts_and_equal_the_full_join(spark, first_with_children, hidden, monkeypatch):
+    """Children from late parents on, and parents that are there from a late key on."""
+    parent, child = _ordered_tables(spark, first_with_children=first_with_children)
+    if hidden:
+        there = parent.where(F.col("id") > hidden)          # no order is known of it
+    else:
+        there = parent
+    order = ["id", "v", "child_id"]
+    read, first = [], KeyOrder.first
+    monkeypatch.setattr(KeyOrder, "first", lambda self, n: (lambda x: read.append(x) or x)(first(self, n)))
+    got = joined_preview(there, child, "id", ["id", "name", "v", "child_id"], order, 7)
+    want = there.select("id", "name").join(child, "id").select("id", "name", "v", "child_id").orderBy(*order).limit(7)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    assert read and (hidden or first_with_children or not any(whole for _, whole in read))
