@@ -27,9 +27,9 @@ def main() -> None:
          analogues.medicine_source(spark, sf)),
         ("Generic-indication source: distinct (part, supplier) before any join",
          analogues.generic_indication_source(spark, sf)),
-        ("Container child rows (after the dense key: a projection over the checkpoint)",
+        ("Container child rows: keys from the parents' order, staged without a shuffle",
          t["medicine_package_container"]),
-        ("Foreign-key checks: one scan per child, broadcast key sets", quality_checks(t, ("fk",))),
+        ("Foreign-key checks: tagged union of child and parent keys, one aggregate", quality_checks(t, ("fk",))),
         ("Top manufacturers: per-key counts, left join keeping zeros, top-k",
          QUERIES["top_manufacturers"](spark, sf)),
         ("First line per order: map-side min(struct)", QUERIES["raw_first_line_per_order"](spark, sf)),
