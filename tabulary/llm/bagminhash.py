@@ -14,8 +14,8 @@ made; where one is still empty the horizon is doubled.
 Signatures are cut into bands.  Equal texts are one node.  Nodes that share a
 band are linked to one node of that band, links are verified on the multisets,
 and linked nodes become components.  Bands that still hold several components
-get another round with another node to link to; when few pairs across
-components are left, all of them are verified.  So every pair that shares a
+get another round with other nodes to link to; then all pairs that are left
+across components are verified.  So every pair that shares a
 band is verified or inside one component, without all pairs of a large group.
 """
 
@@ -223,7 +223,7 @@ def _components(links: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
-                    registers: int = 128, rows: int = 5, rounds: int = 6) -> DataFrame:
+                    registers: int = 128, rows: int = 5, rounds: int = 2, pivots: int = 4) -> DataFrame:
     """Per row: doc_id and class_id, the least doc_id of its near-duplicate class.
 
     Documents are linked if the multisets of their shingles have at least
@@ -245,15 +245,21 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
                    .where("text IS NOT NULL").join(wanted, "doc_id", "left_semi"), "texts")
 
     tested = links = edges = found = None
-    tables = [shared, texts]
+    tables = [texts]
     for turn in range(rounds + 1):
         members = shared.withColumn("class", F.col("node")) if found is None else \
             shared.join(found, "node", "left").withColumn("class", F.coalesce("class", "node"))
+        # The least node of a band first, then some that a hash chooses.
+        by = [F.xxhash64(F.lit(turn * pivots + i), "node") for i in range(pivots)] if turn else [F.col("node")]
         open_bands = members.groupBy("band").agg(
-            F.min("class").alias("x"), F.max("class").alias("y"), F.count("*").alias("n"),
-            F.min(F.struct((F.xxhash64(F.lit(turn), "node") if turn else F.col("node")).alias("by"),
-                           "node", "class", "total")).alias("to")).where("x <> y")
-        members = members.join(open_bands.select("band", "to"), "band")
+            F.min("class").alias("x"), F.max("class").alias("y"), *(
+                F.min(F.struct(b.alias("by"), "node", "class", "total")).alias(f"to{i}") for i, b in enumerate(by))) \
+            .where("x <> y").select("band", F.array(*(f"to{i}" for i in range(len(by)))).alias("to"))
+        # A band whose members are one class stays so, and needn't be looked at again.
+        members = staged(members.join(open_bands, "band").select("band", "node", "class", "total", "to"), "members")
+        drop_staged(shared)
+        shared = members.select("band", "node", "total")
+        shared.__dict__["_staged_path"] = members.__dict__["_staged_path"]
         near = "least(total, total_a) >= {0} * greatest(total, total_a) AND class <> class_a".format(similarity)
         if turn:
             sizes = members.groupBy("band", "class").agg(F.count("*").alias("n")) \
@@ -270,8 +276,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
                                    F.col("total").alias("total_a"))
             pairs = members.join(other, "band").where("a < node").where(near)
         else:
-            pairs = members.select("node", "class", "total", F.col("to.node").alias("a"),
-                                   F.col("to.class").alias("class_a"), F.col("to.total").alias("total_a")).where(near)
+            pairs = members.select("node", F.explode(F.filter("to", lambda t: (t["class"] != F.col("class")) & (
+                F.least(t["total"], "total") >= similarity * F.greatest(t["total"], "total")))).alias("to")) \
+                .select("node", F.col("to.node").alias("a"))
         pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -285,7 +292,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
         drop_staged(*used)
         if last:
             break
-    drop_staged(*tables, *([] if links is None else [links]))
+    drop_staged(shared, *tables, *([] if links is None else [links]))
 
     return (
         signed.select("doc_id", "words")
