@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -177,12 +177,12 @@ def write_token_files(docs: DataFrame, path: str, encoder: Callable[[], Callable
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """The segments with ``start`` counted over all shards.  What is joined has
-    one row for each file's shard, so its size is bounded by the files."""
+    """The segments with ``start`` counted over all shards.  What is summed and
+    joined has one row for each file's shard, so its size is bounded by the files."""
     segments = spark.read.schema(_DDL).parquet(path)
     sizes = segments.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    before = sizes.alias("a").join(F.broadcast(sizes).alias("b"), F.col("b.shard") < F.col("a.shard"), "left") \
-        .groupBy("a.shard").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     return segments.join(F.broadcast(before), "shard").withColumn("start", F.col("start") + F.col("before"))
 
 
