@@ -192,7 +192,10 @@ def learn(docs: DataFrame, pieces: int = 160, piece_chars: int = 250) -> dict[st
             text, (F.pmod(F.xxhash64(key), F.greatest(F.length(text) - piece_chars, F.lit(1))) + 1).cast("int"),
             F.lit(piece_chars)).alias("piece"))
         .groupBy("lang", "key").agg(F.first("piece").alias("piece")))
-    ranked = least.selectExpr("*", "row_number() OVER (PARTITION BY lang ORDER BY key) AS place") \
+    # First within 64 parts of a language, so that no task ranks all texts of a common one.
+    ranked = least.selectExpr("*", "row_number() OVER (PARTITION BY lang, pmod(key, 64) ORDER BY key) AS place") \
+        .where(F.col("place") <= pieces) \
+        .selectExpr("lang", "key", "piece", "row_number() OVER (PARTITION BY lang ORDER BY key) AS place") \
         .where(F.col("place") <= pieces)
     found: dict[str, list[str]] = {}
     for r in ranked.orderBy("lang", "place").collect():           # bounded: languages * pieces
