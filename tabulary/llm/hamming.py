@@ -51,8 +51,7 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int = MOST_
         known.withColumn("n", F.row_number().over(by_code)).where(F.col("n") <= k + 1)      # an answer uses no more
         .groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     n = entries.count()
-    m = min(bits, max(1, math.ceil(bits / math.log2(max(2, n)))))
-    width = math.ceil(bits / m)
+    width = min(bits, max(1, round(math.log2(max(2, n)))))       # about one code a key, whatever n is
     m = math.ceil(bits / width)          # each segment begins below ``bits``
 
     def segment(code: Column, j: int) -> Column:
