@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -68,12 +70,12 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBatch]]:
     """The parts of a batch with one file and block each."""
-    ids = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("file", "block")]
-    begin = 0
-    for k in range(1, batch.num_rows + 1):
-        if k == batch.num_rows or any(i[k] != i[begin] for i in ids):
-            yield int(ids[0][begin]), int(ids[1][begin]), batch.slice(begin, k - begin)
-            begin = k
+    file, block = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("file", "block"))
+    turns = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+    bounds = [0, *turns.tolist(), batch.num_rows]
+    for begin, end in pairwise(bounds):
+        if end > begin:
+            yield int(file[begin]), int(block[begin]), batch.slice(begin, end - begin)
 
 
 def block_maps(lines: DataFrame, sep: str = ",") -> DataFrame:
