@@ -14,7 +14,7 @@ is kept at its turns: between one leaf and the next it is lowest at their
 ancestor, and a sparse table of these depths gives the least depth between any
 two leaves with two look-ups.
 
-A run of at least ``repeats`` = 4 periods and 6 words has three equal copies,
+A run of at least four periods and six words has three equal copies,
 q words apart, of each of its word triples.  So only stretches of triples
 found three times in the text get trees; no run crosses the border of one.
 A tree is built within the task that has the text and takes some 500 bytes a
