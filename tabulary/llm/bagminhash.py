@@ -13,10 +13,12 @@ made; where one is still empty the horizon is doubled.
 
 Signatures are cut into bands.  Equal texts are one node.  Nodes that share a
 band are linked to one node of that band, links are verified on the multisets,
-and linked nodes become components.  Bands that still hold several components
-get another round with other nodes to link to; then all pairs that are left
-across components are verified.  So every pair that shares a
-band is verified or inside one component, without all pairs of a large group.
+and linked nodes become components.  A band is done with the nodes that it was
+linked to; if the others still are of several components, they get another
+round.  Of the nodes that are left then, those pairs across components are
+verified that share one of the rarest shingles of both, as every pair of that
+similarity does.  So every pair that shares a band is verified, inside one
+component or known to be less alike, without all pairs of a large group.
 """
 
 from __future__ import annotations
@@ -187,6 +189,60 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) ->
         .select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
 
 
+def rare_pairs(nodes: DataFrame, texts: DataFrame, size: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, node) of ``nodes`` (node and class; repeated rows are one) of
+    different classes that can have at least that similarity, and the staged
+    table that they are read from; none that has it is missed.
+
+    A repeated shingle is an element for each time that it stands.  Two texts
+    of that similarity have ``share`` of all their elements in common or more.
+    In any one order of the elements, the first common one is followed by the
+    others, so its place in a text (from 0) is at most the text's size less
+    the number of common ones.
+    Elements of one class alone, which are none of such a pair's, come first,
+    and rare ones before frequent ones; so texts of one template that differ in
+    too many words of their own don't meet in the template.
+    """
+    share, slack = similarity / (1 + similarity), 1e-6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for members, part in in_slices(batch):
+                of, value, weight = shingles(members, size)
+                time = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+                element = mix(np.repeat(value, weight) + _GOLDEN * time.astype(np.uint64))
+                ends = np.searchsorted(np.repeat(of, weight), np.arange(len(members) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("class"), pa.array(np.diff(ends).astype(np.int64)),
+                     pa.ListArray.from_arrays(ends, element.view(np.int64))],
+                    ["node", "class", "total", "elements"])
+
+    open_nodes = staged(nodes.select(F.col("node").alias("doc_id"), "class").distinct(), "open-nodes")
+    bags = staged(
+        texts.join(open_nodes, "doc_id").mapInArrow(run, "node long, class long, total long, elements array<long>")
+        .withColumn("id", F.monotonically_increasing_id()), "bags")
+    several = bags.select("class", F.explode("elements").alias("element")).groupBy("element").agg(
+        F.count("*").alias("n"), F.min("class").alias("x"), F.max("class").alias("y")) \
+        .where("x <> y").select("element", "n")
+    first = F.floor(F.col("total") * (1 - similarity) + slack).cast("int") + 1 - F.col("own")
+    rare = staged(
+        bags.select("id", F.explode("elements").alias("element")).join(several, "element")
+        .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "element"))).alias("common"))
+        .join(bags.drop("elements"), "id")
+        .withColumn("own", F.col("total").cast("int") - F.size("common")).where(first > 0)
+        .select("node", "class", "total", "own", F.posexplode(F.slice("common", F.lit(1), first)))
+        .select("node", "class", "total", (F.col("own") + F.col("pos")).alias("at"), "col.element"), "rare")
+    # The smaller text's place is at most that beside one of its own size.
+    smaller = rare.where(F.col("at") <= F.col("total") * (1 - 2 * share) + slack).select(
+        "element", *(F.col(c).alias(f"{c}_a") for c in ("node", "class", "total", "at")))
+    drop_staged(open_nodes, bags)
+    least = share * (F.col("total") + F.col("total_a")) - slack
+    return rare.join(smaller, "element").where("class <> class_a").where(
+        F.struct("total_a", "node_a") < F.struct("total", "node")).where(
+        (F.col("at") <= F.col("total") - least) & (F.col("at_a") <= F.col("total_a") - least)) \
+        .select(F.col("node_a").alias("a"), "node"), rare
+
+
 def components(links: DataFrame) -> DataFrame:
     """Of every linked node: node and class (its component's least node)."""
     return _components(links)[1]
@@ -258,7 +314,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
         # A band whose members are one class stays so, and needn't be looked at again.
         members = staged(members.join(open_bands, "band").select("band", "node", "class", "total", "to"), "members")
         drop_staged(shared)
-        shared = members.select("band", "node", "total")
+        # The nodes that a band is linked to are compared with all of it in this round.
+        shared = members.where(~F.exists("to", lambda t: (t["node"] == F.col("node")) & (
+            t["total"] == F.col("total")))).select("band", "node", "total")
         shared.__dict__["_staged_path"] = members.__dict__["_staged_path"]
         near = "least(total, total_a) >= {0} * greatest(total, total_a) AND class <> class_a".format(similarity)
         if turn:
@@ -268,13 +326,17 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, size: int = 5,
                                F.sum("s").alias("s")).first()
             if not across.s:
                 break
-            last = turn == rounds or across.p <= 4 * across.s
+            few = across.p <= 4 * across.s
+            last = few or turn == rounds
         else:
-            last = False
-        if last:
+            few = last = False
+        if few:
             other = members.select("band", F.col("node").alias("a"), F.col("class").alias("class_a"),
                                    F.col("total").alias("total_a"))
             pairs = members.join(other, "band").where("a < node").where(near)
+        elif last:
+            pairs, rare = rare_pairs(members, texts, size, similarity)
+            tables.append(rare)
         else:
             pairs = members.select("node", F.explode(F.filter("to", lambda t: (t["class"] != F.col("class")) & (
                 F.least(t["total"], "total") >= similarity * F.greatest(t["total"], "total")))).alias("to")) \

@@ -137,6 +137,52 @@ def test_chains_and_large_groups(spark):
     assert {r.doc_id: r.class_id for r in got} == want
 
 
+def test_texts_alike_by_less_than_the_similarity(spark, monkeypatch):
+    """Of a template with many fillings that are too long, not all pairs are read and verified."""
+    rng = random.Random(9)
+    base = [rng.choice("abcdefgh") + str(i) for i in range(300)]
+    rows = []
+    for i in range(160):
+        at, long = rng.randrange(230), rng.randint(40, 46)
+        rows.append((i, " ".join([*base[:at], *(f"o{i}_{k}" for k in range(long)), *base[at + long:]])))
+    for i in range(0, 160, 8):               # one more text beside each of some, edited at one place
+        words = rows[i][1].split()
+        words[rng.randrange(300)] = "edit"
+        rows.append((1000 + i, " ".join(words)))
+    seen, verify = [], bagminhash.verify
+    monkeypatch.setattr(bagminhash, "verify", lambda pairs, *a: (seen.append(pairs.count()), verify(pairs, *a))[1])
+    want = brute.classes(rows)
+    got = bagminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+    assert seen[-1] < len(rows)
+
+
+def test_rare_pairs_miss_none(spark):
+    """Repeated shingles, repeated rows, two texts of one id, and texts without a word."""
+    rng = random.Random(10)
+    rows, n = [], 0
+    for template in range(6):
+        base = [rng.choice("abc") for _ in range(rng.randint(8, 40))] + ["nd"] * rng.randint(0, 20)
+        for _ in range(25):
+            own = list(base)
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(own))
+                own[at:at + rng.randint(0, 1)] = [rng.choice("abcd")][:rng.randint(0, 1)]
+            rows.append((n, " ".join(own)))
+            n += 1
+    rows += [(n, ""), (n + 1, " \t"), rows[3], rows[3], (5, rows[40][1])]
+    classes = {i: i % 7 for i in range(n + 2)}
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = spark.createDataFrame(list(classes.items()), "node long, class long")
+    pairs, _ = bagminhash.rare_pairs(nodes, texts, 5, 0.8)
+    got = {tuple(sorted(r)) for r in pairs.collect()}
+    bags = [(d, brute.bag(t)) for d, t in rows]
+    want = {(min(a, b), max(a, b)) for a, x in bags for b, y in bags
+            if classes[a] != classes[b] and x and y and brute.similarity(x, y) >= 0.8}
+    assert want and want <= got
+    assert all(classes[a] != classes[b] for a, b in got)
+
+
 def test_near_duplicates_of_the_table(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert {r.doc_id: r.class_id for r in bagminhash.near_duplicates(docs).collect()} == brute.classes(rows)
