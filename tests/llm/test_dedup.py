@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -137,24 +138,43 @@ def test_chains_and_large_groups(spark):
     assert {r.doc_id: r.class_id for r in got} == want
 
 
-def test_texts_alike_by_less_than_the_similarity(spark, monkeypatch):
-    """Of a template with many fillings that are too long, not all pairs are read and verified."""
+def fillings():
+    """A template with many fillings that are too long, and beside some of them one more text with one edit."""
     rng = random.Random(9)
     base = [rng.choice("abcdefgh") + str(i) for i in range(300)]
     rows = []
     for i in range(160):
         at, long = rng.randrange(230), rng.randint(40, 46)
         rows.append((i, " ".join([*base[:at], *(f"o{i}_{k}" for k in range(long)), *base[at + long:]])))
-    for i in range(0, 160, 8):               # one more text beside each of some, edited at one place
+    for i in range(0, 160, 8):
         words = rows[i][1].split()
         words[rng.randrange(300)] = "edit"
         rows.append((1000 + i, " ".join(words)))
+    return rows
+
+
+@pytest.fixture
+def verified(monkeypatch):
+    """The numbers of pairs that are read and verified, round by round."""
     seen, verify = [], bagminhash.verify
     monkeypatch.setattr(bagminhash, "verify", lambda pairs, *a: (seen.append(pairs.count()), verify(pairs, *a))[1])
-    want = brute.classes(rows)
+    return seen
+
+
+def test_texts_alike_by_less_than_the_similarity(spark, verified):
+    rows = fillings()
     got = bagminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: r.class_id for r in got} == want
-    assert seen[-1] < len(rows)
+    assert {r.doc_id: r.class_id for r in got} == brute.classes(rows)
+    assert verified[-1] < len(rows)
+
+
+def test_pipeline_of_texts_alike_by_less_than_the_similarity(spark, verified):
+    rows = fillings()
+    df = spark.createDataFrame([*rows, *rows[:5]], "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, df, SF).collect()
+    want = brute.classes(rows)
+    assert sorted(map(tuple, got)) == sorted(r for r in rows if want[r[0]] == r[0])
+    assert verified[-1] < len(rows)
 
 
 def test_rare_pairs_miss_none(spark):
