@@ -6,6 +6,7 @@ from collections import Counter
 
 import corpus_pipeline
 import hashlib
+import numpy as np
 import pytest
 import zlib
 from pyspark.sql import functions as F
@@ -64,6 +65,81 @@ def test_neighbours_at_the_radius_that_segments_cover(spark, n, width, s):
     assert (one.neighbour, one.distance) == (1, far - 1)
 
 
+def nearest_by_force(codes, queries, k):
+    """Per query id: (distance, id) of the nearest k others."""
+    return {i: sorted((bin((c ^ d) & (1 << 64) - 1).count("1"), j) for j, d in codes if j != i)[:k] for i, c in queries}
+
+
+def test_search_makes_no_row_of_a_key(spark, monkeypatch):
+    """What is written and joined on the way doesn't grow with the keys that are looked up."""
+    rng = random.Random(8)
+    codes = [(i, rng.getrandbits(64) - (1 << 63)) for i in range(1500)]
+    df = spark.createDataFrame(codes, "id long, code long")
+    rows, plans, staged = [], [], hamming.staged
+
+    def watched(frame, name):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        out = staged(frame, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(hamming, "staged", watched)
+    got = hamming.nearest(df, df.where("id % 20 = 0"), k=3).collect()
+    assert max(rows) <= len(codes)
+    assert not any("Join" in plan for plan in plans)
+    want = nearest_by_force(codes, [x for x in codes if x[0] % 20 == 0], 3)
+    assert sorted((r.id, r["rank"], r.distance, r.neighbour) for r in got) == sorted(
+        (i, n + 1, d, j) for i, near in want.items() for n, (d, j) in enumerate(near))
+
+
+def test_nearest_in_parts(spark, monkeypatch):
+    """Several parts of the codes and of the queries, several chunks of a part, equal distances and ids that aren't numbers."""
+    for name, size in (("CODES", 700), ("INDEXED", 150), ("PACKED", 40), ("QUERIES", 30), ("ASKED", 9)):
+        monkeypatch.setattr(hamming, name, size)
+    rng = random.Random(9)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    codes = {b ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for b in base for _ in range(170)}
+    codes = [(f"n{i}", c - (1 << 64) if c >> 63 else c) for i, c in enumerate(rng.sample(sorted(codes), len(codes)))]
+    queries = [x for x in codes if x[0].endswith("3")]
+    got = hamming.nearest(*(spark.createDataFrame(x, "id string, code long").repartition(3) for x in (codes, queries)), k=5).collect()
+    want = nearest_by_force(codes, queries, 5)
+    assert sorted((r.id, r["rank"], r.distance, r.neighbour) for r in got) == sorted(
+        (i, n + 1, d, j) for i, near in want.items() for n, (d, j) in enumerate(near))
+
+
+@pytest.mark.parametrize("bits", [1, 3, 17, 40, 64])
+def test_search_of_any_number_of_segments(bits):
+    """Every number of segments finds the same, in one chunk or two, also where a segment's value is all codes'."""
+    rng = np.random.default_rng(bits)
+    for low in (False, True):
+        codes = rng.integers(0, 1 << 63, 1500, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 1500, dtype=np.uint64)
+        codes = np.unique(codes & np.uint64((1 << bits) - 1) & ~np.uint64(0xFFF0F if low else 0))
+        rng.shuffle(codes)
+        firsts, queries = rng.permutation(len(codes)) * 3, np.unique([*codes[::9], *(codes[:3] ^ np.uint64(1))])
+        for m in (None, 0, *(m for m in (1, 2, 3, 4, 5, 9, 20) if -(-bits // hamming.WIDEST) <= m <= bits)):
+            search = hamming.Search(queries, 6, bits)
+            for part in np.split(np.arange(len(codes)), [len(codes) // 3]):
+                search.add(codes[part], firsts[part], m)
+            for i, q in enumerate(queries):
+                apart = np.bitwise_count(codes ^ q)
+                want = np.lexsort((firsts, apart))[:6]
+                there = search.distance[i] != hamming.FREE
+                assert search.distance[i][there].tolist() == apart[want].tolist(), (m, i)
+                assert search.code[i][there].tolist() == codes[want].tolist(), (m, i)
+
+
+def test_search_compares_a_part_of_the_pairs(monkeypatch):
+    rng = np.random.default_rng(11)
+    codes = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, 1 << 18).view(np.uint64))
+    rng.shuffle(codes)
+    search, pairs, compare = hamming.Search(codes[:1 << 13].copy(), 11, 64), [], hamming.Search._compare
+    monkeypatch.setattr(hamming.Search, "_compare", lambda self, q, c: (pairs.append(len(q) * len(c)), compare(self, q, c)))
+    search.add(codes, np.arange(len(codes)))
+    assert sum(pairs) < len(codes) * len(search.queries) / 2
+    for i in range(0, len(search.queries), 500):
+        assert search.distance[i].tolist() == sorted(np.bitwise_count(codes ^ search.queries[i]))[:11]
+
+
 def test_sign_codes(spark):
     rows = [([0.5, -1.0, None, 2.0],), ([],), (None,), ([0.0] * 63 + [1.0],)]
     df = spark.createDataFrame(rows, "v array<float>")
